@@ -18,18 +18,14 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def cents(amount: Column | str) -> Column:
-    """The amount as BIGINT cents, or NULL when it is not a whole number of cents."""
-    amount = _col(amount)
-    scaled = F.rint(amount * 100)
-    return F.when(
-        (F.abs(amount) < _CENTS_LIMIT) & (scaled / 100 == amount), scaled.cast("bigint")
-    )
+def _in_cents(amount: Column) -> Column:
+    return (F.abs(amount) < _CENTS_LIMIT) & (F.rint(amount * 100) / 100 == amount)
 
 
 def _cents_and_rest(amount: Column) -> tuple[Column, Column]:
-    in_cents = cents(amount)
-    return F.sum(in_cents), F.sum(F.when(in_cents.isNull(), amount))
+    whole = F.when(_in_cents(amount), F.rint(amount * 100).cast("bigint"))
+    rest = F.when(_in_cents(amount), None).otherwise(amount)
+    return F.sum(whole), F.sum(rest)
 
 
 def money_sum(amount: Column | str) -> Column:

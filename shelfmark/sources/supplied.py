@@ -13,8 +13,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _id(prefix: str, *parts: str) -> Column:
-    return F.concat(F.lit(prefix), F.concat_ws("_", *parts))
+def _id(prefix: str, number: str) -> Column:
+    return F.concat(F.lit(prefix), F.col(number))
 
 
 def _pick(number: Column, *values: str) -> Column:
@@ -54,7 +54,7 @@ def returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     after = (F.col("l_linenumber") * 4 + 1).cast("int")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
-        _id("RET_", "l_orderkey", "l_linenumber").alias("return_id"),
+        F.concat(_id("RET_", "l_orderkey"), _id("_", "l_linenumber")).alias("return_id"),
         order_id.alias("order_id"),
         _id("CUST_", "o_custkey").alias("customer_id"),
         _id("PROD_", "l_partkey").alias("product_id"),
@@ -75,7 +75,8 @@ def returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One promotion per part, thirty days apart, -3 to 46 days long; after 2,000 they start over."""
-    start = F.date_add(F.lit("1995-02-01").cast("date"), (F.col("p_partkey") * 30 % 60000).cast("int"))
+    offset = (F.col("p_partkey") * 30 % 60000).cast("int")
+    start = F.date_add(F.lit("1995-02-01").cast("date"), offset)
     return _table(spark, sf_dir, "part").select(
         _id("PROMO_", "p_partkey").alias("promo_id"),
         F.col("p_name").alias("promo_name"),
