@@ -7,6 +7,14 @@ from __future__ import annotations
 
 import re
 
+
+
+def _round(value: str, places: int) -> str:
+    """Half up on the decimal digits of the double, as Spark rounds; DuckDB's own rounding of
+    doubles multiplies first, which moves some ties."""
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 18)), {places}) AS DOUBLE)"
+
+
 # Named steps; a query uses the ones it mentions, and those they mention.
 _STEPS = {
     "bronze_sales": """
@@ -34,7 +42,7 @@ _STEPS = {
         JOIN orders ON l_orderkey = o_orderkey
         WHERE l_returnflag = 'R'""",
     "promo_starts": """
-        SELECT *, DATE '1995-02-01' + CAST(30 * p_partkey % 60000 AS INTEGER) AS start_date
+        SELECT *, DATE '1995-02-01' + CAST(60 * p_partkey % 3600 AS INTEGER) AS start_date
         FROM part""",
     "bronze_promotions": """
         SELECT concat('PROMO_', p_partkey) AS promo_id, p_name AS promo_name,
@@ -42,9 +50,9 @@ _STEPS = {
                start_date + (p_size - 4) AS end_date, p_type AS target_segment,
                CASE WHEN p_partkey % 2 = 0 THEN 'Expired' ELSE 'Active' END AS status
         FROM promo_starts""",
-    "silver_sales": """
+    "silver_sales": f"""
         SELECT order_id, customer_id, product_id, quantity, price,
-               round(quantity * price, 2) AS total_amount,
+               {_round("quantity * price", 2)} AS total_amount,
                CAST(order_date AS DATE) AS order_date, true AS is_valid
         FROM bronze_sales
         WHERE quantity > 0 AND price > 0""",
@@ -136,18 +144,18 @@ _QUERIES = {
                min(order_date) AS first_order_date, max(order_date) AS last_order_date
         FROM sale_cents GROUP BY customer_id""",
     "gold_daily_sales": "SELECT * FROM gold_daily_sales",
-    "gold_promo_revenue": """
+    "gold_promo_revenue": f"""
         SELECT order_date, 'Multiple/Overlapping' AS promo_id, 'Active Promos' AS promo_name,
                CAST(cents AS BIGINT) / 100 AS revenue_with_promo, base AS revenue_without_promo,
                CASE WHEN base > 0
-                    THEN round((CAST(cents AS BIGINT) / 100 - base) / base * 100, 2)
+                    THEN {_round("(CAST(cents AS BIGINT) / 100 - base) / base * 100", 2)}
                     ELSE 0.0::DOUBLE END AS uplift_pct
         FROM daily_cover, baseline WHERE promo_date IS NOT NULL""",
-    "gold_return_rate_by_product": """
+    "gold_return_rate_by_product": f"""
         SELECT product_id, month AS return_month, sold_qty,
                coalesce(returned_qty, 0) AS returned_qty,
                CASE WHEN total_return_value <> 0
-                    THEN round(returned_qty / total_return_value, 4)
+                    THEN {_round("returned_qty / total_return_value", 4)}
                     ELSE 0.0::DOUBLE END AS return_rate,
                coalesce(total_return_value, 0) AS total_return_value
         FROM sold_by_month LEFT JOIN silver_returned_by_month USING (product_id, month)""",
@@ -188,9 +196,10 @@ _QUERIES = {
         FROM bronze_sales GROUP BY order_id""",
     # projections, filters, predicates
     "project_select": "SELECT product_id, order_id, price, quantity FROM bronze_sales",
-    "project_derive": """
+    "project_derive": f"""
         SELECT order_id, customer_id, product_id, quantity, price,
-               CAST(order_date AS DATE) AS order_date, round(quantity * price, 2) AS total_amount
+               CAST(order_date AS DATE) AS order_date,
+               {_round("quantity * price", 2)} AS total_amount
         FROM bronze_sales""",
     "project_literal": """
         SELECT order_date, 'Multiple/Overlapping' AS promo_id, 'Active Promos' AS promo_name,
@@ -291,20 +300,20 @@ _QUERIES = {
                end_date AS last_day
         FROM promo_span GROUP BY promo_id, start_date, end_date""",
     "fn_explode": "SELECT promo_id, CAST(spanned AS DATE) AS day FROM promo_span",
-    "fn_round": """
-        SELECT order_id, product_id, round(quantity * price, 2) AS two_places,
-               round(quantity / price, 4) AS four_places
+    "fn_round": f"""
+        SELECT order_id, product_id, {_round("quantity * price", 2)} AS two_places,
+               {_round("quantity / price", 4)} AS four_places
         FROM bronze_sales""",
     "fn_arith_mul": "SELECT order_id, product_id, quantity * price AS amount FROM bronze_sales",
-    "fn_pct_change": """
+    "fn_pct_change": f"""
         SELECT order_date,
-               round((daily_revenue - 100000::DOUBLE) / 100000::DOUBLE * 100, 2) AS pct,
+               {_round("(daily_revenue - 100000::DOUBLE) / 100000::DOUBLE * 100", 2)} AS pct,
                0.0::DOUBLE AS pct_of_nothing
         FROM daily""",
-    "fn_safe_ratio": """
+    "fn_safe_ratio": f"""
         SELECT product_id, month,
                CASE WHEN total_return_value <> 0
-                    THEN round(returned_qty / total_return_value, 4)
+                    THEN {_round("returned_qty / total_return_value", 4)}
                     ELSE 0.0::DOUBLE END AS return_rate
         FROM returned_by_month""",
     # streams and sampling

@@ -74,8 +74,9 @@ def returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One promotion per part, thirty days apart, -3 to 46 days long; after 2,000 they start over."""
-    offset = (F.col("p_partkey") * 30 % 60000).cast("int")
+    """One promotion per part, -3 to 46 days long, starting on one of 60 days two months apart, so
+    that many overlap and gaps remain between them."""
+    offset = (F.col("p_partkey") * 60 % 3600).cast("int")
     start = F.date_add(F.lit("1995-02-01").cast("date"), offset)
     return _table(spark, sf_dir, "part").select(
         _id("PROMO_", "p_partkey").alias("promo_id"),

@@ -38,7 +38,7 @@ def _rows(table: pa.Table) -> Counter:
 def differences(spark_df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
     """What differs: column names, types, or the multiset of rows; empty when all is equal."""
     left = spark_df.toArrow()
-    right = con.execute(sql).fetch_arrow_table()
+    right = con.sql(sql).to_arrow_table()
     types = [
         {f.name: _type_name(f.type) for f in table.schema} for table in (left, right)
     ]

@@ -1,0 +1,62 @@
+from __future__ import annotations
+
+import math
+import random
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+
+from shelfmark.functions.money import money_avg, money_avg_rounded, money_sum
+
+
+def totals(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    return df.agg(money_sum("x"), money_avg("x"), money_avg_rounded("x")).first()
+
+
+def test_whole_cents_are_exact(spark):
+    """Random groups of very different sizes, signs and magnitudes, in a shuffled order."""
+    rng = random.Random(7)
+    groups = {
+        g: [rng.randint(-(10 ** rng.randint(1, 13)), 10 ** rng.randint(1, 13)) for _ in range(n)]
+        for g, n in enumerate([1, 2, 3, 7, 100, 999] * 5)
+    }
+    rows = [(g, c / 100) for g, values in groups.items() for c in values]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "g int, x double").repartition(7)
+    result = df.groupBy("g").agg(money_sum("x"), money_avg("x"), money_avg_rounded("x")).collect()
+    assert len(result) == len(groups)
+    for g, total, mean, rounded in result:
+        cents = groups[g]
+        exact = Decimal(sum(cents)) / len(cents)
+        assert total == sum(cents) / 100
+        assert mean == sum(cents) / 100 / len(cents)
+        assert rounded == int(exact.quantize(Decimal(1), ROUND_HALF_UP)) / 100
+
+
+def test_half_a_cent_rounds_away_from_zero(spark):
+    assert totals(spark, [0.01, 0.02])[2] == 0.02
+    assert totals(spark, [-0.01, -0.02])[2] == -0.02
+
+
+def test_nothing_gives_null(spark):
+    assert tuple(totals(spark, [None, None])) == (None, None, None)
+    empty = spark.createDataFrame([], "x double")
+    assert tuple(empty.agg(money_sum("x"), money_avg_rounded("x")).first()) == (None, None)
+
+
+def test_nulls_are_left_out(spark):
+    assert tuple(totals(spark, [1.0, None, 2.0])) == (3.0, 1.5, 1.5)
+
+
+@pytest.mark.parametrize("odd", [0.001, 1e20, 123456.789])
+def test_other_amounts_are_added_as_doubles(spark, odd):
+    total, mean, rounded = totals(spark, [odd, 0.25])
+    assert total == 0.25 + odd
+    assert mean == total / 2
+    assert rounded == pytest.approx(round(total / 2, 2))
+
+
+def test_nan_and_infinity_stay(spark):
+    assert math.isnan(totals(spark, [float("nan"), 1.0])[0])
+    assert totals(spark, [float("inf"), 1.0])[0] == math.inf
