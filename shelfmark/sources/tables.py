@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -63,11 +65,12 @@ class Lakehouse:
     ) -> DataFrame:
         """The declared columns. `start` and `end` (inclusive) bound the partition date, and prune
         the partitions outside."""
+        bounded = start is not None or end is not None
+        if bounded and not spec.partition:
+            raise ValueError(f"{spec.layer}.{spec.name} has no partition date")
         df = self.spark.table(self.table_name(spec))
-        if start is None and end is None:
+        if not bounded:
             return df.select(spec.schema.names)
-        if not spec.partition:
-            raise ValueError(f"{spec.layer}.{spec.name} has no partition date")
         source, unit = spec.partition
         part, day = F.col(spec.partition_column), F.to_date(source)
         if start is not None:
@@ -83,9 +86,12 @@ class Lakehouse:
         lets Spark split a partition that holds much more than the others. Input that already
         arrives in date order can go without.
         """
-        unknown = set(df.columns) - set(spec.schema.names)
-        if unknown:
-            raise ValueError(f"{spec.layer}.{spec.name}: unknown columns {sorted(unknown)}")
+        expected, given = set(spec.schema.names), set(df.columns)
+        if expected != given:
+            raise ValueError(
+                f"{spec.layer}.{spec.name}: missing columns {sorted(expected - given)},"
+                f" unknown columns {sorted(given - expected)}"
+            )
         rows = df.to(spec.schema)
         if spec.partition:
             source, unit = spec.partition
@@ -94,8 +100,18 @@ class Lakehouse:
                 rows = rows.hint("rebalance", spec.partition_column)
         counted = Observation(f"rows_{uuid.uuid4().hex}")
         rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
-        (
-            rows.write.option("partitionOverwriteMode", "static")
-            .insertInto(self.table_name(spec), overwrite=overwrite)
-        )
+        with _static_overwrite(self.spark):
+            rows.write.insertInto(self.table_name(spec), overwrite=overwrite)
         return counted.get["rows"]
+
+
+@contextmanager
+def _static_overwrite(spark: SparkSession) -> Iterator[None]:
+    """An overwrite replaces all partitions, whatever the session's mode is."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "static")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
