@@ -17,13 +17,17 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--infer", action="store_true", help="let Spark guess the CSV types")
     parser.add_argument("--location", help="folder of the databases")
     parser.add_argument("--prefix", default="", help="prefix of the database names")
+    parser.add_argument(
+        "--no-rebalance", action="store_true", help="write files as the tasks come"
+    )
     parser.add_argument("--master", help="Spark master, if not set by spark-submit")
     args = parser.parse_args(argv)
 
     spec = TABLES[args.job]
     if spec.layer == "bronze" and not args.raw:
         parser.error("bronze jobs need --raw")
-    lake = Lakehouse(build_session(master=args.master), args.location, args.prefix)
+    spark = build_session(master=args.master)
+    lake = Lakehouse(spark, args.location, args.prefix, rebalance=not args.no_rebalance)
     if spec.layer == "bronze":
         rows = jobs.ingest_raw(lake, spec, args.raw, args.infer)
     else:

@@ -5,49 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with more rows than this does not go through the shuffle join under its own name. At most
-# count(rows) / HOT_ROWS keys can be that frequent, which bounds everything broadcast here.
+# A key with more rows than this does not go through the shuffle join. At most
+# count(rows) / HOT_ROWS keys can be that frequent, which bounds what is broadcast here.
 HOT_ROWS = 1_000_000
 
-# Spread of hot rows; any value gives the same result.
-_SALTS = 4096
-
 
 def existence_flag(
-    rows: DataFrame, keys: DataFrame, on: str, flag: str, hot_rows: int = HOT_ROWS
+    rows: DataFrame,
+    keys: DataFrame,
+    on: str,
+    flag: str,
+    hot_rows: int = HOT_ROWS,
+    keyless: bool = True,
 ) -> DataFrame:
-    """Add BOOLEAN `flag`: the string key `on` of the row occurs in `keys`. Rows never multiply.
+    """Add BOOLEAN `flag`: the key `on` of the row occurs in `keys`. Rows never multiply.
 
-    Both sides are aggregated by key before they are shuffled, and the distinct keys are shuffled
-    once for the two places they are used in. A hot key is looked up in a small broadcast table;
-    its rows, and rows with a NULL key, get a salted join key so that no task receives them all.
+    Rows of a hot key stay where they are and look it up in a small broadcast table; the others are
+    shuffled to the distinct keys. Which rows go which way depends on exact counts alone, so a task
+    that is run again after a lost executor gives the same rows. Without a hot key Spark drops that
+    branch at run time. `keyless=False` says that no row lacks a key, and saves the look for them.
     """
-    known = keys.where(F.col(on).isNotNull()).select(on).distinct()
-
+    key = F.col(on)
+    known = keys.where(key.isNotNull()).select(on).distinct()
     hot = (
-        rows.where(F.col(on).isNotNull())
+        rows.where(key.isNotNull())
         .groupBy(on)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > hot_rows)
         .select(on)
     )
-    hot_known = known.join(F.broadcast(hot), on, "left_semi").withColumn("_hit", F.lit(True))
+    hot_known = known.join(F.broadcast(hot), on, "left_semi").withColumn("_known", F.lit(True))
     hot_flags = hot.join(F.broadcast(hot_known), on, "left").select(
-        F.col(on).alias("_hot_key"), F.coalesce("_hit", F.lit(False)).alias("_hot_known")
+        key.alias("_hot_key"), F.coalesce("_known", F.lit(False)).alias(flag)
     )
 
-    tagged = rows.join(F.broadcast(hot_flags), F.col(on) == F.col("_hot_key"), "left")
-    salt = F.concat(F.lit("_"), F.monotonically_increasing_id() % _SALTS)
-    probe = F.when(F.col(on).isNotNull() & F.col("_hot_key").isNull(), F.col(on)).otherwise(salt)
-
-    known = known.select(F.col(on).alias("_known_key"))
-    return (
-        tagged.withColumn("_probe", probe)
-        .join(known, F.col("_probe") == F.col("_known_key"), "left")
-        .withColumn(
-            flag,
-            F.col(on).isNotNull()
-            & F.coalesce(F.col("_hot_known"), F.col("_known_key").isNotNull()),
-        )
+    in_place = (
+        rows.join(F.broadcast(hot_flags), key == F.col("_hot_key")).select(*rows.columns, flag)
+    )
+    shuffled = (
+        rows.where(key.isNotNull())
+        .join(F.broadcast(hot), on, "left_anti")
+        .join(known.select(key.alias("_known_key")), key == F.col("_known_key"), "left")
+        .withColumn(flag, F.col("_known_key").isNotNull())
         .select(*rows.columns, flag)
     )
+    flagged = shuffled.unionByName(in_place)
+    if not keyless:
+        return flagged
+    return flagged.unionByName(rows.where(key.isNull()).withColumn(flag, F.lit(False)))

@@ -49,7 +49,7 @@ def sample_exact(df: DataFrame, key: str, rate: float, seed: int) -> DataFrame:
 
     inner = hashed.join(F.broadcast(first), "_first")
     second = _boundary(
-        inner.groupBy("_second").agg(size, F.first("_left").alias("_left")), "_second", F.col("_left")
+        inner.groupBy("_second").agg(size, F.max("_left").alias("_left")), "_second", F.col("_left")
     )
 
     edge = inner.drop("_left").join(F.broadcast(second), "_second")

@@ -35,7 +35,9 @@ def returns(bronze: DataFrame, silver_sales: DataFrame) -> DataFrame:
     Invalid returns are flagged, not dropped.
     """
     kept = bronze.where((F.col("return_value") > 0) & F.col("order_id").isNotNull())
-    checked = existence_flag(kept, silver_sales, on="order_id", flag="_order_known")
+    checked = existence_flag(
+        kept, silver_sales, on="order_id", flag="_order_known", keyless=False
+    )
     valid = F.col("_order_known") & F.col("return_reason").isin(*VALID_REASONS)
     return stamped(
         checked.withColumns(

@@ -25,21 +25,35 @@ def _pick(number: Column, *values: str) -> Column:
     return choice
 
 
+def _order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and dates per order, built once per order and not once per line."""
+    return _table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        _id("ORD_", "o_orderkey").alias("order_id"),
+        _id("CUST_", "o_custkey").alias("customer_id"),
+        F.col("o_orderdate").cast("timestamp").alias("order_date"),
+    )
+
+
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order line; the smallest quantity becomes 0, so that it is rejected."""
     lines = _table(spark, sf_dir, "lineitem")
-    orders = _table(spark, sf_dir, "orders")
-    parts = _table(spark, sf_dir, "part")
+    orders = _order_headers(spark, sf_dir)
+    products = _table(spark, sf_dir, "part").select(
+        "p_partkey",
+        _id("PROD_", "p_partkey").alias("product_id"),
+        F.col("p_retailprice").alias("price"),
+    )
     return (
         lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(parts, lines.l_partkey == parts.p_partkey)
+        .join(products, lines.l_partkey == products.p_partkey)
         .select(
-            _id("ORD_", "l_orderkey").alias("order_id"),
-            _id("CUST_", "o_custkey").alias("customer_id"),
-            _id("PROD_", "l_partkey").alias("product_id"),
+            "order_id",
+            "customer_id",
+            "product_id",
             (F.col("l_quantity") - 1).alias("quantity"),
-            F.col("p_retailprice").alias("price"),
-            F.col("o_orderdate").cast("timestamp").alias("order_date"),
+            "price",
+            "order_date",
         )
     )
 
@@ -47,18 +61,18 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per returned order line, with missing orders, reasons and values among them."""
     lines = _table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
-    orders = _table(spark, sf_dir, "orders")
+    orders = _order_headers(spark, sf_dir)
     key = F.col("l_orderkey")
     order_id = F.when(key % 89 == 0, None).otherwise(
-        F.when(key % 97 == 0, _id("MISSING_", "l_orderkey")).otherwise(_id("ORD_", "l_orderkey"))
+        F.when(key % 97 == 0, _id("MISSING_", "l_orderkey")).otherwise(F.col("order_id"))
     )
     after = (F.col("l_linenumber") * 4 + 1).cast("int")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
         F.concat(_id("RET_", "l_orderkey"), _id("_", "l_linenumber")).alias("return_id"),
         order_id.alias("order_id"),
-        _id("CUST_", "o_custkey").alias("customer_id"),
+        "customer_id",
         _id("PROD_", "l_partkey").alias("product_id"),
-        F.date_add(F.to_date("o_orderdate"), after).cast("timestamp").alias("return_date"),
+        F.date_add(F.to_date("order_date"), after).cast("timestamp").alias("return_date"),
         _pick(
             F.col("l_suppkey") % 6,
             "Defective",

@@ -20,13 +20,22 @@ class Lakehouse:
     """The tables of one catalog.
 
     `prefix` goes before the database names; `location` is the folder of the databases, by default
-    the session's warehouse.
+    the session's warehouse. With `rebalance` a write shuffles rows to their partition, so that
+    each month or year gets a few full files; Spark splits one that holds much more than the
+    others. Input that already arrives in date order can go without.
     """
 
-    def __init__(self, spark: SparkSession, location: str | None = None, prefix: str = "") -> None:
+    def __init__(
+        self,
+        spark: SparkSession,
+        location: str | None = None,
+        prefix: str = "",
+        rebalance: bool = True,
+    ) -> None:
         self.spark = spark
         self.location = location.rstrip("/") if location else None
         self.prefix = prefix
+        self.rebalance = rebalance
 
     def database(self, layer: str) -> str:
         return f"{self.prefix}{layer}"
@@ -52,13 +61,13 @@ class Lakehouse:
             f" USING parquet{layout}"
         )
 
-    def append(self, df: DataFrame, spec: TableSpec, rebalance: bool = True) -> int:
+    def append(self, df: DataFrame, spec: TableSpec) -> int:
         """Add the rows, matched by column name; returns how many there were."""
-        return self._write(df, spec, overwrite=False, rebalance=rebalance)
+        return self._write(df, spec, overwrite=False)
 
-    def overwrite(self, df: DataFrame, spec: TableSpec, rebalance: bool = True) -> int:
+    def overwrite(self, df: DataFrame, spec: TableSpec) -> int:
         """Replace all rows, keeping the declared schema; returns how many there are now."""
-        return self._write(df, spec, overwrite=True, rebalance=rebalance)
+        return self._write(df, spec, overwrite=True)
 
     def read(
         self, spec: TableSpec, start: date | None = None, end: date | None = None
@@ -79,13 +88,8 @@ class Lakehouse:
             df = df.where((part <= _TRUNCATE[unit](F.lit(end))) & (day <= F.lit(end)))
         return df.select(spec.schema.names)
 
-    def _write(self, df: DataFrame, spec: TableSpec, overwrite: bool, rebalance: bool) -> int:
-        """Rows are counted while they are written, not by a second job.
-
-        `rebalance` shuffles rows to their partition so that each gets a few full files; the hint
-        lets Spark split a partition that holds much more than the others. Input that already
-        arrives in date order can go without.
-        """
+    def _write(self, df: DataFrame, spec: TableSpec, overwrite: bool) -> int:
+        """Rows are counted while they are written, not by a second job."""
         expected, given = set(spec.schema.names), set(df.columns)
         if expected != given:
             raise ValueError(
@@ -96,7 +100,7 @@ class Lakehouse:
         if spec.partition:
             source, unit = spec.partition
             rows = rows.withColumn(spec.partition_column, _TRUNCATE[unit](source))
-            if rebalance:
+            if self.rebalance:
                 rows = rows.hint("rebalance", spec.partition_column)
         counted = Observation(f"rows_{uuid.uuid4().hex}")
         rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))

@@ -46,14 +46,6 @@ def test_existence_flag_equals_brute_force(spark, hot_rows):
     }
 
 
-def test_salted_key_never_counts_as_found(spark):
-    """Even where a known key looks like a salt."""
-    rows = spark.createDataFrame([(i, None if i % 2 else "COLD") for i in range(100)], "row int, k string")
-    keys = spark.createDataFrame([(f"_{i}",) for i in range(4096)], "k string")
-    result = existence_flag(rows, keys, "k", "found", hot_rows=10)
-    assert result.where("found").count() == 0 and result.count() == 100
-
-
 def test_hot_key_is_spread_over_tasks(spark):
     """In the join's own shuffle no task gets more than a small part of the rows."""
     off = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "32",

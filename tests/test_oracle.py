@@ -19,6 +19,9 @@ def con():
 def test_query_equals_sql(spark, sf_dir, con, key):
     df = driver.queries()[key](spark, sf_dir)
     assert differences(df, con, driver.oracle_sql()[key]) == []
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for slow in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
+        assert slow not in plan
 
 
 def test_every_query_has_sql():
