@@ -22,7 +22,6 @@ EXECUTION = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
-# Only for a local master; a cluster keeps its own widths and memory.
 LOCAL = {
     "spark.sql.shuffle.partitions": "16",
     "spark.ui.enabled": "false",
@@ -30,6 +29,14 @@ LOCAL = {
     "spark.driver.memory": "8g",
 }
 
+# Elsewhere, and only where the cluster has not said otherwise: start shuffles wide, so that a
+# partition of a 100 TB job fits in memory, and let Spark merge what turns out small.
+WIDE = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+}
+
 
 def build_session(
     app_name: str = "shelfmark",
@@ -46,7 +53,16 @@ def build_session(
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not is_local(spark):
+        for key, value in WIDE.items():
+            if spark.conf.get(key, None) is None:
+                spark.conf.set(key, value)
+    return spark
+
+
+def is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
 
 
 @cache
@@ -62,7 +78,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not is_local(spark):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = _local_scratch_root()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
