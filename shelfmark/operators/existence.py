@@ -34,7 +34,8 @@ def existence_flag(
         .where(F.col("_rows") > hot_rows)
         .select(on)
     )
-    hot_known = known.join(F.broadcast(hot), on, "left_semi").withColumn("_known", F.lit(True))
+    # Not a semi join: Spark would push it below the distinct, and shuffle the keys twice.
+    hot_known = known.join(F.broadcast(hot), on).withColumn("_known", F.lit(True))
     hot_flags = hot.join(F.broadcast(hot_known), on, "left").select(
         key.alias("_hot_key"), F.coalesce("_known", F.lit(False)).alias(flag)
     )

@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 _DIGITS = 4
 
 
-def _boundary(sizes: DataFrame, group: str, wanted: Column) -> DataFrame:
-    """The one group that holds the `wanted`-th row, and how many rows of it are wanted.
+def _boundary(rows: DataFrame, group: str, wanted: Column) -> DataFrame:
+    """The one group that holds the `wanted`-th row, and how many rows of it are wanted (_left).
 
-    `sizes` has one row per hash prefix, 65,536 at most, so the running total is a small window.
+    The groups are counted where the rows are; the running total goes over the counts only, of
+    which there are 65,536 at most.
     """
     upto = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return (
-        sizes.withColumn("_end", F.sum("_rows").over(upto))
+        rows.groupBy(group)
+        .agg(F.count(F.lit(1)).alias("_rows"), F.max("_left").alias("_left"))
+        .withColumn("_end", F.sum("_rows").over(upto))
         .withColumn("_total", F.sum("_rows").over(everything))
         .withColumn("_wanted", wanted)
         .where(F.col("_wanted").between(F.col("_end") - F.col("_rows") + 1, F.col("_end")))
@@ -28,34 +31,27 @@ def _boundary(sizes: DataFrame, group: str, wanted: Column) -> DataFrame:
 def sample_exact(df: DataFrame, key: str, rate: float, seed: int) -> DataFrame:
     """max(1, floor(count * rate)) rows of `df`, without replacement.
 
-    Rows are ordered by md5(key|seed), then key; `key` identifies a row. Instead of sorting, the
-    hash of the last sampled row is found by counting: rows per first four hex digits, then per
-    next four inside the boundary group, then a rank among the few rows left (one in 2^32). The
-    sample is then a filter, so no task ever holds more than its own input.
+    Rows are ordered by md5(key|seed), then key. `key` identifies a row; rows that share one are
+    taken or left together. Instead of sorting, the hash of the last sampled row is found by
+    counting: rows per first four hex digits, per next four inside the boundary group, and per key
+    among the rest (one key in 2^32). The sample is then a filter, so no task ever holds more than
+    its own input.
     """
     if not 0 <= rate <= 1:
         raise ValueError("rate must be between 0 and 1")
     digest = F.md5(F.concat_ws("|", F.col(key), F.lit(seed)))
+    place = F.struct(digest.alias("hash"), F.col(key).alias("key"))
     hashed = df.select(
-        F.col(key).alias("_key"),
-        digest.alias("_hash"),
         F.substring(digest, 1, _DIGITS).alias("_first"),
         F.substring(digest, 1 + _DIGITS, _DIGITS).alias("_second"),
+        place.alias("_place"),
+        F.lit(None).cast("bigint").alias("_left"),
     )
 
-    size = F.count(F.lit(1)).alias("_rows")
     n = F.greatest(F.lit(1), F.floor(F.col("_total") * F.lit(rate)))
-    first = _boundary(hashed.groupBy("_first").agg(size), "_first", n)
-
-    inner = hashed.join(F.broadcast(first), "_first")
-    second = _boundary(
-        inner.groupBy("_second").agg(size, F.max("_left").alias("_left")), "_second", F.col("_left")
-    )
-
+    first = _boundary(hashed, "_first", n)
+    inner = hashed.drop("_left").join(F.broadcast(first), "_first")
+    second = _boundary(inner, "_second", F.col("_left"))
     edge = inner.drop("_left").join(F.broadcast(second), "_second")
-    last = (
-        edge.withColumn("_rank", F.row_number().over(Window.orderBy("_hash", "_key")))
-        .where(F.col("_rank") == F.col("_left"))
-        .select(F.struct("_hash", "_key"))
-    )
-    return df.where(F.struct(digest.alias("_hash"), F.col(key).alias("_key")) <= last.scalar())
+    last = _boundary(edge, "_place", F.col("_left")).select("_place").scalar()
+    return df.where(place <= last)

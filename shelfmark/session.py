@@ -15,8 +15,10 @@ SEMANTICS = {
     "spark.sql.storeAssignmentPolicy": "ANSI",
 }
 
-# How plans run: re-plan at run time, split skewed shuffle partitions.
+# How plans run: re-plan at run time, split skewed shuffle partitions, and write timestamps so that
+# filters on them reach the file statistics.
 EXECUTION = {
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -114,3 +114,12 @@ def test_sample_of_nothing_is_empty(spark):
 def test_sample_rate_is_checked(spark):
     with pytest.raises(ValueError):
         sample_exact(spark.range(1), "id", 1.5, 1)
+
+
+def test_copies_of_a_key_stay_together(spark):
+    """A third of all rows share one key: all of them are sampled, or none."""
+    df = spark.range(0, 900, 1, 4).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+    for seed in range(4):
+        rows = [r.k for r in sample_exact(df, "k", 0.5, seed).collect()]
+        assert rows.count(-1) in (0, 300)
+        assert len(rows) == 450 or rows.count(-1) == 300

@@ -10,6 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark import schemas
+from shelfmark.operators.coverage import covered_days
+from shelfmark.operators.existence import existence_flag
 from shelfmark.plans import gold, silver
 from shelfmark.sources import supplied
 
@@ -93,6 +95,13 @@ def test_referential_check_reads_only_the_order_ids_of_sales(spark, stored):
     assert "Union" not in text, "branches for hot and missing keys are gone when there are none"
 
 
+def test_hot_orders_do_not_cost_a_second_scan_of_sales(spark, stored):
+    with settings(spark, **LARGE):
+        text = run(existence_flag(stored("returns"), stored("sales"), "order_id", "known", 2))
+    assert "Union" in text
+    assert len(re.findall(r"FileScan parquet[^\n]*/sales\]", text)) == 1
+
+
 def test_promo_revenue_shuffles_sales_once(spark, stored):
     with settings(spark, **LARGE):
         text = run(gold.promo_revenue(stored("sales"), stored("promotions")))
@@ -133,8 +142,6 @@ def test_many_overlapping_promotions_are_merged_before_they_are_exploded(spark):
         F.date_add(F.lit(date(2024, 1, 1)), (F.col("id") % 10).cast("int")).alias("start_date"),
         F.date_add(F.lit(date(2024, 2, 1)), (F.col("id") % 300).cast("int")).alias("end_date"),
     )
-    from shelfmark.operators.coverage import covered_days
-
     days = covered_days(promos, "start_date", "end_date", "day")
     text = plan(days)
     assert text.index("Generate explode") < text.index("partial_max"), "merged below the explode"
