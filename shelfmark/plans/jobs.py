@@ -20,7 +20,8 @@ def ingest_raw(lake: Lakehouse, spec: TableSpec, path: str, infer: bool = False)
 
 def silver_sales(lake: Lakehouse) -> int:
     _prepare(lake, schemas.SILVER_SALES)
-    return lake.append(silver.sales(lake.read(schemas.BRONZE_SALES)), schemas.SILVER_SALES)
+    rows = silver.sales(lake.read(schemas.BRONZE_SALES))
+    return lake.append(rows, schemas.SILVER_SALES, like=schemas.BRONZE_SALES)
 
 
 def silver_returns(lake: Lakehouse) -> int:
@@ -32,7 +33,7 @@ def silver_returns(lake: Lakehouse) -> int:
 def silver_promotions(lake: Lakehouse) -> int:
     _prepare(lake, schemas.SILVER_PROMOTIONS)
     rows = silver.promotions(lake.read(schemas.BRONZE_PROMOTIONS))
-    return lake.append(rows, schemas.SILVER_PROMOTIONS)
+    return lake.append(rows, schemas.SILVER_PROMOTIONS, like=schemas.BRONZE_PROMOTIONS)
 
 
 def gold_customer_ltv(lake: Lakehouse) -> int:

@@ -20,9 +20,9 @@ class Lakehouse:
     """The tables of one catalog.
 
     `prefix` goes before the database names; `location` is the folder of the databases, by default
-    the session's warehouse. With `rebalance` a write shuffles rows to their partition, so that
-    each month or year gets a few full files; Spark splits one that holds much more than the
-    others. Input that already arrives in date order can go without.
+    the session's warehouse. A write shuffles rows to their partition, so that each month or year
+    gets a few full files; Spark splits one that holds much more than the others. `rebalance=False`
+    turns that off for input that arrives in date order.
     """
 
     def __init__(
@@ -61,9 +61,15 @@ class Lakehouse:
             f" USING parquet{layout}"
         )
 
-    def append(self, df: DataFrame, spec: TableSpec) -> int:
-        """Add the rows, matched by column name; returns how many there were."""
-        return self._write(df, spec, overwrite=False)
+    def append(self, df: DataFrame, spec: TableSpec, like: TableSpec | None = None) -> int:
+        """Add the rows, matched by column name; returns how many there were.
+
+        `like` is the table whose rows these are, one for one and in its files' order. If it has the
+        same partitions, every task already holds rows of one or two of them, and nothing is
+        shuffled.
+        """
+        placed = like is not None and like.partition == spec.partition
+        return self._write(df, spec, overwrite=False, placed=placed)
 
     def overwrite(self, df: DataFrame, spec: TableSpec) -> int:
         """Replace all rows, keeping the declared schema; returns how many there are now."""
@@ -88,7 +94,9 @@ class Lakehouse:
             df = df.where((part <= _TRUNCATE[unit](F.lit(end))) & (day <= F.lit(end)))
         return df.select(spec.schema.names)
 
-    def _write(self, df: DataFrame, spec: TableSpec, overwrite: bool) -> int:
+    def _write(
+        self, df: DataFrame, spec: TableSpec, overwrite: bool, placed: bool = False
+    ) -> int:
         """Rows are counted while they are written, not by a second job."""
         expected, given = set(spec.schema.names), set(df.columns)
         if expected != given:
@@ -100,7 +108,7 @@ class Lakehouse:
         if spec.partition:
             source, unit = spec.partition
             rows = rows.withColumn(spec.partition_column, _TRUNCATE[unit](source))
-            if self.rebalance:
+            if self.rebalance and not placed:
                 rows = rows.hint("rebalance", spec.partition_column)
         counted = Observation(f"rows_{uuid.uuid4().hex}")
         rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from shelfmark import schemas
 from shelfmark.functions.audit import stamped
+from shelfmark.plans import bronze, silver
 from shelfmark.schemas import LAYERS, TABLES
+from shelfmark.sources import supplied
 
 
 def daily(spark, rows):
@@ -155,3 +157,28 @@ def test_a_month_with_most_rows_is_split_over_files(spark, lake):
     ).count().collect()
     sizes = [r["count"] for r in stored if r[spec.partition_column] == date(2024, 1, 1)]
     assert sum(sizes) == 190_000 and len(sizes) >= 4 and max(sizes) < 80_000
+
+
+def test_rows_from_a_table_with_the_same_months_are_not_shuffled(spark, sf_dir, lake):
+    """Silver from bronze: no more files than bronze has, each of one month, and no exchange."""
+    for spec in (schemas.BRONZE_SALES, schemas.SILVER_SALES):
+        ready(lake, spec)
+    lake.append(bronze.sales(supplied.sales(spark, sf_dir)), schemas.BRONZE_SALES)
+    rows = silver.sales(lake.read(schemas.BRONZE_SALES))
+    assert "Exchange" not in scan_text(rows)
+    assert lake.append(rows, schemas.SILVER_SALES, like=schemas.BRONZE_SALES) == 5855
+
+    def files(spec):
+        return spark.table(lake.table_name(spec)).select(F.input_file_name()).distinct().count()
+
+    assert files(schemas.SILVER_SALES) <= files(schemas.BRONZE_SALES)
+
+
+def test_like_a_table_with_other_partitions_still_rebalances(spark, lake):
+    spec = schemas.GOLD_DAILY_SALES
+    ready(lake, spec)
+    rows = [(date(2024, 1, d), 1.0, 1, 1.0) for d in range(1, 31)]
+    spread = daily(spark, rows).repartition(10)
+    assert lake.append(spread, spec, like=schemas.BRONZE_PROMOTIONS) == 30
+    stored = spark.table(lake.table_name(spec)).select(F.input_file_name()).distinct().count()
+    assert stored == 1
