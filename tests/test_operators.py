@@ -86,6 +86,23 @@ def test_covered_days_equal_brute_force(spark):
     assert len(result) == len(set(result)) and set(result) == covered
 
 
+def test_open_ended_intervals_do_not_multiply(spark):
+    """A thousand first days, all until the end of the calendar: each day once."""
+    first = date(2024, 1, 1)
+    df = spark.range(1000).select(
+        F.date_add(F.lit(first), F.col("id").cast("int") * 2).alias("s"),
+        F.lit(date(9999, 12, 31)).alias("e"),
+    )
+    days = covered_days(df, "s", "e", "day")
+    assert days.count() == days.distinct().count() == (date(9999, 12, 31) - first).days + 1
+
+
+def test_gaps_stay_uncovered(spark):
+    spans = [(date(2024, 1, 1), date(2024, 1, 2)), (date(2024, 1, 2), date(2024, 1, 2)), (date(2024, 1, 5), date(2024, 1, 5))]
+    days = covered_days(spark.createDataFrame(spans, "s date, e date"), "s", "e", "day")
+    assert sorted(r.day.day for r in days.collect()) == [1, 2, 5]
+
+
 def brute_sample(keys, rate, seed):
     def order(k):
         return hashlib.md5(f"{k}|{seed}".encode()).hexdigest(), k

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfmark import schemas
 from shelfmark.functions.audit import stamped
-from shelfmark.plans import bronze, silver
+from shelfmark.plans import bronze, jobs, silver
 from shelfmark.schemas import LAYERS, TABLES
 from shelfmark.sources import supplied
 
@@ -182,3 +182,9 @@ def test_like_a_table_with_other_partitions_still_rebalances(spark, lake):
     assert lake.append(spread, spec, like=schemas.BRONZE_PROMOTIONS) == 30
     stored = spark.table(lake.table_name(spec)).select(F.input_file_name()).distinct().count()
     assert stored == 1
+
+
+def test_jobs_on_empty_tables_write_and_count_nothing(lake):
+    for spec in TABLES.values():
+        ready(lake, spec)
+    assert {job: run(lake) for job, run in jobs.REFRESH.items()} == dict.fromkeys(jobs.REFRESH, 0)
