@@ -354,8 +354,10 @@ def project_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def project_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return supplied.sales(spark, sf_dir).withColumns(
-        {"total_amount": F.round(F.col("quantity") * F.col("price"), 2),
-         "order_date": F.to_date("order_date")}
+        {
+            "total_amount": F.round(F.col("quantity") * F.col("price"), 2),
+            "order_date": F.to_date("order_date"),
+        }
     )
 
 

@@ -78,14 +78,15 @@ def promo_revenue(sales: DataFrame, promotions: DataFrame) -> DataFrame:
 def return_rate_by_product(sales: DataFrame, returns: DataFrame) -> DataFrame:
     """Per product and month of sale: units sold, and the returns dated in that month.
 
-    The published rate is returned rows over returned value, not over units sold. Both sides are
+    The published rate is returned rows over returned value, not over units sold. Units are summed
+    like money, so that fractions of a unit add up exactly before the whole is taken. Both sides are
     summed by the join keys first, so the join needs no further shuffle.
     """
     keys = ["product_id", "return_month"]
     sold = (
         sales.withColumn("return_month", month_start("order_date"))
         .groupBy(keys)
-        .agg(F.sum("quantity").alias("sold_qty"))
+        .agg(money_sum("quantity").alias("sold_qty"))
     )
     returned = (
         returns.withColumn("return_month", month_start("return_date"))

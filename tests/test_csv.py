@@ -59,7 +59,8 @@ def test_wrong_columns_are_refused(spark, tmp_path):
 
 def test_second_file_with_another_header_is_refused(spark, tmp_path):
     path = write(tmp_path / "in", "a.csv", SALES + "O1,C1,P1,2,9.5,2024-03-05\n")
-    write(tmp_path / "in", "b.csv", "customer_id,order_id,product_id,quantity,price,order_date\nC2,O2,P1,2,9.5,2024-03-05\n")
+    swapped = SALES.replace("order_id,customer_id", "customer_id,order_id")
+    write(tmp_path / "in", "b.csv", swapped + "C2,O2,P1,2,9.5,2024-03-05\n")
     with pytest.raises(Exception, match="(?i)header"):
         read_csv(spark, path, schemas.BRONZE_SALES).collect()
 

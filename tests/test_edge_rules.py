@@ -33,7 +33,10 @@ def promo(pid="X", pct=10.0, start=date(2024, 3, 1), end=date(2024, 3, 3)):
     return (pid, "name", pct, start, end, "All", "Active")
 
 
-@pytest.mark.parametrize("quantity,price", [(None, 1.0), (1.0, None), (0.0, 1.0), (1.0, 0.0), (-1.0, 1.0), (1.0, -1.0)])
+@pytest.mark.parametrize(
+    "quantity,price",
+    [(None, 1.0), (1.0, None), (0.0, 1.0), (1.0, 0.0), (-1.0, 1.0), (1.0, -1.0)],
+)
 def test_unusable_sales_are_dropped(spark, quantity, price):
     rows = frame(spark, schemas.BRONZE_SALES, [sale(quantity=quantity, price=price), sale("O2")])
     assert [r.order_id for r in silver.sales(rows).collect()] == ["O2"]
@@ -138,8 +141,8 @@ def test_promotion_days_include_both_ends_once(spark):
 
 
 def test_reversed_and_invalid_promotions_cover_their_days(spark):
-    result = promo_revenue(spark, days(1, 2, 8), [promo(pct=99.0, start=date(2024, 3, 2), end=date(2024, 3, 1))])
-    assert set(result) == {1, 2}
+    reversed_dates = promo(pct=99.0, start=date(2024, 3, 2), end=date(2024, 3, 1))
+    assert set(promo_revenue(spark, days(1, 2, 8), [reversed_dates])) == {1, 2}
 
 
 def test_promotion_without_a_date_covers_nothing(spark):
@@ -198,6 +201,13 @@ def test_return_rate_counts_rows_over_value(spark):
     }
 
 
+def test_fractions_of_a_unit_add_up(spark):
+    """Thirty tenths are three units; added as doubles they would be a little less, and cut to two."""
+    sales = frame(spark, schemas.SILVER_SALES, [silver_sale(quantity=0.1)] * 30)
+    returns = frame(spark, schemas.SILVER_RETURNS, [])
+    assert gold.return_rate_by_product(sales, returns).first().sold_qty == 3
+
+
 def test_every_layer_restamps(spark):
     old = frame(spark, schemas.BRONZE_SALES, [sale()]).withColumn(
         "_ingestion_time", F.lit("2000-01-01").cast("timestamp")
