@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import decontaminate, packing, quality_rules, simhash
+from shelfmark.llm import decontaminate, hidden_markov, packing, quality_rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,6 +34,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+@query
+def op6_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hidden Markov model's log10 probability of every document."""
+    return hidden_markov.score(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of documents that benchmark windows cover."""
