@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import decontaminate, hidden_markov, packing, quality_rules, simhash
+from shelfmark.llm import decontaminate, hidden_markov, packing, personal_data, quality_rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -46,6 +46,12 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return personal_data.personal_data(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule statistics of every document, and whether its histograms are near its language's."""
