@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import decontaminate, hidden_markov, packing, personal_data, quality_rules, simhash
+from shelfmark.llm import decontaminate, hidden_markov, language, packing, personal_data, quality_rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -28,6 +28,18 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("fingerprint", simhash.hex_digits("fingerprint"))
 
 
+@query
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    return language.document_languages(table(spark, sf_dir, "documents"))
+
+
+@query
+def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every page, from its markup, address and text."""
+    return language.page_languages(table(spark, sf_dir, "pages"))
+
+
 @query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in sequences of 2,048 tokens."""
