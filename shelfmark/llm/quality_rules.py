@@ -76,7 +76,7 @@ def _statistics(raw: bytes | None, words: list[bytes]) -> tuple[int, int, int, i
     )
 
 
-def _classes(raw: bytes | None) -> np.ndarray:
+def byte_classes(raw: bytes | None) -> np.ndarray:
     return np.bincount(_CLASSES[np.frombuffer(raw or b"", np.uint8)], minlength=N_CLASSES)
 
 
@@ -140,7 +140,7 @@ def judge(docs: DataFrame) -> DataFrame:
         if lang not in places:
             lang = min(places, key=lambda key: (histogram(key)[-1], key), default=None)
         hist = histogram(lang) if lang is not None else []
-        return *_statistics(raw, words), _classes(raw).tolist(), lang, hist
+        return *_statistics(raw, words), byte_classes(raw).tolist(), lang, hist
 
     measured = per_row(source, measure, ["lang", "_raw"], f"{STATISTICS}, {HISTOGRAMS}", setup=places)
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import decontaminate, hidden_markov, language, packing, personal_data, quality_rules, simhash, toxicity
+from shelfmark.llm import decontaminate, hidden_markov, language, packing, personal_data, quality_pu, quality_rules, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    return quality_pu.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The SimHash component of every document."""
