@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as driver
+from shelfmark.checks.oracle import ORACLE
+from shelfmark.checks.queries import QUERIES
 from tests.comparing import differences, duckdb_over
 
 
@@ -15,7 +17,7 @@ def con():
     return duckdb_over(SF_DIR)
 
 
-@pytest.mark.parametrize("key", sorted(driver.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_equals_sql(spark, sf_dir, con, key):
     df = driver.queries()[key](spark, sf_dir)
     assert differences(df, con, driver.oracle_sql()[key]) == []
@@ -25,7 +27,8 @@ def test_query_equals_sql(spark, sf_dir, con, key):
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(driver.queries())
 
 
 def test_entry_has_rows(spark):
