@@ -1,0 +1,107 @@
+"""The hidden Markov model against recursions written out, and its scores against counts in plain Python."""
+
+from __future__ import annotations
+
+import math
+import zlib
+from collections import Counter
+from itertools import product
+
+import numpy as np
+import pytest
+
+from shelfmark.llm import hidden_markov as hm
+
+
+def small_model(states=3, symbols=5, seed=1):
+    rng = np.random.default_rng(seed)
+    dist = lambda *shape: rng.dirichlet(np.ones(shape[-1]), shape[:-1])
+    return hm.Model(dist(states), dist(states, states), dist(states, symbols).T.copy(), dist(states))
+
+
+def enumerated(sequence, model):
+    total = 0.0
+    for path in product(range(len(model.first)), repeat=len(sequence)):
+        chance = model.first[path[0]] * model.symbols[sequence[0], path[0]]
+        for a, b, s in zip(path, path[1:], sequence[1:]):
+            chance *= model.onward[a, b] * model.symbols[s, b]
+        total += chance
+    return math.log10(total)
+
+
+def test_forward_equals_all_paths():
+    model = small_model()
+    sequences = [np.array(s) for s in ([0], [1, 2], [4, 4, 0, 1, 3], [2, 2, 2, 0, 1, 4, 3])]
+    assert hm.log_likelihoods(sequences, model) == pytest.approx([enumerated(s, model) for s in sequences])
+
+
+def test_long_texts_are_exact_too(monkeypatch):
+    rng = np.random.default_rng(3)
+    sequences = [rng.integers(0, 5, n) for n in (1, 40, 7, 333, 64)]
+    whole = hm.log_likelihoods(sequences, small_model())
+    monkeypatch.setattr(hm, "SEGMENT", 8)
+    assert hm.log_likelihoods(sequences, small_model()) == pytest.approx(whole)
+
+
+def test_expected_counts_equal_all_paths():
+    model = small_model()
+    sequences = [np.array(s) for s in ([0, 3, 1], [2, 2, 4, 1], [1])]
+    expected = np.zeros((5 + 3 + 2, 3))
+    for s in sequences:
+        paths = list(product(range(3), repeat=len(s)))
+        chances = []
+        for path in paths:
+            chance = model.first[path[0]] * model.symbols[s[0], path[0]]
+            for a, b, x in zip(path, path[1:], s[1:]):
+                chance *= model.onward[a, b] * model.symbols[x, b]
+            chances.append(chance)
+        for path, chance in zip(paths, np.array(chances) / sum(chances)):
+            expected[-2, path[0]] += chance
+            for x, k in zip(s, path):
+                expected[x, k] += chance
+                expected[-1, k] += chance
+            for a, b in zip(path, path[1:]):
+                expected[5 + a, b] += chance
+    assert hm.expected_counts(sequences, [True] * 3, model) == pytest.approx(expected)
+
+
+def test_rounds_raise_the_likelihood():
+    rng = np.random.default_rng(5)
+    sequences = [rng.integers(0, 3, 60) if i % 2 else rng.integers(2, 5, 60) for i in range(60)]
+    shares = np.full(5, 0.2)
+    model, last = hm.starting_model(shares, 2), -np.inf
+    for _ in range(6):
+        now = hm.log_likelihoods(sequences, model).sum()
+        assert now >= last - 1e-6 * abs(now)
+        last, model = now, hm.reestimated(hm.expected_counts(sequences, [True] * 60, model), shares)
+
+
+@pytest.mark.parametrize("listed", [hm.LISTED, 100])
+def test_scores_equal_counts(spark, sf_dir, monkeypatch, listed):
+    monkeypatch.setattr(hm, "LISTED", listed)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    tokens = {i: [*t.encode().lower().split(), b""] for i, t in texts.items()}
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in texts}
+    counts = Counter(w for i, t in tokens.items() if not held[i] for w in t)
+    n, v = sum(counts.values()), len(counts)
+    rows = {r.doc_id: r for r in hm.score(docs, rounds=2).collect()}
+    assert set(rows) == set(texts)
+    for i, t in tokens.items():
+        r = rows[i]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[i], len(t), sum(w in counts for w in t), n)
+        assert r.base_score == pytest.approx(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in t))
+    if listed == hm.LISTED:
+        away = [r for r in rows.values() if r.held_out]
+        assert sum(r.score for r in away) > sum(r.base_score for r in away)
+
+
+def test_symbols_are_the_same_in_spark_and_python(spark):
+    from pyspark.sql import functions as F
+
+    words = [b"a", b"ab", b"abc", b"abcd", b"abcde", "é".encode(), "straße".encode(), b""]
+    frame = spark.createDataFrame([(bytearray(w),) for w in words], "word binary")
+    column = F.crc32(F.substring("word", -hm.ENDING, hm.ENDING)) % hm.BUCKETS
+    assert {bytes(r.word): r.b + hm.OWN for r in frame.select("word", column.alias("b")).collect()} == {
+        w: hm.bucket(w) for w in words
+    }
