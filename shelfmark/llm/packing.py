@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import zlib
 from functools import cache
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -19,16 +20,20 @@ WINDOW_SEQUENCES = 64
 END = 1
 VOCABULARY = "word_bpe_49k.json"
 CACHED = 400_000  # words whose ids a worker keeps
-CHUNK_ROWS = 20_000
+CHUNK_ROWS = 4_000
 BLOCK_WINDOWS = 4096
 
+_LATIN = "\u0130"  # below it, letters stay letters in lower case
+_MARKS = b".,;:!?#*$%&|)"
+_ENDED = np.array([END], "<u4").tobytes()
+
 
 class Encoder:
     """Token ids of texts, by the ids of their words.
 
     The vocabulary's splitter ends a piece at white space, and none of its rules looks across it, so a text's ids are those of
     its words in turn. Lower case is part of the vocabulary; A-Z may be lowered before, but not where a combining mark or a
-    special token's opening could change with it.
+    special token's opening could change with it. A word that ends in a letter and then marks like commas is split there too.
     """
 
     def __init__(self, path: str) -> None:
@@ -37,31 +42,55 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        names = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(names.values()) + 1, bool)  # ids that end a piece
+        self.ends[[i for name, i in names.items() if name.endswith("</w>")]] = True
 
     @staticmethod
-    def words(raw: bytes) -> list[bytes]:
+    def words(raw: bytes | None) -> list[bytes]:
+        if not raw:
+            return []
         return raw.split() if b"\xcc" in raw or b"\xcd" in raw or b"<|" in raw else raw.lower().split()
 
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.known) + len(words) > CACHED:
-            self.known = {w: self.known[w] for w in words if w in self.known}
-        new = [w for w in words if w not in self.known]
-        for word, coded in zip(
-            new,
-            self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False) if new else [],
-            strict=True,
-        ):
-            self.known[word] = np.array(coded.ids, "<u4").tobytes()
-
-    def encode(self, raw: bytes | None) -> bytes:
-        """Little-endian unsigned 32-bit ids of a text, and the id that ends a document."""
-        words = self.words(raw or b"")
-        parts = []
-        for i in range(0, len(words), CACHED // 2):
-            some = words[i : i + CACHED // 2]
-            self.learn(set(some))
-            parts.append(b"".join(map(self.known.__getitem__, some)))
-        return b"".join([*parts, np.array([END], "<u4").tobytes()])
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        """The ids of each word. Words of letters are one piece each and go as one text, cut where pieces end."""
+        out: dict[str, bytes] = {}
+        letters = [w for w in words if w.isalpha() and max(w) < _LATIN]
+        for i in range(0, len(letters), 1000):
+            some = letters[i : i + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+                out.update((w, raw[a:b]) for w, a, b in zip(some, cuts, cuts[1:], strict=False))
+        rest = [w for w in words if w not in out]
+        for word, coded in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else [], strict=True):
+            out[word] = np.array(coded.ids, "<u4").tobytes()
+        return [out[w] for w in words]
+
+    def learn(self, texts: list[list[bytes]]) -> None:
+        """Make the ids of all words of some texts known."""
+        new = set(filterfalse(self.known.__contains__, chain.from_iterable(texts)))
+        if len(self.known) + len(new) > CACHED:
+            present = set(chain.from_iterable(texts))
+            self.known = {w: ids for w, ids in self.known.items() if w in present}
+        if not new:
+            return
+        parts: dict[bytes, tuple[bytes, bytes]] = {}
+        for word in new:
+            stem = word.rstrip(_MARKS)
+            last = stem[-1:]
+            whole = not stem or len(stem) == len(word) or not (last.isalnum() or stem.decode()[-1].isalpha() and stem.decode()[-1] < _LATIN)
+            parts[word] = (word, b"") if whole else (stem, word[len(stem) :])
+        fresh = [p for p in {p for pair in parts.values() for p in pair} if p and p not in self.known]
+        found = dict(zip(fresh, self._encoded([p.decode() for p in fresh]), strict=True))
+        found[b""] = b""
+        for word, pair in parts.items():
+            self.known[word] = b"".join(found[p] if p in found else self.known[p] for p in pair)
+
+    def encode(self, words: list[bytes]) -> bytes:
+        """Little-endian unsigned 32-bit ids of known words in turn, and the id that ends a document."""
+        return b"".join([*map(self.known.__getitem__, words), _ENDED])
 
 
 @cache
@@ -77,11 +106,11 @@ def tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         width = "<u2" if encoder.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         for batch in batches:
             coded, numbers = [], []
-            for i in range(0, len(batch), 256):
-                texts = batch.column(2).slice(i, 256).to_pylist()
-                encoder.learn(set().union(*(Encoder.words(raw) for raw in texts if raw and len(raw) < 1 << 20)))
-                for raw in texts:
-                    ids = np.frombuffer(encoder.encode(raw), "<u4")
+            for i in range(0, len(batch), 128):
+                texts = [Encoder.words(raw) for raw in batch.column(2).slice(i, 128).to_pylist()]
+                encoder.learn(texts)
+                for words in texts:
+                    ids = np.frombuffer(encoder.encode(words), "<u4")
                     coded.append(ids.astype(width).tobytes())
                     numbers.append(len(ids))
             yield pa.RecordBatch.from_arrays(
