@@ -36,8 +36,21 @@ def expected_ids(tokenizer, text):
 @pytest.mark.parametrize("text", TEXTS)
 def test_words_give_the_ids_of_the_text(tokenizer, text):
     encoder = packing.Encoder(public_tokenizers.path("word_bpe_49k.json"))
-    raw = None if text is None else text.encode()
-    assert encoder.encode(raw) == expected_ids(tokenizer, text).tobytes()
+    words = encoder.words(None if text is None else text.encode())
+    encoder.learn([words])
+    assert encoder.encode(words) == expected_ids(tokenizer, text).tobytes()
+
+
+def test_words_of_many_kinds(tokenizer):
+    rng = random.Random(6)
+    letters = "abcXYZ\u00e9\u00df\u0130\u01c5\u03a3\u0301\u65e5\u00aa\u00b2'7.,!#$)("
+    words = ["".join(rng.choices(letters, k=rng.randrange(1, 9))) for _ in range(3000)] + ["don't.", "it's,", "x's!", "'s", "..."]
+    encoder = packing.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    for i in range(0, len(words), 50):
+        text = rng.choice((" ", "\n", "\t ")).join(words[i : i + 50])
+        found = encoder.words(text.encode())
+        encoder.learn([found])
+        assert encoder.encode(found) == expected_ids(tokenizer, text).tobytes()
 
 
 def test_every_token_lies_in_one_piece(spark, sf_dir, tokenizer):
