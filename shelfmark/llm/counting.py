@@ -9,9 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.text import Batches, in_batches, materialise
+from shelfmark.llm.text import Batches, in_batches, materialise, sliced
 
-HELD = 300_000  # words a task counts before it hands its counts on
+HELD = 200_000  # words a task counts before it hands its counts on
 
 
 def word_counts(
@@ -38,7 +38,7 @@ def word_counts(
                 names=["key", "word", "n"],
             )
 
-        for batch in batches:
+        for batch in sliced(batches):
             for key, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 counter = counts.setdefault(key, Counter())
                 counter.update(split(raw))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.counting import word_counts
-from shelfmark.llm.text import Batches, held_out, in_batches, lower_words, materialise
+from shelfmark.llm.text import Batches, held_out, in_batches, lower_words, materialise, sliced
 
 STATES = 8
 ROUNDS = 4
@@ -24,7 +24,7 @@ ENDING = 4
 SYMBOLS = OWN + BUCKETS
 LISTED = 1 << 17  # most frequent words, whose counts every task holds
 SEGMENT = 2048  # tokens that are trained, or whose transfer is found, at a time
-BATCH_TOKENS = 1 << 19
+BATCH_TOKENS = 1 << 17
 PRIOR = 100.0  # tokens of the overall mix that each state is given
 END = b""
 SEED = 7
@@ -213,7 +213,7 @@ def _coded(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         vocabulary = held.value
         find, own = vocabulary.places().get, vocabulary.symbols()
         logs = np.log10(vocabulary.counts + 1)
-        for batch in batches:
+        for batch in sliced(batches):
             made: list[list] = [[] for _ in range(7)]
             for raw in batch.column(2).to_pylist():
                 words = [*lower_words(raw), END]
@@ -249,7 +249,7 @@ def _coded(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 def _groups(batches: Batches, column: int) -> object:
     """Symbol sequences of some batches, in groups of bounded size, with the rows they are of."""
-    for batch in batches:
+    for batch in sliced(batches):
         rows = batch.column(column).to_pylist()
         begin, size = 0, 0
         for i, raw in enumerate(rows):

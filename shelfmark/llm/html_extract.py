@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.dom import NEVER_TEXT, Page, blocks, parse
-from shelfmark.llm.text import Batches, in_batches, materialise, per_row
+from shelfmark.llm.text import Batches, in_batches, materialise, per_row, sliced
 
 TRAINING_PAGES = 1500  # about as many pages are learned from, by hash
 TREES, DEPTH = 12, 4
@@ -191,7 +191,7 @@ def train(pages: DataFrame, training_pages: int = TRAINING_PAGES) -> Trees | Non
     few = F.pmod(F.xxhash64("url", F.xxhash64("html")), F.lit(1 << 20)) < (1 << 20) * training_pages / max(1, number)
 
     def run(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in sliced(batches):
             rows, labels = [], []
             for html in batch.column(0).to_pylist():
                 page = parse(html or "")

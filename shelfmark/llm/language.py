@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.text import Batches, in_batches, materialise, per_row
+from shelfmark.llm.text import Batches, in_batches, materialise, per_row, sliced
 
 BUCKETS = 1 << 13
 MOST_LANGUAGES = 64  # those of most text have a model
@@ -68,7 +68,7 @@ def train(texts: DataFrame) -> TextModel:
                 [pa.array(keys, pa.string()), pa.array(at, pa.int64()), pa.array(n, pa.int64())], names=["key", "bucket", "n"]
             )
 
-        for batch in batches:
+        for batch in sliced(batches):
             for key, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if key not in counts:
                     if len(counts) >= 4 * MOST_LANGUAGES:

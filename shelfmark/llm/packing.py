@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.text import Batches, in_batches, materialise
+from shelfmark.llm.text import Batches, in_batches, materialise, sliced
 
 SEQUENCE = 2048
 WINDOW_SEQUENCES = 64
@@ -104,7 +104,7 @@ def tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     def run(batches: Batches) -> Batches:
         encoder = _encoder(vocabulary)
         width = "<u2" if encoder.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        for batch in batches:
+        for batch in sliced(batches):
             coded, numbers = [], []
             for i in range(0, len(batch), 128):
                 texts = [Encoder.words(raw) for raw in batch.column(2).slice(i, 128).to_pylist()]
@@ -240,7 +240,7 @@ def pack(
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
 
     def digest(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in sliced(batches):
             made: list[list] = [[] for _ in names]
             at = []
             for i, (n, ids, parts) in enumerate(zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True)):

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.components import connected_components
-from shelfmark.llm.text import Batches, in_batches, lower_words, materialise, per_row, tucked, untucked
+from shelfmark.llm.text import Batches, in_batches, lower_words, materialise, per_row, sliced, tucked, untucked
 
 SHINGLE = 4
 RADIUS = 4
@@ -83,7 +83,7 @@ def _linked(prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
 
 def _bucket_links(buckets: DataFrame, radius: int) -> DataFrame:
     def run(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in sliced(batches):
             edges = [e for prints in batch.column(0).to_pylist() for e in _linked(np.array(prints, np.int64), radius)]
             u, v = zip(*edges, strict=True) if edges else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])

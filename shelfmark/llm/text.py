@@ -81,6 +81,16 @@ def in_batches(frame: DataFrame, run: Callable[[Batches], Batches], schema: Any)
     return frame.mapInArrow(run, schema)
 
 
+SLICE_ROWS = 512
+
+
+def sliced(batches: Batches) -> Batches:
+    """The same rows in smaller batches, so that what Python makes of one stays small."""
+    for batch in batches:
+        for i in range(0, len(batch), SLICE_ROWS):
+            yield batch.slice(i, SLICE_ROWS)
+
+
 def per_row(
     frame: DataFrame, row: Callable[..., tuple], inputs: list[str], outputs: str, setup: Callable[[], Any] | None = None
 ) -> DataFrame:
@@ -100,7 +110,7 @@ def per_row(
 
     def run(batches: Batches) -> Batches:
         state = (setup(),) if setup else ()
-        for batch in batches:
+        for batch in sliced(batches):
             columns = [batch.column(c).to_pylist() for c in inputs]
             results = [row(*state, *values) for values in zip(*columns, strict=True)]
             made = [

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.labeled import labels_outside, sampled_texts
-from shelfmark.llm.text import Batches, held_out, in_batches, materialise, per_row, remainder
+from shelfmark.llm.text import Batches, held_out, in_batches, materialise, per_row, remainder, sliced
 
 # Seed words of each class.
 INSULTS = (
@@ -192,7 +192,7 @@ def learn_grammar(sample: DataFrame, label: str) -> Grammar:
     """
 
     def run(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in sliced(batches):
             pairs: set[tuple[str, str]] = set()
             documents: dict[str, list[int]] = defaultdict(lambda: [0, 0])
             for toxic, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
