@@ -23,8 +23,9 @@ BUCKETS = 4096  # symbols of the other words, by their last letters
 ENDING = 4
 SYMBOLS = OWN + BUCKETS
 LISTED = 1 << 17  # most frequent words, whose counts every task holds
-SEGMENT = 2048  # tokens that are trained, or whose transfer is found, at a time
-BATCH_TOKENS = 1 << 17
+SEGMENT = 512  # tokens of a text that are trained, or whose transfer is found, as one sequence
+WHOLE = 4096  # tokens of a text whose likelihood is found place by place
+BATCH_TOKENS = 1 << 17  # that are trained on at a time; four times as many are scored
 PRIOR = 100.0  # tokens of the overall mix that each state is given
 END = b""
 SEED = 7
@@ -36,7 +37,7 @@ def bucket(word: bytes) -> int:
 
 @dataclass
 class Model:
-    """Chances of the first state, of the next state, and of a symbol in a state (symbols x states)."""
+    """Chances of the first state, of the next state, and of a symbol in a state (states x symbols)."""
 
     first: np.ndarray
     onward: np.ndarray
@@ -46,16 +47,19 @@ class Model:
 
 def starting_model(shares: np.ndarray, states: int = STATES) -> Model:
     """States that stay, each with its own distortion of the overall symbol shares; the same on every run."""
-    noise = np.exp(np.random.default_rng(SEED).normal(0.0, 0.5, (len(shares), states)))
-    symbols = shares[:, None] * noise
+    noise = np.exp(np.random.default_rng(SEED).normal(0.0, 0.5, (states, len(shares))))
+    symbols = shares * noise
     even = np.full(states, 1.0 / states)
     onward = np.full((states, states), 0.1 / max(1, states - 1))
     np.fill_diagonal(onward, 0.9 if states > 1 else 1.0)
-    return Model(even, onward, symbols / symbols.sum(axis=0), even)
+    return Model(even, onward, symbols / symbols.sum(axis=1, keepdims=True), even)
 
 
 class TimeMajor:
-    """Sequences laid out by place: first all first symbols, longest sequence first, then all second ones, and so on."""
+    """Sequences laid out by place: first all first symbols, longest sequence first, then all second ones, and so on.
+
+    A step of a recursion is then a few operations on (states x sequences).
+    """
 
     def __init__(self, sequences: list[np.ndarray]) -> None:
         lengths = np.array([len(s) for s in sequences], np.int64)
@@ -64,69 +68,86 @@ class TimeMajor:
         steps = int(ordered[0])
         self.active = np.searchsorted(-ordered, -np.arange(1, steps + 1), side="right")
         self.begin = np.concatenate([[0], np.cumsum(self.active)])
-        place = np.concatenate([np.arange(n) for n in ordered])
         who = np.repeat(np.arange(len(ordered)), ordered)
+        place = np.arange(len(who)) - np.repeat(np.cumsum(ordered) - ordered, ordered)
         self.symbols = np.empty(len(place), np.int64)
         self.symbols[self.begin[place] + who] = np.concatenate([sequences[i] for i in self.order])
-        self.owner = np.concatenate([self.order[:n] for n in self.active])
+        self.steps = list(zip(self.begin[:-1].tolist(), self.active.tolist(), strict=True))
 
     def forward(self, model: Model, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Scaled state chances at each place, the scales, and the symbol chances there. `first`: a row a sequence."""
-        emitted = model.symbols[self.symbols]
+        """Scaled state chances at each place, the scales, and the symbol chances there. `first`: a column a sequence."""
+        emitted = np.take(model.symbols, self.symbols, axis=1)
         chances = np.empty_like(emitted)
-        scales = np.empty(len(emitted))
-        ahead = first[self.order]
-        for a, n in zip(self.begin[:-1].tolist(), self.active.tolist(), strict=True):
-            now = ahead[:n] * emitted[a : a + n]
-            scale = now.sum(axis=1)
-            now /= scale[:, None]
-            chances[a : a + n], scales[a : a + n] = now, scale
-            ahead = now @ model.onward
+        scales = np.empty(emitted.shape[1])
+        ahead, turned = first[:, self.order], model.onward.T.copy()
+        for a, n in self.steps:
+            now = ahead[:, :n] * emitted[:, a : a + n]
+            scale = now.sum(axis=0)
+            now /= scale
+            chances[:, a : a + n], scales[a : a + n] = now, scale
+            ahead = turned @ now
         return chances, scales, emitted
 
     def log10(self, scales: np.ndarray, sequences: int) -> np.ndarray:
-        return np.bincount(self.owner, np.log10(scales), sequences)
+        owner = np.concatenate([self.order[:n] for n in self.active])
+        return np.bincount(owner, np.log10(scales), sequences)
+
+    def scales(self, model: Model) -> tuple[np.ndarray, np.ndarray]:
+        """The scales alone, and the state chances at the last place, a column for each sequence as long as the longest."""
+        emitted = np.take(model.symbols, self.symbols, axis=1)
+        scales = np.empty(emitted.shape[1])
+        ahead, turned = np.repeat(model.first[:, None], len(self.order), axis=1), model.onward.T.copy()
+        for a, n in self.steps:
+            now = ahead[:, :n] * emitted[:, a : a + n]
+            scale = now.sum(axis=0)
+            scales[a : a + n] = scale
+            now /= scale
+            ahead = turned @ now
+        return scales, now
 
 
 def expected_counts(sequences: list[np.ndarray], at_start: list[bool], model: Model) -> np.ndarray:
-    """Baum-Welch counts: rows of symbols, then of states followed by states, then of first states, then of all states."""
-    states = len(model.first)
-    counts = np.zeros((len(model.symbols) + states + 2, states))
+    """Baum-Welch counts, a column a state: rows of symbols, then of states before, then of first states, then of all states."""
+    states, n_symbols = model.symbols.shape
+    counts = np.zeros((n_symbols + states + 2, states))
     laid = TimeMajor(sequences)
-    begins = np.array(at_start)[laid.order]
-    prior = np.where(np.array(at_start)[:, None], model.first, model.anywhere)
-    chances, scales, emitted = laid.forward(model, prior)
-    weighted = emitted / scales[:, None]  # becomes symbol chance x backward chance / scale
-    behind = np.ones((0, states))
-    for step in range(len(laid.active) - 1, -1, -1):
-        a, n = int(laid.begin[step]), int(laid.active[step])
-        backward = np.ones((n, states))
-        backward[: len(behind)] = behind
-        weighted[a : a + n] *= backward
-        behind = weighted[a : a + n] @ model.onward.T
-        chances_here = chances[a : a + n] * backward
-        if step == 0:
-            counts[-2] = (chances_here * begins[:, None]).sum(axis=0)
-        chances_here /= chances_here.sum(axis=1, keepdims=True)
-        emitted[a : a + n] = chances_here  # now the chance of each state given the whole sequence
+    starts = np.array(at_start)
+    prior = np.where(starts, model.first[:, None], model.anywhere[:, None])
+    chances, scales, weighted = laid.forward(model, prior)
+    weighted /= scales  # becomes symbol chance x backward chance / scale
+    following = np.zeros((states, states))
+    behind = np.ones((states, 0))
+    for step in range(len(laid.steps) - 1, -1, -1):
+        a, n = laid.steps[step]
+        later = behind.shape[1]
+        here = weighted[:, a : a + n]
+        if later:
+            here[:, :later] *= behind
+        if step:
+            before = laid.steps[step - 1][0]
+            following += chances[:, before : before + n] @ here.T
+        if later:  # the chance of each state given the whole sequence
+            chances[:, a : a + later] *= behind
+        behind = model.onward @ here
     for k in range(states):
-        counts[: len(model.symbols), k] = np.bincount(laid.symbols, emitted[:, k], len(model.symbols))
-    counts[-1] = emitted.sum(axis=0)
-    following = np.arange(laid.begin[1], len(emitted))
-    steps = np.repeat(np.arange(1, len(laid.active)), laid.active[1:])
-    before = laid.begin[steps - 1] + following - laid.begin[steps]
-    counts[len(model.symbols) : -2] = model.onward * (chances[before].T @ weighted[following])
+        counts[:n_symbols, k] = np.bincount(laid.symbols, chances[k], n_symbols)
+    counts[n_symbols:-2] = model.onward * following
+    counts[-2] = chances[:, : len(sequences)] @ starts[laid.order]
+    counts[-1] = chances.sum(axis=1)
     return counts
 
 
 def reestimated(counts: np.ndarray, shares: np.ndarray) -> Model:
     """The model of the summed counts, with a prior of PRIOR tokens a state."""
     states = counts.shape[1]
-    symbols = counts[: len(shares)] + PRIOR * shares[:, None]
+    symbols = counts[: len(shares)].T + PRIOR * shares
     onward = counts[len(shares) : -2] + 1.0 / states
     first, anywhere = counts[-2] + 1.0 / states, counts[-1] + 1.0 / states
     return Model(
-        first / first.sum(), onward / onward.sum(axis=1, keepdims=True), symbols / symbols.sum(axis=0), anywhere / anywhere.sum()
+        first / first.sum(),
+        onward / onward.sum(axis=1, keepdims=True),
+        symbols / symbols.sum(axis=1, keepdims=True),
+        anywhere / anywhere.sum(),
     )
 
 
@@ -136,9 +157,10 @@ def _transfers(segments: list[np.ndarray], model: Model) -> tuple[np.ndarray, np
     laid = TimeMajor(segments)
     maps = np.broadcast_to(np.eye(states), (len(segments), states, states)).copy()
     logs = np.zeros(len(segments))
-    for a, n in zip(laid.begin[:-1].tolist(), laid.active.tolist(), strict=True):
-        now = (maps[:n] @ model.onward) * model.symbols[laid.symbols[a : a + n]][:, None, :]
-        scale = now.sum(axis=(1, 2))
+    for a, n in laid.steps:
+        now = (maps[:n].reshape(-1, states) @ model.onward).reshape(n, states, states)
+        now *= model.symbols[:, laid.symbols[a : a + n]].T[:, None, :]
+        scale = now.reshape(n, -1).sum(axis=1)
         maps[:n] = now / scale[:, None, None]
         logs[:n] += np.log10(scale)
     back = np.argsort(laid.order)
@@ -147,13 +169,14 @@ def _transfers(segments: list[np.ndarray], model: Model) -> tuple[np.ndarray, np
 
 def log_likelihoods(sequences: list[np.ndarray], model: Model) -> np.ndarray:
     """log10 of the exact chance of each sequence. Long ones are cut: their later segments' maps are found side by side."""
-    heads = [s[:SEGMENT] for s in sequences]
+    heads = [s[:WHOLE] for s in sequences]
     laid = TimeMajor(heads)
-    chances, scales, _ = laid.forward(model, np.broadcast_to(model.first, (len(heads), len(model.first))))
+    scales, ends = laid.scales(model)
     logs = laid.log10(scales, len(heads))
-    for i in np.flatnonzero([len(s) > SEGMENT for s in sequences]).tolist():
-        state = chances[np.flatnonzero(laid.owner == i)[-1]]
-        tail = sequences[i][SEGMENT:]
+    long = np.array([len(s) > WHOLE for s in sequences])  # their heads are the longest sequences here
+    for rank in np.flatnonzero(long[laid.order]).tolist():
+        i, state = int(laid.order[rank]), ends[:, rank]
+        tail = sequences[i][WHOLE:]
         for a in range(0, len(tail), SEGMENT * 256):
             some = [tail[b : b + SEGMENT] for b in range(a, min(a + SEGMENT * 256, len(tail)), SEGMENT)]
             for onward, log in zip(*_transfers(some, model), strict=True):
@@ -181,9 +204,17 @@ class Vocabulary:
 
 def _vocabulary(counts: DataFrame) -> tuple[Vocabulary, np.ndarray, int, int]:
     """The vocabulary, the share of each symbol, and the numbers of tokens and of distinct tokens."""
-    most = counts.orderBy(F.desc("n"), "word").limit(LISTED).collect()
-    words = [bytes(r["word"]) for r in most]
-    numbers = np.array([r["n"] for r in most], np.int64)
+    octave = F.floor(F.log2("n") * 16)  # words of about one count; a few hundred values
+    least, room = None, LISTED
+    for r in sorted(counts.groupBy(octave.alias("octave")).count().collect(), key=lambda r: -r["octave"]):
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["octave"]
+    most = counts.filter(octave >= least).select("word", "n").collect() if least is not None else []
+    most = sorted(((r["n"], bytes(r["word"])) for r in most), key=lambda pair: (-pair[0], pair[1]))
+    words = [word for _, word in most]
+    numbers = np.array([n for n, _ in most], np.int64)
     own = min(OWN, len(words))
     ending = F.crc32(F.substring("word", -ENDING, ENDING)) % BUCKETS
     sizes = counts.groupBy(ending.alias("bucket")).agg(F.sum("n").alias("n"), F.count("*").alias("words"))
@@ -247,14 +278,14 @@ def _coded(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return materialise(coded.withColumn("row", F.monotonically_increasing_id()), "coded")
 
 
-def _groups(batches: Batches, column: int) -> object:
+def _groups(batches: Batches, column: int, tokens: int = BATCH_TOKENS) -> object:
     """Symbol sequences of some batches, in groups of bounded size, with the rows they are of."""
-    for batch in sliced(batches):
+    for batch in batches:
         rows = batch.column(column).to_pylist()
         begin, size = 0, 0
         for i, raw in enumerate(rows):
             size += len(raw) // 2
-            if size >= BATCH_TOKENS or i == len(rows) - 1:
+            if size >= tokens or i == len(rows) - 1:
                 yield batch.slice(begin, i + 1 - begin), [np.frombuffer(r, "<u2") for r in rows[begin : i + 1]]
                 begin, size = i + 1, 0
 
@@ -269,7 +300,7 @@ def train(coded: DataFrame, shares: np.ndarray, states: int = STATES, rounds: in
         held = context.broadcast(model)
 
         def run(batches: Batches, held=held) -> Batches:
-            total = np.zeros((len(held.value.symbols) + states + 2, states))
+            total = np.zeros((held.value.symbols.shape[1] + states + 2, states))
             for _, texts in _groups(batches, 0):
                 segments, starts, size = [], [], 0
                 for text in texts:
@@ -319,7 +350,7 @@ def score(
     held = docs.sparkSession.sparkContext.broadcast(train(coded, shares, states, rounds))
 
     def likelihood(batches: Batches) -> Batches:
-        for part, texts in _groups(batches, 1):
+        for part, texts in _groups(batches, 1, 4 * BATCH_TOKENS):
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(log_likelihoods(texts, held.value))], names=["row", "hidden_log"]
             )
