@@ -16,15 +16,15 @@ from shelfmark.llm import hidden_markov as hm
 def small_model(states=3, symbols=5, seed=1):
     rng = np.random.default_rng(seed)
     dist = lambda *shape: rng.dirichlet(np.ones(shape[-1]), shape[:-1])
-    return hm.Model(dist(states), dist(states, states), dist(states, symbols).T.copy(), dist(states))
+    return hm.Model(dist(states), dist(states, states), dist(states, symbols), dist(states))
 
 
 def enumerated(sequence, model):
     total = 0.0
     for path in product(range(len(model.first)), repeat=len(sequence)):
-        chance = model.first[path[0]] * model.symbols[sequence[0], path[0]]
+        chance = model.first[path[0]] * model.symbols[path[0], sequence[0]]
         for a, b, s in zip(path, path[1:], sequence[1:]):
-            chance *= model.onward[a, b] * model.symbols[s, b]
+            chance *= model.onward[a, b] * model.symbols[b, s]
         total += chance
     return math.log10(total)
 
@@ -40,6 +40,7 @@ def test_long_texts_are_exact_too(monkeypatch):
     sequences = [rng.integers(0, 5, n) for n in (1, 40, 7, 333, 64)]
     whole = hm.log_likelihoods(sequences, small_model())
     monkeypatch.setattr(hm, "SEGMENT", 8)
+    monkeypatch.setattr(hm, "WHOLE", 16)
     assert hm.log_likelihoods(sequences, small_model()) == pytest.approx(whole)
 
 
@@ -51,9 +52,9 @@ def test_expected_counts_equal_all_paths():
         paths = list(product(range(3), repeat=len(s)))
         chances = []
         for path in paths:
-            chance = model.first[path[0]] * model.symbols[s[0], path[0]]
+            chance = model.first[path[0]] * model.symbols[path[0], s[0]]
             for a, b, x in zip(path, path[1:], s[1:]):
-                chance *= model.onward[a, b] * model.symbols[x, b]
+                chance *= model.onward[a, b] * model.symbols[b, x]
             chances.append(chance)
         for path, chance in zip(paths, np.array(chances) / sum(chances)):
             expected[-2, path[0]] += chance
