@@ -1,8 +1,9 @@
 """Sums and means of money that do not depend on the order of rows.
 
 Adding doubles gives another last digit for another partitioning. Amounts in whole cents are
-therefore summed as BIGINT cents; an amount that is not in whole cents (or is NaN, or too large to
-count in cents) is summed as the double it is. Both parts are ordinary partial aggregates.
+therefore summed as DECIMAL(38, 2), which holds any sum that occurs; an amount that is not in whole
+cents (or is NaN or infinite) is summed as the double it is. Both parts are ordinary partial
+aggregates.
 """
 
 from __future__ import annotations
@@ -10,30 +11,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Below this, cents stay under 2^53, so the round trip double -> cents -> double is exact.
-_CENTS_LIMIT = 1e13
+_CENTS = "decimal(38,2)"
 
 
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def _in_cents(amount: Column) -> Column:
-    return (F.abs(amount) < _CENTS_LIMIT) & (F.rint(amount * 100) / 100 == amount)
-
-
 def _cents_and_rest(amount: Column) -> tuple[Column, Column]:
-    whole = F.when(_in_cents(amount), F.rint(amount * 100).cast("bigint"))
-    rest = F.when(_in_cents(amount), None).otherwise(amount)
-    return F.sum(whole), F.sum(rest)
+    """Sums of the amounts that two decimals hold exactly, and of the others."""
+    cents = amount.try_cast(_CENTS)
+    whole = F.coalesce(cents.cast("double") == amount, F.lit(False))
+    return F.sum(F.when(whole, cents)), F.sum(F.when(~whole, amount))
 
 
 def money_sum(amount: Column | str) -> Column:
     """Sum of a DOUBLE money column, exact for whole cents; NULL over no values."""
     whole, rest = _cents_and_rest(_col(amount))
-    return F.when(rest.isNull(), whole / 100).otherwise(
-        F.coalesce(whole, F.lit(0)) / 100 + rest
-    )
+    exact = whole.cast("double")
+    return F.when(rest.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + rest)
 
 
 def money_avg(amount: Column | str) -> Column:
@@ -44,9 +40,16 @@ def money_avg(amount: Column | str) -> Column:
 
 
 def money_avg_rounded(amount: Column | str) -> Column:
-    """Mean rounded half up (away from zero) to cents, in integer arithmetic where it can be."""
+    """Mean rounded half up (away from zero) to cents, in decimal arithmetic where it can be.
+
+    With S cents over n values that is (2|S| + n) div 2n; taking the remainder off first makes the
+    division exact.
+    """
     amount = _col(amount)
     whole, rest = _cents_and_rest(amount)
     n = F.count(amount)
-    half_up = F.call_function("div", F.abs(whole) * 2 + n, n * 2) * F.signum(whole) / 100
+    wide, twice = "decimal(38,0)", (n * 2).cast("decimal(20,0)")
+    above = (F.abs(whole) * 200).cast(wide) + n.cast(wide)
+    cents = ((above - above % twice).cast(wide) / twice).cast(wide)
+    half_up = cents.cast("double") * F.signum(whole) / 100
     return F.when(n > 0, F.when(rest.isNull(), half_up).otherwise(F.round(money_avg(amount), 2)))

@@ -5,6 +5,7 @@ import random
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfmark.functions.money import money_avg, money_avg_rounded, money_sum
 
@@ -60,3 +61,14 @@ def test_other_amounts_are_added_as_doubles(spark, odd):
 def test_nan_and_infinity_stay(spark):
     assert math.isnan(totals(spark, [float("nan"), 1.0])[0])
     assert totals(spark, [float("inf"), 1.0])[0] == math.inf
+
+
+@pytest.mark.parametrize("n", [6_000, 20_000])
+def test_sums_of_huge_amounts_do_not_overflow(spark, n):
+    df = spark.range(0, n, 1, 4).select(F.lit(9e12).alias("x"))
+    total, mean, rounded = df.agg(money_sum("x"), money_avg("x"), money_avg_rounded("x")).first()
+    assert (total, mean, rounded) == (9e12 * n, 9e12, 9e12)
+
+
+def test_a_cent_beside_a_fortune_counts(spark):
+    assert totals(spark, [9e13, 0.01, -9e13])[0] == 0.01
