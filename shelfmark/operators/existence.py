@@ -5,52 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with more rows than this does not go through the shuffle join. At most
-# count(rows) / HOT_ROWS keys can be that frequent, which bounds what is broadcast here.
-HOT_ROWS = 1_000_000
 
+def existence_flag(rows: DataFrame, keys: DataFrame, on: str, flag: str) -> DataFrame:
+    """Add BOOLEAN `flag`: the text key `on` of the row occurs in `keys`. Rows never multiply; a NULL key
+    occurs nowhere.
 
-def existence_flag(
-    rows: DataFrame,
-    keys: DataFrame,
-    on: str,
-    flag: str,
-    hot_rows: int = HOT_ROWS,
-    keyless: bool = True,
-) -> DataFrame:
-    """Add BOOLEAN `flag`: the key `on` of the row occurs in `keys`. Rows never multiply.
-
-    Rows of a hot key stay where they are and look it up in a small broadcast table; the others are
-    shuffled to the distinct keys. Which rows go which way depends on exact counts alone, so a task
-    that is run again after a lost executor gives the same rows. Without a hot key Spark drops that
-    branch at run time. `keyless=False` says that no row lacks a key, and saves the look for them.
+    The rows are read and shuffled once, to the distinct keys. Where a key has many rows, Spark
+    splits them over tasks at run time, which it does only if both sides of the join come straight
+    from a shuffle of their own. The distinct keys would come from the shuffle that made them
+    distinct; appending nothing to them makes them another expression, so they are shuffled again:
+    one column, one row a key.
     """
-    key = F.col(on)
-    known = keys.where(key.isNotNull()).select(on).distinct()
-    hot = (
-        rows.where(key.isNotNull())
-        .groupBy(on)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > hot_rows)
-        .select(on)
-    )
-    # Not a semi join: Spark would push it below the distinct, and shuffle the keys twice.
-    hot_known = known.join(F.broadcast(hot), on).withColumn("_known", F.lit(True))
-    hot_flags = hot.join(F.broadcast(hot_known), on, "left").select(
-        key.alias("_hot_key"), F.coalesce("_known", F.lit(False)).alias(flag)
-    )
-
-    in_place = (
-        rows.join(F.broadcast(hot_flags), key == F.col("_hot_key")).select(*rows.columns, flag)
-    )
-    shuffled = (
-        rows.where(key.isNotNull())
-        .join(F.broadcast(hot), on, "left_anti")
-        .join(known.select(key.alias("_known_key")), key == F.col("_known_key"), "left")
-        .withColumn(flag, F.col("_known_key").isNotNull())
-        .select(*rows.columns, flag)
-    )
-    flagged = shuffled.unionByName(in_place)
-    if not keyless:
-        return flagged
-    return flagged.unionByName(rows.where(key.isNull()).withColumn(flag, F.lit(False)))
+    known = keys.where(F.col(on).isNotNull()).select(on).distinct()
+    known = known.select(F.concat(F.col(on), F.lit("")).alias("_known_key"))
+    joined = rows.join(known, F.col(on) == F.col("_known_key"), "left")
+    return joined.withColumn(flag, F.col("_known_key").isNotNull()).drop("_known_key")
