@@ -331,9 +331,14 @@ _QUERIES = {
     "stream_event_millis": """
         SELECT offer_id, epoch_ms(offer_time) AS millis, offer_time FROM offers""",
     "sample_exact": """
-        SELECT * FROM orders
-        ORDER BY md5(concat(o_orderkey, '|999')), o_orderkey
-        LIMIT (SELECT greatest(1, CAST(floor(count(*) * 0.08::DOUBLE) AS BIGINT)) FROM orders)""",
+        SELECT order_id, customer_id, product_id, quantity, price, order_date
+        FROM (SELECT *, concat('{"order_id":"', order_id, '","customer_id":"', customer_id,
+                               '","product_id":"', product_id, '","quantity":', quantity,
+                               ',"price":', price, ',"order_date":"',
+                               strftime(order_date, '%Y-%m-%dT%H:%M:%S.000Z'), '"}') AS row_text
+              FROM bronze_sales)
+        ORDER BY md5(concat(order_id, '|999')), order_id, md5(row_text), row_text
+        LIMIT (SELECT greatest(1, CAST(floor(count(*) * 0.08::DOUBLE) AS BIGINT)) FROM lineitem)""",
 }
 
 

@@ -28,30 +28,55 @@ def _boundary(rows: DataFrame, group: str, wanted: Column) -> DataFrame:
     )
 
 
+def _narrowed(rows: DataFrame, groups: tuple[str, str, str], wanted: Column) -> DataFrame:
+    """(last group, _left): the value of the last column that holds the `wanted`-th row, found by
+    counting the first column's values, then the second's inside its boundary, then its own."""
+    first = _boundary(rows, groups[0], wanted)
+    inner = rows.drop("_left").join(F.broadcast(first), groups[0])
+    second = _boundary(inner, groups[1], F.col("_left"))
+    edge = inner.drop("_left").join(F.broadcast(second), groups[1])
+    return _boundary(edge, groups[2], F.col("_left"))
+
+
+def _digits(digest: Column) -> list[Column]:
+    return [
+        F.substring(digest, 1, _DIGITS).alias("_first"),
+        F.substring(digest, 1 + _DIGITS, _DIGITS).alias("_second"),
+    ]
+
+
 def sample_exact(df: DataFrame, key: str, rate: float, seed: int) -> DataFrame:
     """max(1, floor(count * rate)) rows of `df`, without replacement.
 
-    Rows are ordered by md5(key|seed), then key. `key` identifies a row; rows that share one are
-    taken or left together. Instead of sorting, the hash of the last sampled row is found by
-    counting: rows per first four hex digits, per next four inside the boundary group, and per key
-    among the rest (one key in 2^32). The sample is then a filter, so no task ever holds more than
-    its own input.
+    Rows are ordered by md5(key|seed), then key, then the md5 of the row as JSON, then that JSON; of
+    identical rows as many are taken as are still wanted. Instead of sorting, the last sampled row
+    is found by counting: rows per first four hex digits of the key's hash, per next four inside the
+    boundary group, and per key among the rest (one key in 2^32); then likewise by the row's hash
+    among the rows of the boundary key. The sample is then a filter, so no task ever holds more than
+    its own input, also where one key or one row makes up most of the table.
     """
     if not 0 <= rate <= 1:
         raise ValueError("rate must be between 0 and 1")
     digest = F.md5(F.concat_ws("|", F.col(key), F.lit(seed)))
     place = F.struct(digest.alias("hash"), F.col(key).alias("key"))
-    hashed = df.select(
-        F.substring(digest, 1, _DIGITS).alias("_first"),
-        F.substring(digest, 1 + _DIGITS, _DIGITS).alias("_second"),
-        place.alias("_place"),
-        F.lit(None).cast("bigint").alias("_left"),
-    )
+    text = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    row = F.struct(F.md5(text).alias("hash"), text.alias("text"))
+    nothing = F.lit(None).cast("bigint").alias("_left")
 
     n = F.greatest(F.lit(1), F.floor(F.col("_total") * F.lit(rate)))
-    first = _boundary(hashed, "_first", n)
-    inner = hashed.drop("_left").join(F.broadcast(first), "_first")
-    second = _boundary(inner, "_second", F.col("_left"))
-    edge = inner.drop("_left").join(F.broadcast(second), "_second")
-    last = _boundary(edge, "_place", F.col("_left")).select("_place").scalar()
-    return df.where(place <= last)
+    hashed = df.select(*_digits(digest), place.alias("_place"), nothing)
+    last = _narrowed(hashed, ("_first", "_second", "_place"), n)
+    last_place, left = last.select("_place").scalar(), last.select("_left").scalar()
+
+    tied = df.where(place == last_place).select(*_digits(F.md5(text)), row.alias("_row"), nothing)
+    end = _narrowed(tied, ("_first", "_second", "_row"), left)
+    last_row = end.select("_row").scalar()
+    before = df.where((place < last_place) | ((place == last_place) & (row < last_row)))
+    copies = (
+        df.where((place == last_place) & (row == last_row))
+        .groupBy(F.lit(0).alias("_one"))
+        .agg(F.first(F.struct(*df.columns)).alias("_same"))
+        .select("_same", F.explode(F.sequence(F.lit(1).cast("bigint"), end.select("_left").scalar())))
+        .select("_same.*")
+    )
+    return before.unionByName(copies)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+from collections import Counter
 from datetime import date, timedelta
 
 import pytest
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from shelfmark.operators.coverage import covered_days
 from shelfmark.operators.existence import existence_flag
 from shelfmark.operators.sampling import sample_exact
+from tests.test_plans import settings
 
 
 def keyed_rows(spark, n=6000):
@@ -35,40 +37,18 @@ def known_keys(spark):
     )
 
 
-@pytest.mark.parametrize("hot_rows", [1, 100, 1_000_000])
-def test_existence_flag_equals_brute_force(spark, hot_rows):
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_existence_flag_equals_brute_force(spark, adaptive):
     rows, keys = keyed_rows(spark), known_keys(spark)
     known = {r.k for r in keys.collect()} - {None}
-    result = existence_flag(rows, keys, "k", "found", hot_rows=hot_rows).collect()
+    with settings(spark, spark__sql__adaptive__enabled=adaptive):
+        result = existence_flag(rows, keys, "k", "found").collect()
     assert len(result) == 6000
     assert {(r.row, r.k, r.found) for r in result} == {
         (r.row, r.k, r.k in known) for r in rows.collect()
     }
 
 
-def test_hot_key_is_spread_over_tasks(spark):
-    """In the join's own shuffle no task gets more than a small part of the rows."""
-    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "32",
-           "spark.sql.autoBroadcastJoinThreshold": "-1"}
-    before = {k: spark.conf.get(k) for k in off}
-    try:
-        for k, v in off.items():
-            spark.conf.set(k, v)
-
-        def largest_share(hot_rows):
-            flagged = existence_flag(keyed_rows(spark), known_keys(spark), "k", "found", hot_rows)
-            tasks = flagged.groupBy(F.spark_partition_id()).agg(
-                F.count("found").alias("n"), F.count_if("found").alias("n_found")
-            )
-            return max(r.n for r in tasks.collect()) / 6000
-
-        assert largest_share(1_000_000) > 0.25
-        assert largest_share(500) < 0.10
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
-
-
 def test_covered_days_equal_brute_force(spark):
     rng = random.Random(5)
     base = date(2024, 1, 1)
@@ -136,11 +116,36 @@ def test_sample_rate_is_checked(spark):
         sample_exact(spark.range(1), "id", 1.5, 1)
 
 
-def test_copies_of_a_key_stay_together(spark):
-    """A third of all rows share one key: all of them are sampled, or none."""
-    key = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id"))
-    df = spark.range(0, 900, 1, 4).select(key.alias("k"))
-    for seed in range(4):
-        rows = [r.k for r in sample_exact(df, "k", 0.5, seed).collect()]
-        assert rows.count(-1) in (0, 300)
-        assert len(rows) == 450 or rows.count(-1) == 300
+def keyed(spark, n=900):
+    """A third of all rows share one key; a third of those are the same row."""
+    i = F.col("id")
+    key = F.when(i % 3 == 0, -1).otherwise(i)
+    return spark.range(0, n, 1, 4).select(
+        key.alias("k"), F.when((i % 3 == 0) & (i % 9 != 0), i).otherwise(0).alias("v"),
+        F.lit(None).cast("double").alias("x"),
+    )
+
+
+@pytest.mark.parametrize("rate", [0.0, 0.1, 0.35, 0.5, 0.77, 1.0])
+@pytest.mark.parametrize("seed", range(3))
+def test_sample_is_exact_when_keys_repeat(spark, rate, seed):
+    df = keyed(spark)
+    rows = Counter(tuple(r) for r in sample_exact(df, "k", rate, seed).collect())
+    again = Counter(tuple(r) for r in sample_exact(df.repartition(7), "k", rate, seed).collect())
+    assert rows == again
+    assert sum(rows.values()) == max(1, int(900 * rate))
+    assert not rows - Counter(tuple(r) for r in df.collect())
+
+
+@pytest.mark.parametrize("wanted", [1, 100, 999, 1000])
+def test_sample_of_one_key_and_of_one_row(spark, wanted):
+    same = spark.range(0, 1000, 1, 4).select(F.lit("K").alias("k"))
+    assert sample_exact(same, "k", wanted / 1000, 1).count() == wanted
+    one_key = spark.range(0, 1000, 1, 4).select(F.lit("K").alias("k"), F.col("id").alias("v"))
+    result = [r.v for r in sample_exact(one_key, "k", wanted / 1000, 1).collect()]
+    assert len(result) == len(set(result)) == wanted
+
+
+def test_sample_does_not_sort_its_input(spark):
+    text = sample_exact(keyed(spark), "k", 0.5, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in text
