@@ -8,31 +8,34 @@ from shelfmark.plans import jobs
 from shelfmark.schemas import TABLES
 from shelfmark.session import build_session
 from shelfmark.sources.tables import Lakehouse
+from shelfmark.streaming.contracts import CONTRACTS
 
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="shelfmark")
-    parser.add_argument("job", choices=sorted(TABLES), help="the table to load")
-    parser.add_argument("--raw", help="CSV file, directory or glob (bronze jobs)")
+    streams = {f"bronze.{topic}": contract for topic, contract in CONTRACTS.items()}
+    parser.add_argument("job", choices=sorted([*TABLES, *streams]), help="the table to load")
+    parser.add_argument("--raw", help="CSV file, directory or glob; a stream's landing folder")
+    parser.add_argument("--format", default="json", help="of a stream's files")
     parser.add_argument("--infer", action="store_true", help="let Spark guess the CSV types")
     parser.add_argument("--location", help="folder of the databases")
     parser.add_argument("--prefix", default="", help="prefix of the database names")
-    parser.add_argument(
-        "--no-rebalance", action="store_true", help="write files as the tasks come"
-    )
+    parser.add_argument("--rebalance", action="store_true", help="few full files a partition")
+    parser.add_argument("--input-bytes", type=int, help="size of the input, for the shuffles' width")
     parser.add_argument("--master", help="Spark master, if not set by spark-submit")
     args = parser.parse_args(argv)
 
-    spec = TABLES[args.job]
-    if spec.layer == "bronze" and not args.raw:
+    if args.job.startswith("bronze.") and not args.raw:
         parser.error("bronze jobs need --raw")
-    spark = build_session(master=args.master)
-    lake = Lakehouse(spark, args.location, args.prefix, rebalance=not args.no_rebalance)
-    if spec.layer == "bronze":
-        rows = jobs.ingest_raw(lake, spec, args.raw, args.infer)
-    else:
+    spark = build_session(master=args.master, input_bytes=args.input_bytes)
+    lake = Lakehouse(spark, args.location, args.prefix, rebalance=args.rebalance)
+    if args.job in streams:
+        rows = jobs.ingest_events(lake, streams[args.job], args.raw, args.format)
+    elif args.job in jobs.REFRESH:
         rows = jobs.REFRESH[args.job](lake)
-    print(f"{lake.table_name(spec)}: {rows:,} rows written")
+    else:
+        rows = jobs.ingest_raw(lake, TABLES[args.job], args.raw, args.infer)
+    print(f"{args.prefix}{args.job}: {rows:,} rows written")
     return rows
 
 

@@ -9,6 +9,8 @@ from shelfmark.plans import bronze, gold, silver
 from shelfmark.schemas import TableSpec
 from shelfmark.sources.csv_files import read_csv
 from shelfmark.sources.tables import Lakehouse
+from shelfmark.streaming.contracts import Contract
+from shelfmark.streaming.ingest import file_stream, ingest
 
 
 def ingest_raw(lake: Lakehouse, spec: TableSpec, path: str, infer: bool = False) -> int:
@@ -18,6 +20,16 @@ def ingest_raw(lake: Lakehouse, spec: TableSpec, path: str, infer: bool = False)
     return lake.append(transform[spec.name](read_csv(lake.spark, path, spec, infer)), spec)
 
 
+def ingest_events(lake: Lakehouse, contract: Contract, path: str, source_format: str) -> int:
+    """Take the message files that have landed under `path` and were not taken before; returns how
+    many messages that were, accepted or rejected."""
+    stream = file_stream(lake.spark, path, contract, source_format)
+    target = lake.events_folder(contract.topic)
+    query = ingest(stream, contract, target, f"{target}-checkpoint")
+    query.awaitTermination()
+    return sum(progress.numInputRows for progress in query.recentProgress)
+
+
 def silver_sales(lake: Lakehouse) -> int:
     _prepare(lake, schemas.SILVER_SALES)
     rows = silver.sales(lake.read(schemas.BRONZE_SALES))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -31,21 +33,30 @@ LOCAL = {
     "spark.driver.memory": "8g",
 }
 
-# Elsewhere, and only where the cluster has not said otherwise: start shuffles wide, so that a
-# partition of a 100 TB job fits in memory, and let Spark merge what turns out small.
-WIDE = {
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+# Elsewhere, and only where the cluster has not said otherwise: merge what turns out small.
+MERGED = {
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
+# What a shuffle partition should hold before Spark merges or splits any.
+_PARTITION_BYTES = 512 << 20
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def shuffle_width(input_bytes: int) -> int:
+    """Partitions to start a shuffle of so much data with: 200,000 for 100 TB."""
+    return max(200, -(-input_bytes // _PARTITION_BYTES))
+
 
 def build_session(
     app_name: str = "shelfmark",
     master: str | None = None,
     conf: dict[str, str] | None = None,
+    input_bytes: int | None = None,
 ) -> SparkSession:
-    """A session with the library's semantics; `conf` wins over the defaults."""
+    """A session with the library's semantics; `conf` wins over the defaults. On a cluster,
+    `input_bytes`, the size of what the job reads, sets how wide shuffles start."""
     builder = SparkSession.builder.appName(app_name)
     settings = {**SEMANTICS, **EXECUTION}
     if master:
@@ -57,7 +68,8 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     if not is_local(spark):
-        for key, value in WIDE.items():
+        wide = {_INITIAL: str(shuffle_width(input_bytes))} if input_bytes else {}
+        for key, value in {**MERGED, **wide}.items():
             if spark.conf.get(key, None) is None:
                 spark.conf.set(key, value)
     return spark
@@ -69,7 +81,10 @@ def is_local(spark: SparkSession) -> bool:
 
 @cache
 def _local_scratch_root() -> str:
-    return tempfile.mkdtemp(prefix="shelfmark-")
+    """A temporary folder of this process, for a local session; it goes when the process ends."""
+    root = tempfile.mkdtemp(prefix="shelfmark-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

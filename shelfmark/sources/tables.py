@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -12,6 +10,8 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.dates import month_start, year_start
 from shelfmark.schemas import LAYERS, TableSpec
+from shelfmark.streaming.contracts import Contract
+from shelfmark.streaming.ingest import read_ingested
 
 _TRUNCATE = {"month": month_start, "year": year_start}
 
@@ -20,9 +20,14 @@ class Lakehouse:
     """The tables of one catalog.
 
     `prefix` goes before the database names; `location` is the folder of the databases, by default
-    the session's warehouse. A write shuffles rows to their partition, so that each month or year
-    gets a few full files; Spark splits one that holds much more than the others. `rebalance=False`
-    turns that off for input that arrives in date order.
+    the session's warehouse. Each table has a folder there, and a catalog that forgets its tables
+    when its process ends gets them from those folders again.
+
+    A write to a bronze table leaves rows in the tasks they are in, so a partition gets a file from
+    each task that has rows of it: at most tasks times months touched. `rebalance=True` shuffles
+    them to their partition first, as the other layers' writes do, for few full files; Spark splits a
+    partition that holds much more than the others. For raw input that pays where many tasks touch
+    many months, as in input in no date order that is read often.
     """
 
     def __init__(
@@ -30,7 +35,7 @@ class Lakehouse:
         spark: SparkSession,
         location: str | None = None,
         prefix: str = "",
-        rebalance: bool = True,
+        rebalance: bool = False,
     ) -> None:
         self.spark = spark
         self.location = location.rstrip("/") if location else None
@@ -45,12 +50,44 @@ class Lakehouse:
 
     def ensure_databases(self) -> None:
         for layer in LAYERS:
-            name = self.database(layer)
-            place = f" LOCATION '{self.location}/{name}'" if self.location else ""
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
+            self._ensure_database(layer)
+
+    def _ensure_database(self, layer: str) -> None:
+        name = self.database(layer)
+        place = f" LOCATION '{self.location}/{name}'" if self.location else ""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
+
+    def folder(self, spec: TableSpec) -> str:
+        """Where the table's files lie; its database must exist."""
+        place = self.spark.catalog.getDatabase(self.database(spec.layer)).locationUri
+        return f"{place.rstrip('/')}/{spec.name}"
+
+    def events_folder(self, topic: str) -> str:
+        """Where the messages of a stream lie, among the bronze tables."""
+        self._ensure_database("bronze")
+        place = self.spark.catalog.getDatabase(self.database("bronze")).locationUri
+        return f"{place.rstrip('/')}/events-{topic}"
+
+    def read_events(
+        self,
+        contract: Contract,
+        rejects: bool = False,
+        start: date | None = None,
+        end: date | None = None,
+    ) -> DataFrame:
+        """The accepted (or rejected) messages of a stream, of the days from `start` to `end`."""
+        folder = self.events_folder(contract.topic)
+        return read_ingested(self.spark, folder, contract, rejects, start, end)
+
+    def _has_files(self, spec: TableSpec) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder(spec))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
     def ensure_table(self, spec: TableSpec) -> None:
-        """Create the table, with its derived partition column, if it is absent."""
+        """Create the table, with its derived partition column, if it is absent. Files that another
+        process has written for it are its rows."""
+        if self.spark.catalog.tableExists(self.table_name(spec)):
+            return
         columns = [f"{f.name} {f.dataType.simpleString()}" for f in spec.schema]
         layout = ""
         if spec.partition:
@@ -58,8 +95,20 @@ class Lakehouse:
             layout = f" PARTITIONED BY ({spec.partition_column})"
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.table_name(spec)} ({', '.join(columns)})"
-            f" USING parquet{layout}"
+            # An overwrite replaces all partitions, whatever the session's mode is.
+            f" USING parquet OPTIONS (partitionOverwriteMode 'static'){layout}"
+            f" LOCATION '{self.folder(spec)}'"
         )
+        if spec.partition and self._has_files(spec):
+            self.spark.sql(f"ALTER TABLE {self.table_name(spec)} RECOVER PARTITIONS")
+
+    def table(self, spec: TableSpec) -> DataFrame:
+        """The table as it is stored, partition column included."""
+        if not self.spark.catalog.tableExists(self.table_name(spec)):
+            self._ensure_database(spec.layer)
+            if self._has_files(spec):
+                self.ensure_table(spec)
+        return self.spark.table(self.table_name(spec))
 
     def append(self, df: DataFrame, spec: TableSpec, like: TableSpec | None = None) -> int:
         """Add the rows, matched by column name; returns how many there were.
@@ -83,7 +132,7 @@ class Lakehouse:
         bounded = start is not None or end is not None
         if bounded and not spec.partition:
             raise ValueError(f"{spec.layer}.{spec.name} has no partition date")
-        df = self.spark.table(self.table_name(spec))
+        df = self.table(spec)
         if not bounded:
             return df.select(spec.schema.names)
         source, unit = spec.partition
@@ -108,22 +157,9 @@ class Lakehouse:
         if spec.partition:
             source, unit = spec.partition
             rows = rows.withColumn(spec.partition_column, _TRUNCATE[unit](source))
-            if self.rebalance and not placed:
+            if not placed and (self.rebalance or spec.layer != "bronze"):
                 rows = rows.hint("rebalance", spec.partition_column)
         counted = Observation(f"rows_{uuid.uuid4().hex}")
         rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
-        with _static_overwrite(self.spark):
-            rows.write.insertInto(self.table_name(spec), overwrite=overwrite)
+        rows.write.insertInto(self.table_name(spec), overwrite=overwrite)
         return counted.get["rows"]
-
-
-@contextmanager
-def _static_overwrite(spark: SparkSession) -> Iterator[None]:
-    """An overwrite replaces all partitions, whatever the session's mode is."""
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "static")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)

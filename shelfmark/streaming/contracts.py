@@ -60,6 +60,15 @@ OFFERS = Contract(
 CONTRACTS = {c.topic: c for c in (CLICKSTREAM, OFFERS)}
 
 
+# Milliseconds of the first and the last moment of the years 1 to 9999, which files and dates hold.
+FIRST_MILLIS, LAST_MILLIS = -62_135_596_800_000, 253_402_300_799_999
+RAW, REASON = "_raw", "rejected_for"
+
+
+def _in_range(millis: Column) -> Column:
+    return F.coalesce(millis.between(FIRST_MILLIS, LAST_MILLIS), F.lit(False))
+
+
 def violations(contract: Contract) -> Column:
     """Names of the fields that break the contract, comma-separated; empty for a good message."""
     broken = []
@@ -67,20 +76,32 @@ def violations(contract: Contract) -> Column:
         bad = F.lit(False) if name in contract.optional else F.col(name).isNull()
         if name in contract.enums:
             bad = bad | ~F.coalesce(F.col(name).isin(*contract.enums[name]), F.lit(False))
+        if name == contract.time_field:
+            bad = bad | ~_in_range(F.col(name))
         broken.append(F.when(bad, name))
     return F.concat_ws(",", *broken)
 
 
 def typed(messages: DataFrame, contract: Contract) -> DataFrame:
-    """The message time as TIMESTAMP."""
-    return messages.withColumn(contract.time_field, F.timestamp_millis(contract.time_field))
+    """The message time as TIMESTAMP; NULL where it is out of range."""
+    millis = F.col(contract.time_field)
+    kept = F.when(_in_range(millis), millis)
+    return messages.withColumn(contract.time_field, F.timestamp_millis(kept))
+
+
+def checked(messages: DataFrame, contract: Contract) -> DataFrame:
+    """All messages, typed, with `rejected_for` (the broken fields; empty if none) and, where there
+    are any, the message as it came in `_raw`: what the source gives there, else its fields as
+    JSON. Works on batch and streaming frames alike."""
+    fields = F.to_json(F.struct(*contract.columns), {"ignoreNullFields": "false"})
+    came = F.coalesce(F.col(RAW).cast("string"), fields) if RAW in messages.columns else fields
+    named = messages.withColumns({REASON: violations(contract), RAW: came})
+    raw = F.when(F.col(REASON) != "", F.col(RAW))
+    return typed(named, contract).select(*contract.columns, REASON, raw.alias(RAW))
 
 
 def split_by_contract(messages: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected) messages, typed; rejected ones name their broken fields. Works on
-    batch and streaming frames alike."""
-    checked = typed(messages.select(contract.columns), contract).withColumn(
-        "rejected_for", violations(contract)
-    )
-    accepted = checked.where(F.col("rejected_for") == "").drop("rejected_for")
-    return accepted, checked.where(F.col("rejected_for") != "")
+    """(accepted, rejected) messages, typed; rejected ones have their broken fields and raw value."""
+    both = checked(messages, contract)
+    accepted = both.where(F.col(REASON) == "").drop(REASON, RAW)
+    return accepted, both.where(F.col(REASON) != "")

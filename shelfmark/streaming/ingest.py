@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from shelfmark.functions.audit import stamped
-from shelfmark.streaming.contracts import Contract, split_by_contract
+from shelfmark.functions.audit import INGESTION_TIME, stamped
+from shelfmark.streaming.contracts import RAW, REASON, Contract, checked
+
+ACCEPTED, DAY = "accepted", "event_day"
 
 
 def file_stream(
@@ -17,30 +22,33 @@ def file_stream(
     source_format: str = "parquet",
     max_files_per_trigger: int = 1000,
 ) -> DataFrame:
-    """Messages that land as files in a folder, in the wire types of the contract."""
-    return (
-        spark.readStream.schema(contract.wire_schema)
-        .format(source_format)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .load(path)
-    )
+    """Messages that land as files in a folder, in the wire types of the contract.
+
+    A JSON line that can't be read so has NULL fields, and is whole in `_raw`.
+    """
+    schema = contract.wire_schema
+    reader = spark.readStream.format(source_format).option("maxFilesPerTrigger", max_files_per_trigger)
+    if source_format == "json":
+        schema = T.StructType([*schema.fields, T.StructField(RAW, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", RAW)
+    return reader.schema(schema).load(path)
 
 
-def ingest(
-    messages: DataFrame, contract: Contract, target: str, checkpoint: str, rejects: bool = False
-) -> StreamingQuery:
-    """Start writing the accepted (or, with `rejects`, the rejected) messages to `target`.
+def ingest(messages: DataFrame, contract: Contract, target: str, checkpoint: str) -> StreamingQuery:
+    """Start writing the messages to `target`: accepted and rejected ones, from one read.
 
     Takes what is there now, in as many batches as the source gives, and stops. The file sink and
     its checkpoint together write every message once, also when the query is started again. Files
-    lie in one folder per day of the message.
+    lie in one folder for the accepted and one for the rejected, and there in one per day of the
+    message.
     """
-    accepted, rejected = split_by_contract(messages, contract)
-    chosen = stamped(rejected if rejects else accepted)
+    both = stamped(checked(messages, contract))
     return (
-        chosen.withColumn("event_day", F.to_date(contract.time_field))
+        both.withColumns(
+            {ACCEPTED: F.col(REASON) == "", DAY: F.to_date(contract.time_field)}
+        )
         .writeStream.format("parquet")
-        .partitionBy("event_day")
+        .partitionBy(ACCEPTED, DAY)
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -48,6 +56,45 @@ def ingest(
     )
 
 
-def read_ingested(spark: SparkSession, target: str) -> DataFrame:
-    """What `ingest` has written so far."""
-    return spark.read.parquet(target).drop("event_day")
+def stored_schema(contract: Contract) -> T.StructType:
+    """What `ingest` stores: the message with its time as TIMESTAMP, the audit stamp, the reasons and
+    raw value of a rejected one, and the two folder columns."""
+    fields = [
+        T.StructField(f.name, T.TimestampType() if f.name == contract.time_field else f.dataType)
+        for f in contract.wire_schema
+    ]
+    return T.StructType(
+        [
+            *fields,
+            T.StructField(REASON, T.StringType()),
+            T.StructField(RAW, T.StringType()),
+            T.StructField(INGESTION_TIME, T.TimestampType()),
+            T.StructField(ACCEPTED, T.BooleanType()),
+            T.StructField(DAY, T.DateType()),
+        ]
+    )
+
+
+def read_ingested(
+    spark: SparkSession,
+    target: str,
+    contract: Contract,
+    rejects: bool = False,
+    start: date | None = None,
+    end: date | None = None,
+) -> DataFrame:
+    """The accepted (or the rejected) messages that `ingest` has written so far, from the day `start`
+    to the day `end`; other days' folders are not read. Nothing written yet gives no rows."""
+    schema = stored_schema(contract)
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        stored = spark.read.schema(schema).parquet(target)
+    else:
+        stored = spark.createDataFrame([], schema)
+    chosen = stored.where(F.col(ACCEPTED) == (not rejects))
+    if start is not None:
+        chosen = chosen.where(F.col(DAY) >= F.lit(start))
+    if end is not None:
+        chosen = chosen.where(F.col(DAY) <= F.lit(end))
+    hidden = [ACCEPTED, DAY] if rejects else [ACCEPTED, DAY, REASON, RAW]
+    return chosen.drop(*hidden)

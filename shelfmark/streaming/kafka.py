@@ -10,7 +10,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.streaming.contracts import Contract
+from shelfmark.streaming.contracts import RAW, Contract
 
 # One magic byte and a four-byte schema id precede the Avro body.
 _HEADER_BYTES = 5
@@ -39,18 +39,19 @@ def avro_schema(contract: Contract) -> str:
 def kafka_stream(
     spark: SparkSession, contract: Contract, bootstrap_servers: str, **options: str
 ) -> DataFrame:
-    """Messages of the contract's topic, in its wire types. A body that is not Avro of the contract
-    gives NULL fields, so the contract check rejects it."""
+    """Messages of the contract's topic, in its wire types, from the earliest one kept unless
+    `startingOffsets` says otherwise. A body that is not Avro of the contract gives NULL fields, so
+    the contract check rejects it; `_raw` has the body in base 64."""
     from pyspark.sql.avro.functions import from_avro
 
     raw = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
         .option("subscribe", contract.topic)
-        .options(**options)
+        .options(**{"startingOffsets": "earliest", **options})
         .load()
     )
     body = F.expr(f"substring(value, {_HEADER_BYTES + 1})")
     event = from_avro(body, avro_schema(contract), {"mode": "PERMISSIVE"})
-    fields = raw.select(event.alias("event")).select("event.*")
+    fields = raw.select(event.alias("event"), F.base64("value").alias(RAW)).select("event.*", RAW)
     return fields.withColumn(contract.time_field, F.unix_millis(contract.time_field))

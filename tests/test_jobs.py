@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from shelfmark import schemas
@@ -11,6 +16,7 @@ from shelfmark.schemas import TABLES
 from shelfmark.sources import supplied
 from shelfmark.sources.csv_files import write_csv
 from shelfmark.sources.tables import Lakehouse
+from shelfmark.streaming.contracts import OFFERS
 from tests.comparing import differences, duckdb_over
 
 
@@ -46,6 +52,50 @@ def test_all_jobs(spark, sf_dir, tmp_path, capsys):
     assert doubled == pytest.approx(2 * revenue)
 
 
+def test_every_job_in_a_process_of_its_own(spark, sf_dir, tmp_path):
+    """No catalog outlives a process here; the files do. Bronze and silver then append, gold replaces."""
+    root = Path(__file__).resolve().parents[1]
+    for name in ("sales", "returns", "promotions"):
+        write_csv(getattr(supplied, name)(spark, sf_dir), str(tmp_path / name))
+
+    def run(job):
+        raw = ["--raw", str(tmp_path / job.split(".")[1])] if job.startswith("bronze") else []
+        command = [sys.executable, "-m", "shelfmark", job, "--location", str(tmp_path / "lake")]
+        done = subprocess.run(
+            [*command, "--master", "local[2]", *raw], cwd=tmp_path, capture_output=True, text=True,
+            env=os.environ | {"PYTHONPATH": str(root)}, timeout=300,
+        )
+        assert done.returncode == 0, done.stderr[-2000:]
+        return int(done.stdout.split(": ")[1].split(" ")[0].replace(",", ""))
+
+    counts = {job: run(job) for job in TABLES}
+    con = duckdb_over(sf_dir)
+    assert counts == {
+        job: con.sql(ORACLE[job.replace(".", "_")]).to_arrow_table().num_rows for job in counts
+    }
+    for job in ("bronze.promotions", "silver.promotions", "gold.daily_sales"):
+        run(job)
+    lake = Lakehouse(spark, str(tmp_path / "lake"), "")
+    place = {s: str(tmp_path / "lake" / s.layer / s.name) for s in TABLES.values()}
+    rows = {k: spark.read.parquet(place[s]).count() for k, s in TABLES.items()}
+    assert lake.location == str(tmp_path / "lake")
+    assert rows["bronze.promotions"] == 2 * counts["bronze.promotions"]
+    assert rows["silver.promotions"] == 3 * counts["silver.promotions"], "its whole input, again"
+    assert rows["gold.daily_sales"] == counts["gold.daily_sales"]
+
+
+def test_a_stream_job_takes_new_messages_once(spark, sf_dir, tmp_path):
+    place, landing = str(tmp_path / "lake"), str(tmp_path / "landing")
+    messages = supplied.offers(supplied.events(spark, sf_dir))
+    messages.write.json(landing)
+    job = ["bronze.offers", "--raw", landing, "--location", place, "--prefix", "events_"]
+    assert main(job) == messages.count()
+    assert main(job) == 0
+    lake = Lakehouse(spark, place, "events_")
+    both = lake.read_events(OFFERS).count() + lake.read_events(OFFERS, rejects=True).count()
+    assert both == messages.count()
+
+
 def test_bronze_needs_raw_files(capsys):
     with pytest.raises(SystemExit):
         main(["bronze.sales"])

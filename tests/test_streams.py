@@ -6,7 +6,14 @@ from datetime import datetime
 import pytest
 
 from shelfmark.sources import supplied
-from shelfmark.streaming.contracts import CLICKSTREAM, CONTRACTS, OFFERS, split_by_contract
+from shelfmark.streaming.contracts import (
+    CLICKSTREAM,
+    CONTRACTS,
+    FIRST_MILLIS,
+    LAST_MILLIS,
+    OFFERS,
+    split_by_contract,
+)
 from shelfmark.streaming.ingest import file_stream, ingest, read_ingested
 from shelfmark.streaming.kafka import avro_schema
 
@@ -50,6 +57,22 @@ def test_offers_enum(spark):
     assert (accepted.count(), rejected.count()) == (4, 1)
 
 
+@pytest.mark.parametrize("millis", [2**63 - 1, -(2**63), FIRST_MILLIS - 1, LAST_MILLIS + 1])
+def test_times_out_of_range_are_rejected_with_their_value(spark, millis):
+    frame = spark.createDataFrame([click(), click(event_time=millis)], CLICKSTREAM.wire_schema)
+    accepted, rejected = split_by_contract(frame, CLICKSTREAM)
+    assert accepted.count() == 1
+    (row,) = rejected.collect()
+    assert (row.rejected_for, row.event_time) == ("event_time", None)
+    assert json.loads(row["_raw"])["event_time"] == millis
+
+
+@pytest.mark.parametrize("millis", [FIRST_MILLIS, LAST_MILLIS, 0])
+def test_the_whole_calendar_is_accepted(spark, millis):
+    frame = spark.createDataFrame([click(event_time=millis)], CLICKSTREAM.wire_schema)
+    assert split_by_contract(frame, CLICKSTREAM)[0].count() == 1
+
+
 @pytest.mark.parametrize("source_format", ["parquet", "json"])
 def test_ingest_in_batches_then_restart_then_more(spark, sf_dir, tmp_path, source_format):
     landing, target, checkpoint = (str(tmp_path / n) for n in ("landing", "target", "checkpoint"))
@@ -57,35 +80,78 @@ def test_ingest_in_batches_then_restart_then_more(spark, sf_dir, tmp_path, sourc
     writer = messages.repartition(4).write.format(source_format)
     writer.save(landing)
 
-    def run(rejects=False, suffix=""):
+    def run():
         stream = file_stream(spark, landing, CLICKSTREAM, source_format, max_files_per_trigger=1)
-        query = ingest(stream, CLICKSTREAM, target + suffix, checkpoint + suffix, rejects)
+        query = ingest(stream, CLICKSTREAM, target, checkpoint)
         query.awaitTermination()
         return len([p for p in query.recentProgress if p.numInputRows])
 
-    accepted, rejected = split_by_contract(messages, CLICKSTREAM)
+    def counts():
+        return tuple(
+            read_ingested(spark, target, CLICKSTREAM, rejects).count() for rejects in (False, True)
+        )
+
+    expected = tuple(part.count() for part in split_by_contract(messages, CLICKSTREAM))
     assert run() == 4
-    assert read_ingested(spark, target).count() == accepted.count()
+    assert counts() == expected
     run()
-    assert read_ingested(spark, target).count() == accepted.count(), "a restart adds nothing"
+    assert counts() == expected, "a restart adds nothing"
 
     writer.mode("append").save(landing)
     run()
-    assert read_ingested(spark, target).count() == 2 * accepted.count()
-
-    run(rejects=True, suffix="-rejected")
-    assert read_ingested(spark, target + "-rejected").count() == 2 * rejected.count()
+    assert counts() == tuple(2 * n for n in expected)
+
+
+def test_bad_messages_do_not_stop_a_stream(spark, tmp_path):
+    """Out-of-range, missing and malformed ones land among the rejected with what came."""
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    good = dict(zip(CLICKSTREAM.columns, CLICK))
+    lines = [
+        json.dumps(good),
+        json.dumps({**good, "event_time": 2**62}),
+        json.dumps({**good, "user_id": None}),
+        '{"event_id": "E9", "event_time": "noon"',
+    ]
+    (landing / "a.json").write_text("\n".join(lines) + "\n")
+    target = str(tmp_path / "t")
+    for _ in range(2):
+        stream = file_stream(spark, str(landing), CLICKSTREAM, "json")
+        ingest(stream, CLICKSTREAM, target, str(tmp_path / "c")).awaitTermination()
+    assert [r.event_id for r in read_ingested(spark, target, CLICKSTREAM).collect()] == ["E1"]
+    rejected = read_ingested(spark, target, CLICKSTREAM, rejects=True).collect()
+    assert len(rejected) == 3
+    raw = {r["_raw"] for r in rejected}
+    assert lines[3] in raw
+    assert any(str(2**62) in text for text in raw)
+
+
+def test_reading_before_anything_is_written(spark, tmp_path):
+    assert read_ingested(spark, str(tmp_path / "absent"), OFFERS).count() == 0
+    only_bad = spark.createDataFrame([("O", None, "P", 1.0, 1, "sent")], OFFERS.wire_schema)
+    only_bad.write.parquet(str(tmp_path / "landing"))
+    ingest(
+        file_stream(spark, str(tmp_path / "landing"), OFFERS), OFFERS, str(tmp_path / "t"), str(tmp_path / "c")
+    ).awaitTermination()
+    assert read_ingested(spark, str(tmp_path / "t"), OFFERS).count() == 0
+    assert read_ingested(spark, str(tmp_path / "t"), OFFERS, rejects=True).count() == 1
 
 
-def test_ingested_rows_are_stamped_and_typed(spark, sf_dir, tmp_path):
+def test_ingested_rows_are_stamped_typed_and_pruned_by_day(spark, sf_dir, tmp_path):
     landing = str(tmp_path / "landing")
     supplied.offers(supplied.events(spark, sf_dir)).write.parquet(landing)
     ingest(
         file_stream(spark, landing, OFFERS), OFFERS, str(tmp_path / "t"), str(tmp_path / "c")
     ).awaitTermination()
-    result = read_ingested(spark, str(tmp_path / "t"))
+    result = read_ingested(spark, str(tmp_path / "t"), OFFERS)
+    assert result.columns == [*OFFERS.columns, "_ingestion_time"]
     assert dict(result.dtypes)["offer_time"] == "timestamp"
     assert result.where("_ingestion_time IS NULL").count() == 0
+    days = sorted({r[0] for r in result.selectExpr("to_date(offer_time)").distinct().collect()})
+    some = read_ingested(spark, str(tmp_path / "t"), OFFERS, start=days[1], end=days[2])
+    assert {r[0] for r in some.selectExpr("to_date(offer_time)").collect()} == set(days[1:3])
+    text = some._jdf.queryExecution().executedPlan().toString()
+    assert "event_day" in text.split("PartitionFilters: [")[1].split("]")[0]
 
 
 @pytest.mark.parametrize("topic", sorted(CONTRACTS))

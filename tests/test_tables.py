@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from contextlib import contextmanager
 from datetime import date, datetime
 
 import pytest
@@ -10,6 +11,7 @@ from shelfmark.functions.audit import stamped
 from shelfmark.plans import bronze, jobs, silver
 from shelfmark.schemas import LAYERS, TABLES
 from shelfmark.sources import supplied
+from shelfmark.sources.tables import Lakehouse
 
 
 def daily(spark, rows):
@@ -20,6 +22,17 @@ ONE = (date(2024, 1, 5), 10.0, 1, 10.0)
 TWO = (date(2024, 2, 6), 20.0, 2, 10.0)
 
 
+@contextmanager
+def executed(spark):
+    """The plans of what runs meanwhile, from the query log of the session."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    seen, plans = store.executionsCount(), []
+    yield plans
+    spark._jsc.sc().listenerBus().waitUntilEmpty()
+    listed = store.executionsList()
+    plans += [listed.apply(i).physicalPlanDescription() for i in range(seen, listed.size())]
+
+
 def ready(lake, spec):
     lake.ensure_databases()
     lake.ensure_table(spec)
@@ -159,6 +172,43 @@ def test_a_month_with_most_rows_is_split_over_files(spark, lake):
     assert sum(sizes) == 190_000 and len(sizes) >= 4 and max(sizes) < 80_000
 
 
+def unsorted_sales(spark):
+    """Rows of three months in each of eight tasks."""
+    month = (F.col("id") % 3 * 31).cast("int")
+    return spark.range(0, 2400, 1, 8).select(
+        *(F.lit("x").alias(c) for c in ("order_id", "customer_id", "product_id")),
+        *(F.lit(1.0).alias(c) for c in ("quantity", "price")),
+        F.date_add(F.lit(date(2024, 1, 1)), month).cast("timestamp").alias("order_date"),
+    )
+
+
+@pytest.mark.parametrize("rebalance", [False, True])
+def test_raw_rows_are_written_where_they_are(spark, tmp_path, rebalance):
+    """Files: at most tasks times months; with rebalance, one a month."""
+    spec = schemas.BRONZE_SALES
+    lake = ready(Lakehouse(spark, str(tmp_path), f"raw{int(rebalance)}_", rebalance), spec)
+    with executed(spark) as plans:
+        assert lake.append(stamped(unsorted_sales(spark)), spec) == 2400
+    assert any("Exchange" in p for p in plans) == rebalance
+    files = lake.table(spec).select(F.input_file_name()).distinct().count()
+    assert files == (3 if rebalance else 24)
+
+
+def test_tables_are_found_by_another_catalog(spark, tmp_path):
+    """A session that has never seen the tables, as in a new process, finds their rows."""
+    spec = schemas.GOLD_DAILY_SALES
+    first = ready(Lakehouse(spark, str(tmp_path), "again_"), spec)
+    first.append(daily(spark, [ONE, TWO]), spec)
+    for _ in range(2):
+        spark.sql(f"DROP TABLE {first.table_name(spec)}")
+        assert first.read(spec).count() == 2
+    spark.sql(f"DROP TABLE {first.table_name(spec)}")
+    assert ready(first, spec).append(daily(spark, [ONE]), spec) == 1
+    assert first.read(spec).count() == 3
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
+        first.read(schemas.GOLD_CUSTOMER_LTV)
+
+
 def test_rows_from_a_table_with_the_same_months_are_not_shuffled(spark, sf_dir, lake):
     """Silver from bronze: no more files than bronze has, each of one month, and no exchange."""
     for spec in (schemas.BRONZE_SALES, schemas.SILVER_SALES):
