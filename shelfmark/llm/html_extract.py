@@ -18,6 +18,7 @@ from shelfmark.llm.text import Batches, in_batches, materialise, per_row, sliced
 
 TRAINING_PAGES = 1500  # about as many pages are learned from, by hash
 TREES, DEPTH = 12, 4
+MARKED = 6.0  # log odds against a node that its name or attributes put in another part
 
 # Words in class, id and role attributes.
 CONTENT_TOKENS = frozenset("article articlebody post postbody entry story content main maincontent body text".split())
@@ -213,6 +214,26 @@ def train(pages: DataFrame, training_pages: int = TRAINING_PAGES) -> Trees | Non
     return _exported(boosted.fit(vectors))
 
 
+def _prior(page: Page, marks: list[Marks]) -> np.ndarray:
+    """What names and attributes say, as log odds: parts that no training page has are known by them alone.
+
+    Attribute words on a node that holds most of the page's text say little of that text.
+    """
+    total = [x.own for x in page.nodes]
+    for i in range(len(page.nodes) - 1, 0, -1):
+        total[page.nodes[i].parent] += total[i]
+    prior = np.zeros(len(page.nodes))
+    for i, (node, m) in enumerate(zip(page.nodes, marks, strict=True)):
+        if m.other:
+            named = node.name in OTHER_ELEMENTS or node.name == "header"
+            prior[i] = -MARKED if named or 2 * total[i] < total[0] else 0.0
+        elif i and prior[node.parent] < 0:
+            prior[i] = prior[node.parent]
+        elif m.in_main:
+            prior[i] = 1.0
+    return prior
+
+
 def _plain_margins(page: Page, marks: list[Marks]) -> np.ndarray:
     """Without trees: prose that isn't marked as another part."""
     prose = [x.own >= 80 and x.linked < 0.3 * x.own and not m.in_other for x, m in zip(page.nodes, marks, strict=True)]
@@ -227,7 +248,7 @@ def decode(page: Page, margins: np.ndarray) -> list[bool]:
     """
     nodes = page.nodes
     weight = np.array([0.05 + math.log1p(x.own) for x in nodes])
-    score = np.clip(margins, -4, 4) * weight
+    score = margins * weight
     keep, drop = score.copy(), -score
     for i in range(len(nodes) - 1, 0, -1):
         p = nodes[i].parent
@@ -258,7 +279,7 @@ def extract(pages: DataFrame, trees: Trees | None = None) -> DataFrame:
         page = parse(html or "")
         marks = _marks(page)
         margins = learned.margins(node_features(page, marks)) if learned else _plain_margins(page, marks)
-        text = blocks(page, decode(page, margins))
+        text = blocks(page, decode(page, np.clip(margins, -4, 4) + _prior(page, marks)))
         return text, len(text)
 
     return per_row(pages, main_text, ["html"], "text string, n_chars long", setup=lambda: held.value)

@@ -266,7 +266,8 @@ def _spans(hits: DataFrame) -> DataFrame:
     candidates = candidates.filter(F.col("base") | free).select("row", "kind", "start", "end", "base", *VOTES)
     candidates = materialise(candidates, "candidates")
     scored = candidates.withColumn("probability", _probability(fit(candidates)))
-    kept = scored.filter(F.col("base") | (F.col("probability") >= ACCEPT))
+    failed = (F.col("v1") < 0) & (F.col("v3") <= 0)  # what fails its kind's check needs words that speak for it
+    kept = scored.filter(F.col("base") | ((F.col("probability") >= ACCEPT) & ~failed))
     return kept.select("row", "kind", "start", "end", "base", "probability")
 
 
