@@ -1,0 +1,106 @@
+"""Personal data against the plain rules, what the classifier adds, and masking."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from shelfmark.llm import personal_data
+from tests.llm.conftest import documents
+
+KINDS = ("email", "ip", "card", "phone")
+
+
+def luhn(text):
+    digits = [int(c) for c in text if c.isdigit()][::-1]
+    return (sum(digits[::2]) + sum(sum(divmod(2 * d, 10)) for d in digits[1::2])) % 10 == 0
+
+
+def plain_spans(text):
+    count = lambda s: sum(c.isdigit() for c in s)
+    rules = [
+        (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda s: True),
+        (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda s: all(int(x) <= 255 for x in s.split("."))),
+        (r"[0-9]([\x20-]?[0-9])+", lambda s: 14 <= count(s) <= 19 and luhn(s)),
+        (r"\+[0-9][\x20().0-9-]+[0-9]", lambda s: 10 <= count(s) <= 15),
+    ]
+    found = [
+        (m.start(), k, m.end()) for k, (p, good) in enumerate(rules) for m in re.finditer(p, text or "") if good(m[0])
+    ]
+    return [(KINDS[k], a, b) for a, k, b in sorted(found)]
+
+
+def listing(spans):
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+
+
+def noise(seed, n):
+    rng = random.Random(seed)
+    cards = ["4111111111111111", "4111 1111 1111 1111", "5500-0000-0000-0004", "4111111111111112", "378282246310005"]
+    bits = [
+        *cards, "a@b.c", "x.y+z@ex-am.co.uk", "a@b.c_d@e.f", "@b.c", "1.2.3.4", "256.1.1.1", "1.2.3.4.5.6.7.8", "001.02.3.255",
+        "9" * 40 + ".1.1.1", "+1 (415) 555-2671", "+49.30.1234567", "+1+2", "+12345678901234567", "é", "\U0001f600", " ", "-", ".", "(",
+        "+", "@", "7", "42", "\n", "abc",
+    ]
+    return ["".join(rng.choices(bits, k=rng.randrange(1, 14))) for _ in range(n)]
+
+
+def test_base_rules_equal_plain_patterns(spark):
+    texts = [*noise(1, 1500), None, "", "1 " * 5000, "a." * 5000 + "@b.c"]
+    rows = {r.doc_id: r for r in personal_data.personal_data(documents(spark, list(enumerate(texts)))).collect()}
+    assert len(rows) == len(texts)
+    for i, text in enumerate(texts):
+        expected = plain_spans(text)
+        r = rows[i]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == x for k, _, _ in expected) for x in KINDS], text
+        assert r.base_sha256 == hashlib.sha256(listing(expected).encode()).hexdigest(), text
+        assert set(listing(expected).split(",")) - {""} <= set(r.spans.split(",")), text
+
+
+def test_the_classifier_adds_what_labelers_agree_on(spark):
+    texts = {
+        1: "e-mail: john [at] example [dot] com today",
+        2: "Tel: 415-555-2671 please",
+        3: "version 415-555-2671 of it",
+        4: "card 4111111111111112 is wrong",
+        5: "order 2531585014589253 is a number",
+        6: "call +1 (415) 555-2671 now",
+    }
+    many = [(i + 10 * copy, text) for i, text in texts.items() for copy in range(100)]
+    found = personal_data.personal_data(documents(spark, many)).collect()
+    assert len(found) == 600
+    rows = {i: {r.spans for r in found if r.doc_id % 10 == i} for i in texts}
+    rows = {i: one.pop() for i, one in rows.items() if len(one) == 1}
+    assert rows == {1: "email:8:34", 2: "phone:5:17", 3: "", 4: "", 5: "", 6: "phone:5:22"}
+
+
+def test_voting_does_not_turn_round():
+    patterns = [((1, -1, -1, 0, 0, 0), 10_000), ((1, -1, 1, 0, 0, 0), 3000), ((1, 1, 1, 0, 0, 0), 200)]
+    real = personal_data._posteriors(patterns)
+    assert real[0] < 0.1 and real[1] < 0.5 < 0.9 < real[2]
+
+
+@pytest.mark.parametrize("extra", ["", " é\U0001f600"])
+def test_mask_hides_every_span(spark, extra):
+    docs = {
+        1: f"{extra}a@b.cc and 1.2.3.4, +1 (415) 555-2671{extra}",
+        2: "1111@x.com4111 1111 1111 1111@x.com!",
+        3: f"nothing here{extra}",
+        4: f"4785380592391130 is none{extra}",
+        5: None,
+    }
+    rows = {r.doc_id: r for r in personal_data.mask(documents(spark, list(docs.items()))).collect()}
+    assert rows[1].text == f"{extra}[EMAIL] and [IP], [PHONE]{extra}"
+    assert rows[1].n_chars == len(rows[1].text)
+    assert "1111" not in rows[2].text and "@" not in rows[2].text
+    assert (rows[3].text, rows[4].text, rows[5].text) == (docs[3], docs[4], None)
+
+
+def test_texts_never_reach_python(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for result in (personal_data.personal_data(docs), personal_data.mask(docs)):
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Arrow|Pandas|ExistingRDD", plan)
