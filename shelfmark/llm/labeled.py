@@ -15,10 +15,15 @@ def labels_outside(labels: DataFrame, label: str, modulus: int, value: int) -> D
 
 
 def sampled_texts(docs: DataFrame, labels: DataFrame, label: str, limits: dict[int, int]) -> DataFrame:
-    """(doc_id, label, raw) for at most `limits[value]` labelled documents of each value, those of the least hash."""
-    chosen = None
+    """(doc_id, label, raw) for about `limits[value]` labelled documents of each value, or all if there are fewer.
+
+    A document is in if the hash of its doc_id lies under the value's share, so the sample is the same on every run.
+    """
+    counts = {r[label]: r["count"] for r in labels.groupBy(label).count().collect()}
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    inside = F.lit(False)
     for value, limit in limits.items():
-        some = labels.filter(F.col(label) == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-        chosen = some if chosen is None else chosen.unionByName(some)
+        share = min(1.0, limit / max(1, counts.get(value, 0)))
+        inside = inside | ((F.col(label) == value) & (place < int(share * (1 << 40))))
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("raw"))
-    return texts.join(F.broadcast(chosen), "doc_id")  # the limits bound it
+    return texts.join(F.broadcast(labels.filter(inside)), "doc_id")  # the limits bound it

@@ -41,7 +41,7 @@ PREFIXES = range(3, 9)
 LEAST_SUPPORT = 3
 LEAST_ODDS = 2.5
 MOST_PATTERNS = 20_000
-SAMPLE = {1: 6_000, 0: 18_000}  # labelled documents that are learned from, at most
+SAMPLE = {1: 6_000, 0: 18_000}  # labelled documents that are learned from, about so many at most
 
 _BREAKS = b".!?;:|\n\r"
 _SPACED = bytes(
@@ -246,7 +246,7 @@ def score(docs: DataFrame, labels: DataFrame, modulus: int = 5, value: int = 0,
     """One row per document: doc_id, held_out, score, predicted, and the number of matched clauses.
 
     `docs` needs doc_id and text, `labels` doc_id and toxic. Labels are used only of documents whose crc32(doc_id) modulo
-    `modulus` isn't `value`, of at most 6,000 toxic and 18,000 other ones: three quarters for the grammar's words, a quarter to set
+    `modulus` isn't `value`, of about 6,000 toxic and 18,000 other ones at most: three quarters for the grammar's words, a quarter to set
     the score's scale. NULL and empty texts match nothing and get the score of such texts; labels that are NULL or not 0 or 1 are
     left out; with labels of one class or none, seed words alone decide. Repeated rows get a row each; a NULL doc_id is held out.
     """
