@@ -7,6 +7,7 @@ the shared scratch folder.
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Callable
 
@@ -98,8 +99,15 @@ _SUPPLIED = {
 
 
 def _lake(spark: SparkSession) -> Lakehouse:
-    """A lakehouse of its own in the scratch folder."""
-    return Lakehouse(spark, scratch_dir(spark, "lake"), prefix=f"run_{uuid.uuid4().hex}_")
+    """A lakehouse of its own in the scratch folder; its databases go when the process ends."""
+    lake = Lakehouse(spark, scratch_dir(spark, "lake"), prefix=f"run_{uuid.uuid4().hex}_")
+    atexit.register(_forget, lake)
+    return lake
+
+
+def _forget(lake: Lakehouse) -> None:
+    if SparkSession.getActiveSession() is not None:
+        lake.drop_databases()
 
 
 def _table(lake: Lakehouse, spec: TableSpec) -> None:

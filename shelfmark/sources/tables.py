@@ -57,6 +57,11 @@ class Lakehouse:
         place = f" LOCATION '{self.location}/{name}'" if self.location else ""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
 
+    def drop_databases(self) -> None:
+        """Take the databases and their tables out of the catalog; the files stay."""
+        for layer in LAYERS:
+            self.spark.sql(f"DROP DATABASE IF EXISTS {self.database(layer)} CASCADE")
+
     def folder(self, spec: TableSpec) -> str:
         """Where the table's files lie; its database must exist."""
         place = self.spark.catalog.getDatabase(self.database(spec.layer)).locationUri
