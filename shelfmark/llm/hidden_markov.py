@@ -24,7 +24,8 @@ ENDING = 4
 SYMBOLS = OWN + BUCKETS
 LISTED = 1 << 17  # most frequent words, whose counts every task holds
 SEGMENT = 512  # tokens of a text that are trained, or whose transfer is found, as one sequence
-WHOLE = 4096  # tokens of a text whose likelihood is found place by place
+WHOLE = 8192  # tokens of a text whose likelihood is found place by place
+SIDE_BY_SIDE = 256  # segments of longer texts at a time
 BATCH_TOKENS = 1 << 17  # that are trained on at a time; four times as many are scored
 PRIOR = 100.0  # tokens of the overall mix that each state is given
 END = b""
@@ -173,16 +174,18 @@ def log_likelihoods(sequences: list[np.ndarray], model: Model) -> np.ndarray:
     laid = TimeMajor(heads)
     scales, ends = laid.scales(model)
     logs = laid.log10(scales, len(heads))
-    long = np.array([len(s) > WHOLE for s in sequences])  # their heads are the longest sequences here
-    for rank in np.flatnonzero(long[laid.order]).tolist():
-        i, state = int(laid.order[rank]), ends[:, rank]
-        tail = sequences[i][WHOLE:]
-        for a in range(0, len(tail), SEGMENT * 256):
-            some = [tail[b : b + SEGMENT] for b in range(a, min(a + SEGMENT * 256, len(tail)), SEGMENT)]
-            for onward, log in zip(*_transfers(some, model), strict=True):
-                state = state @ onward
-                logs[i] += log + math.log10(state.sum())
-                state = state / state.sum()
+    states = {}  # of long texts, whose heads are the longest sequences here
+    rest: list[tuple[int, np.ndarray]] = []
+    for rank, i in enumerate(laid.order.tolist()):
+        if len(sequences[i]) > WHOLE:
+            states[i] = ends[:, rank]
+            rest += [(i, sequences[i][a : a + SEGMENT]) for a in range(WHOLE, len(sequences[i]), SEGMENT)]
+    for a in range(0, len(rest), SIDE_BY_SIDE):
+        some = rest[a : a + SIDE_BY_SIDE]
+        for (i, _), onward, log in zip(some, *_transfers([s for _, s in some], model), strict=True):
+            state = states[i] @ onward
+            logs[i] += log + math.log10(state.sum())
+            states[i] = state / state.sum()
     return logs
 
 
