@@ -19,7 +19,7 @@ SEQUENCE = 2048
 WINDOW_SEQUENCES = 64
 END = 1
 VOCABULARY = "word_bpe_49k.json"
-CACHED = 400_000  # words whose ids a worker keeps
+CACHED = 500_000  # words whose ids a worker keeps, and as many older ones
 CHUNK_ROWS = 4_000
 BLOCK_WINDOWS = 4096
 
@@ -42,6 +42,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         names = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(names.values()) + 1, bool)  # ids that end a piece
         self.ends[[i for name, i in names.items() if name.endswith("</w>")]] = True
@@ -70,10 +71,13 @@ class Encoder:
 
     def learn(self, texts: list[list[bytes]]) -> None:
         """Make the ids of all words of some texts known."""
+        if len(self.known) > CACHED:  # words that are used again come back from the older ones
+            self.known, self.older = {}, self.known
         new = set(filterfalse(self.known.__contains__, chain.from_iterable(texts)))
-        if len(self.known) + len(new) > CACHED:
-            present = set(chain.from_iterable(texts))
-            self.known = {w: ids for w, ids in self.known.items() if w in present}
+        if self.older:
+            again = {w: self.older[w] for w in new if w in self.older}
+            self.known.update(again)
+            new.difference_update(again)
         if not new:
             return
         parts: dict[bytes, tuple[bytes, bytes]] = {}

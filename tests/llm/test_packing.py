@@ -41,7 +41,9 @@ def test_words_give_the_ids_of_the_text(tokenizer, text):
     assert encoder.encode(words) == expected_ids(tokenizer, text).tobytes()
 
 
-def test_words_of_many_kinds(tokenizer):
+@pytest.mark.parametrize("cached", [20, packing.CACHED])
+def test_words_of_many_kinds(tokenizer, monkeypatch, cached):
+    monkeypatch.setattr(packing, "CACHED", cached)
     rng = random.Random(6)
     letters = "abcXYZ\u00e9\u00df\u0130\u01c5\u03a3\u0301\u65e5\u00aa\u00b2'7.,!#$)("
     words = ["".join(rng.choices(letters, k=rng.randrange(1, 9))) for _ in range(3000)] + ["don't.", "it's,", "x's!", "'s", "..."]
