@@ -56,7 +56,7 @@ class Encoder:
     def _encoded(self, words: list[str]) -> list[bytes]:
         """The ids of each word. Words of letters are one piece each and go as one text, cut where pieces end."""
         out: dict[str, bytes] = {}
-        letters = [w for w in words if w.isalpha() and max(w) < _LATIN]
+        letters = [w for w in words if w.isalpha() and (w.isascii() or max(w) < _LATIN)]
         for i in range(0, len(letters), 1000):
             some = letters[i : i + 1000]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
@@ -80,17 +80,20 @@ class Encoder:
             new.difference_update(again)
         if not new:
             return
-        parts: dict[bytes, tuple[bytes, bytes]] = {}
-        for word in new:
-            stem = word.rstrip(_MARKS)
-            last = stem[-1:]
-            whole = not stem or len(stem) == len(word) or not (last.isalnum() or stem.decode()[-1].isalpha() and stem.decode()[-1] < _LATIN)
-            parts[word] = (word, b"") if whole else (stem, word[len(stem) :])
-        fresh = [p for p in {p for pair in parts.values() for p in pair} if p and p not in self.known]
-        found = dict(zip(fresh, self._encoded([p.decode() for p in fresh]), strict=True))
-        found[b""] = b""
-        for word, pair in parts.items():
-            self.known[word] = b"".join(found[p] if p in found else self.known[p] for p in pair)
+        split = {word: self._split(word) for word in new if word[-1] in _MARKS}
+        fresh = new.difference(split).union(*split.values()).difference(self.known, (b"",))
+        self.known.update(zip(fresh, self._encoded([w.decode() for w in fresh]), strict=True))
+        self.known[b""] = b""
+        self.known.update((word, self.known[stem] + self.known[marks]) for word, (stem, marks) in split.items())
+
+    @staticmethod
+    def _split(word: bytes) -> tuple[bytes, bytes]:
+        """A word that ends in marks as what is before them and the marks, if that ends in a letter or digit."""
+        stem = word.rstrip(_MARKS)
+        last = stem[-1:]
+        if last.isalnum() or (last and stem.decode()[-1].isalpha() and stem.decode()[-1] < _LATIN):
+            return stem, word[len(stem) :]
+        return word, b""
 
     def encode(self, words: list[bytes]) -> bytes:
         """Little-endian unsigned 32-bit ids of known words in turn, and the id that ends a document."""
