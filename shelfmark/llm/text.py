@@ -132,7 +132,3 @@ def tucked(frame: DataFrame, used: list[str]) -> DataFrame:
 def untucked(frame: DataFrame, columns: list[str], used: list[str]) -> list[Column]:
     """The columns of the frame that `tucked` got, in their order."""
     return [F.col(c) if c in used else F.col("_rest").getField(c).alias(c) for c in columns]
-
-
-def shuffle_width(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
