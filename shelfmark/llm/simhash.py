@@ -73,7 +73,7 @@ def _linked(prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
         frontier, left = [left[0]], left[1:]
         while frontier and len(left):
             at = frontier.pop()
-            near = np.bitwise_count(left ^ at) <= radius
+            near = np.bitwise_count((left ^ at).view(np.uint64)) <= radius  # of signed values numpy counts the absolute value's
             for other in left[near]:
                 edges.append((int(at), int(other)))
                 frontier.append(other)

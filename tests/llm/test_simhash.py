@@ -88,6 +88,36 @@ def test_a_chain_of_close_fingerprints_is_one_component(spark, bucket):
     assert roots == {min(chain)}
 
 
+@pytest.mark.parametrize("bucket", [2, 4096])
+def test_links_across_the_sign_bit(spark, bucket):
+    rng = random.Random(7)
+    at, chain = 0, []
+    for _ in range(200):
+        at ^= sum(1 << b for b in rng.sample(range(64), 4))
+        chain.append(at)
+    clusters = [chain]
+    for _ in range(50):  # a middle, and two prints that differ from it in bit 63 and others
+        middle = rng.getrandbits(64)
+        clusters.append([middle, *(middle ^ 1 << 63 ^ sum(1 << b for b in rng.sample(range(63), 3)) for _ in range(2))])
+    prints = {i: p for i, p in enumerate(p for cluster in clusters for p in cluster)}
+    expected = plain_components(prints)
+    edges = simhash.near_links(spark.createDataFrame([(simhash._signed(p),) for p in set(prints.values())], "fingerprint long"), bucket=bucket)
+    assert edges.filter(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) > 4).count() == 0
+    roots = {r.node % 2**64: r.root for r in connected_components(edges).collect()}
+    groups = {}
+    for i, p in prints.items():
+        groups.setdefault(expected[i], set()).add(roots.get(p, simhash._signed(p)))
+    assert all(len(found) == 1 for found in groups.values())
+    assert len(groups) == 51
+
+
+def test_a_bucket_of_three_is_linked_across_the_sign_bit():
+    import numpy as np
+
+    prints = np.array([simhash._signed(p) for p in (5, 5 ^ 1 << 63 ^ 1, 5 ^ 1 << 63 ^ 6)], np.int64)
+    assert len(simhash._linked(prints, 4)) == 2
+
+
 def test_one_of_each_keeps_the_least(spark):
     text, other = "a b c d e f g h", "p q r s t u v w x y"
     docs = documents(spark, [(3, text), (2, text), (9, other), (2, text), (None, text), (4, None), (5, "")])
