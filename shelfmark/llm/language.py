@@ -12,15 +12,17 @@ from pyspark.sql import functions as F
 from shelfmark.llm.text import Batches, in_batches, materialise, per_row, sliced
 
 BUCKETS = 1 << 13
-MOST_LANGUAGES = 64  # those of most text have a model
-LEAST_GRAMS = 1000
+HELD_LANGUAGES = 256  # whose counts a task holds at once
+OVERALL_GRAMS = 1000.0  # trigrams that the shares over all languages count for in each language's model
+LEAST_SHARE = 1e-300  # a text's smaller chances count as this
+SUMMED_SHARE = 1e-15  # what is under the rounding of a sum of rows isn't added to it
 UNKNOWN = "und"
 TEXT_WEIGHT = 0.2  # neighbouring trigrams overlap, so each counts for a part of an observation
 UNKNOWN_PRIOR = 1e-3
 HOST_STRENGTH, LEVEL_STRENGTH = 5.0, 20.0  # rows that a parent level's shares count for at a host, and above
 EVIDENCE_STRENGTH = 10.0
 LEAST_CONFIDENCE = 0.5
-SLICE = 1 << 20
+CHUNK = 256  # buckets
 
 # ASCII that isn't a letter separates words; bytes beyond ASCII stay.
 _LETTERS = bytes(c if c >= 0x80 or 0x41 <= c <= 0x5A or 0x61 <= c <= 0x7A else 0x20 for c in range(256))
@@ -38,16 +40,31 @@ def grams(raw: bytes | None) -> np.ndarray:
 
 @dataclass
 class TextModel:
-    """log chance of a trigram bucket in each language, and last in no language: there all buckets are alike."""
+    """log chance of a trigram bucket in each language, and last in no language: there all buckets are alike.
+
+    A language's log chance of a bucket is that of a language without the bucket (`unseen`, less `totals`) and, where it has the
+    bucket, an entry more: `values` at `places`, by bucket from `starts`. So the model grows with what languages have.
+    """
 
     languages: list[str]
-    logs: np.ndarray
+    unseen: np.ndarray
+    totals: np.ndarray
+    starts: np.ndarray
+    places: np.ndarray
+    values: np.ndarray
 
     def log_likelihoods(self, raw: bytes | None) -> tuple[np.ndarray, int]:
         found = grams(raw)
-        total = np.zeros(len(self.languages))
-        for a in range(0, len(found), SLICE):
-            total += self.logs[found[a : a + SLICE]].sum(axis=0)
+        times = np.bincount(found, minlength=BUCKETS)
+        total = float(times @ self.unseen) - len(found) * self.totals
+        held = np.flatnonzero(times)
+        for a in range(0, len(held), CHUNK):
+            at = held[a : a + CHUNK]
+            sizes = self.starts[at + 1] - self.starts[at]
+            entries = np.repeat(self.starts[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+            weights = self.values[entries] * np.repeat(times[at], sizes)
+            total += np.bincount(self.places[entries], weights, minlength=len(total))
+        total[-1] = -len(found) * np.log(BUCKETS)
         return total, len(found)
 
 
@@ -70,21 +87,28 @@ def train(texts: DataFrame) -> TextModel:
         for batch in sliced(batches):
             for key, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if key not in counts:
-                    if len(counts) >= 4 * MOST_LANGUAGES:
+                    if len(counts) >= HELD_LANGUAGES:
                         yield flushed()
                     counts[key] = np.zeros(BUCKETS, np.int64)
                 counts[key] += np.bincount(grams(raw), minlength=BUCKETS)
         yield flushed()
 
-    partial = in_batches(texts.filter("declared IS NOT NULL"), run, "key string, bucket long, n long")
+    partial = in_batches(texts.filter(F.col("declared") != UNKNOWN), run, "key string, bucket long, n long")
     counts = materialise(partial.groupBy("key", "bucket").agg(F.sum("n").alias("n")), "trigrams")
-    sizes = counts.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_GRAMS)
-    languages = sorted(r["key"] for r in sizes.orderBy(F.desc("n"), "key").limit(MOST_LANGUAGES).collect())
-    table = np.full((BUCKETS, len(languages) + 1), 0.5)
-    place = {key: i for i, key in enumerate(languages)}
-    for r in counts.filter(F.col("key").isin(languages)).collect():  # at most 64 x 8,192 numbers
-        table[r["bucket"], place[r["key"]]] += r["n"]
-    return TextModel([*languages, UNKNOWN], np.log(table / table.sum(axis=0)))
+    table = counts.filter("n > 0").toArrow()
+    keys = table.column("key").combine_chunks().dictionary_encode()
+    names = keys.dictionary.to_pylist()
+    languages = sorted(names)
+    rank = {key: i for i, key in enumerate(languages)}
+    place = np.array([rank[key] for key in names], np.int32)[keys.indices.to_numpy()] if names else np.zeros(0, np.int32)
+    bucket, n = table.column("bucket").to_numpy(), table.column("n").to_numpy().astype(float)
+    order = np.lexsort((place, bucket))
+    bucket, place, n = bucket[order], place[order], n[order]
+    overall = np.bincount(bucket, n, minlength=BUCKETS)
+    unseen = 0.5 + OVERALL_GRAMS * overall / max(1.0, overall.sum())
+    totals = np.append(np.log(np.bincount(place, n, minlength=len(languages)) + unseen.sum()), 0.0)
+    starts = np.searchsorted(bucket, np.arange(BUCKETS + 1))
+    return TextModel([*languages, UNKNOWN], np.log(unseen), totals, starts, place, np.log1p(n / unseen[bucket]))
 
 
 def _softmax(logs: np.ndarray) -> np.ndarray:
@@ -92,16 +116,22 @@ def _softmax(logs: np.ndarray) -> np.ndarray:
     return shifted / shifted.sum()
 
 
-def _level(evidence: DataFrame, key: str, size: int) -> DataFrame:
-    """Expected rows of each language at each value of a key, by the text alone."""
-    sums = F.array(*[F.sum(F.col("shares")[i]) for i in range(size)])
-    return materialise(evidence.filter(F.col(key).isNotNull()).groupBy(key).agg(sums.alias(f"{key}_sums")), key)
+def _summed(evidence: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, i, n): expected rows of each language, by the text alone; languages without any have no row."""
+    shares = evidence.select(*keys, F.explode("shares").alias("s")).select(*keys, "s.i", "s.p").filter(F.col("p") >= SUMMED_SHARE)
+    return shares.groupBy(*keys, "i").agg(F.sum("p").alias("n"))
+
+
+def _level(evidence: DataFrame, key: str) -> DataFrame:
+    """Expected rows of each language at each value of a key."""
+    sums = _summed(evidence.filter(F.col(key).isNotNull()), [key])
+    return materialise(sums.groupBy(key).agg(F.collect_list(F.struct("i", "n")).alias(f"{key}_sums")), key)
 
 
 def fuse(evidence: DataFrame, languages: list[str]) -> DataFrame:
     """Each row's language and confidence.
 
-    `evidence`: declared, host, domain, suffix and `shares`, the languages' chances by the text alone. A host's prior is its
+    `evidence`: declared, host, domain, suffix and `shares`, (i, p) of the languages that have a chance by the text alone. A host's prior is its
     rows' expected languages, smoothed by its domain's, those by its suffix's, those by all rows'; a row's own share is taken out
     first, so that a text isn't its own prior. What rows of each language declare, and the suffixes they have, give the
     chance of a declaration and of a suffix. Levels are grouped sums, joined by key; a NULL key says nothing.
@@ -109,24 +139,35 @@ def fuse(evidence: DataFrame, languages: list[str]) -> DataFrame:
     size = len(languages)
     joined = evidence
     for key in ("host", "domain", "suffix", "declared"):
-        joined = joined.join(_level(evidence, key, size), key, "left")
-    everywhere = evidence.agg(*[F.sum(F.col("shares")[i]).alias(f"s{i}") for i in range(size)]).first()
-    overall = np.array([everywhere[i] or 0.0 for i in range(size)])
+        joined = joined.join(_level(evidence, key), key, "left")
+    overall = np.zeros(size)
+    for r in _summed(evidence, []).collect():  # a row a language
+        overall[r["i"]] = r["n"]
     known = {c: i for i, c in enumerate(languages)}
     n_suffixes = max(1, evidence.agg(F.count_distinct("suffix")).first()[0])
     n_declared = max(1, evidence.agg(F.count_distinct("declared")).first()[0])
 
+    def dense(sums: list[dict] | None, value: str) -> np.ndarray | None:
+        if sums is None:
+            return None
+        full = np.zeros(size)
+        full[[s["i"] for s in sums]] = [s[value] for s in sums]
+        return full
+
     def decide(shares, n_grams, host, domain, suffix, declared, declaration) -> tuple:
-        own = np.array(shares)
+        own = dense(shares, "p")
+        host, domain, suffix, declared = (dense(sums, "n") for sums in (host, domain, suffix, declared))
         if not n_grams:
             return UNKNOWN, 0.0, UNKNOWN, False
         others = np.maximum(overall - own, 0.0)
         prior = (others + 1.0) / (others + 1.0).sum()
-        logs = np.log(np.maximum(own, 1e-300))  # the text's likelihoods: `shares` has them over an even prior
+        logs = np.log(np.maximum(own, LEAST_SHARE))  # the text's likelihoods: `shares` has them over an even prior
         for sums, strength in ((suffix, LEVEL_STRENGTH), (domain, LEVEL_STRENGTH), (host, HOST_STRENGTH)):
             if sums is not None:
-                here = np.maximum(np.array(sums) - own, 0.0)
+                here = np.maximum(sums - own, 0.0)
                 prior = (here + strength * prior) / (here.sum() + strength)
+        if declaration in known:  # a language of little text is carried by its declaration
+            prior[known[declaration]] = max(prior[known[declaration]], UNKNOWN_PRIOR)
         prior[-1] = UNKNOWN_PRIOR
         logs = logs + np.log(prior / prior.sum())
         for sums, values, expected in ((declared, n_declared, known.get(declaration)), (suffix, n_suffixes, None)):
@@ -136,7 +177,7 @@ def fuse(evidence: DataFrame, languages: list[str]) -> DataFrame:
                 if expected is not None:
                     guess = np.where(np.arange(size) == expected, 0.9, 0.1 / values)
                     guess[-1] = 1.0 / values
-                here = np.maximum(np.array(sums) - own, 0.0)
+                here = np.maximum(sums - own, 0.0)
                 logs = logs + np.log((here + EVIDENCE_STRENGTH * guess) / (others + EVIDENCE_STRENGTH))
         chances = _softmax(logs)
         best = int(chances.argmax())
@@ -166,7 +207,8 @@ def declared_language(column: Column) -> Column:
 def identify(rows: DataFrame, key: list[str], text: Column, declared: Column, host: Column) -> DataFrame:
     """One row per row: the key columns, language, confidence, text_language, declared, kept.
 
-    Text models learn from all rows with a declared language (those of most text, 64 at most). Texts without a letter are `und`
+    Text models learn from all rows with a declared language and of every one that is
+    declared; those of little text are smoothed towards the shares over all. Texts without a letter are `und`
     and not kept, and so are texts that look like none of the languages or whose likeliest one has a chance under 0.5. A NULL
     text is empty; a NULL declaration, host or suffix is no evidence; without any declaration all rows are `und`. Repeated
     rows get a row each.
@@ -178,9 +220,10 @@ def identify(rows: DataFrame, key: list[str], text: Column, declared: Column, ho
 
     def weigh(model: TextModel, raw: bytes | None) -> tuple:
         logs, n = model.log_likelihoods(raw)
-        return _softmax(TEXT_WEIGHT * logs).tolist(), n
+        shares = _softmax(TEXT_WEIGHT * logs)
+        return [(i, p) for i, p in enumerate(shares.tolist()) if p > LEAST_SHARE], n
 
-    weighed = per_row(source, weigh, ["_raw"], "shares array<double>, n_grams long", setup=lambda: held.value)
+    weighed = per_row(source, weigh, ["_raw"], "shares array<struct<i: int, p: double>>, n_grams long", setup=lambda: held.value)
     evidence = materialise(weighed.drop("_raw").withColumns(address_parts(F.col("_host"))).drop("_host"), "evidence")
     decided = fuse(evidence, model.languages)
     return decided.select(*key, "language", "confidence", "text_language", "declared", "kept")

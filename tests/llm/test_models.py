@@ -26,6 +26,19 @@ def test_other_evidence_decides_where_the_text_does_not(spark):
     assert (found[104].language, found[104].kept) == ("und", False)
 
 
+def test_every_declared_language_has_a_model(spark):
+    import random
+
+    rng, rows, codes = random.Random(4), [], [a + b for a in "bcdfghjklm" for b in "pqrstvwxz"]
+    for code in codes:  # 90 languages of words of their own; the last ten have two documents each
+        words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(3, 8))) for _ in range(30)]
+        for _ in range(12 if code in codes[:-10] else 2):
+            rows.append((len(rows), " ".join(rng.choices(words, k=40)), code, "a"))
+    rows.append((len(rows), "mvunde katoli", "zz", "a"))
+    found = language.document_languages(documents(spark, rows)).join(documents(spark, rows).select("doc_id", "lang"), "doc_id").collect()
+    assert all(r.language == r.lang and r.kept for r in found)
+
+
 def test_hosts_share_what_their_domain_has(spark):
     parts = spark.createDataFrame([("A.Example.ORG",), ("src0",), ("",), (None,)], "h string")
     rows = parts.select(*[c.alias(n) for n, c in language.address_parts(parts["h"]).items()]).collect()
