@@ -35,7 +35,7 @@ REPORTS = (
 ).split()
 
 NEGATED_WORDS = 3  # words that a negation reaches
-NEAR_WORDS = 6  # words between a target and what hits it
+NEAR_WORDS = 6  # words between a target and what hits it, on either side
 SEED_INSULT, SEED_THREAT = 1.5, 2.0
 PREFIXES = range(3, 9)
 LEAST_SUPPORT = 3
@@ -86,8 +86,9 @@ def _countdown(trigger: str, reach: int, marked: dict[str, str]) -> Transducer:
     return Transducer(arcs, {k: max(0, k - 1) for k in range(reach + 1)})
 
 
-# Symbols: I insult, T threat, P target, N negation, R reported speech, o any other word. A match takes on "-" if negated, "~" if
-# reported, "@" if aimed at a target before it.
+# Words come as classes: i insult, t threat, it both. Symbols: I insult, T threat, P target, N negation, R reported speech, o any other word. A match takes on "-" if negated, "~" if
+# reported, "@" if aimed at a target
+# before it or after it.
 ALPHABET = {"I", "T", "P", "N", "R", "o"}
 _NEGATION = _countdown("N", NEGATED_WORDS, {"I": "I-", "T": "T-"})
 _REPORTED = Transducer(
@@ -96,6 +97,11 @@ _REPORTED = Transducer(
 _HITS = [s + n + r for s in "IT" for n in ("", "-") for r in ("", "~")]
 _TARGETED = _countdown("P", NEAR_WORDS, {s: s + "@" for s in _HITS})
 CLAUSE = compose(compose(_NEGATION, _REPORTED, ALPHABET), _TARGETED, ALPHABET)
+CLASSES = {"i", "t", "it"} | ALPHABET - {"I", "T"}
+_INSULT = Transducer({(0, "i"): (0, "I"), (0, "it"): (0, "I")})
+_THREAT = Transducer({(0, "t"): (0, "T")})
+FORWARD = compose(compose(_INSULT, _THREAT, CLASSES), CLAUSE, CLASSES)
+_OBJECT = _countdown("P", NEAR_WORDS, {s: s + "@" for s in _HITS})  # reads what FORWARD makes of a clause from its end
 
 
 def _factor(symbol: str) -> float:
@@ -144,16 +150,20 @@ class Grammar:
                 break
             weight = max(weight, self.prefixes.get(word[:n], 0.0))
         if weight:
-            return "I", weight
+            return "it" if word in self.threats else "i", weight
         if word in self.threats:
-            return "T", self.threats[word]
+            return "t", self.threats[word]
         return self.other.get(word, "o"), 0.0
 
     def clause(self, words: list[str]) -> float:
-        state, total = CLAUSE.start, 0.0
+        state, read = FORWARD.start, []
         for word in words:
             symbol, weight = self.symbol(word)
-            state, out = CLAUSE.read(state, symbol)
+            state, out = FORWARD.read(state, symbol)
+            read.append((out, weight))
+        state, total = _OBJECT.start, 0.0
+        for symbol, weight in reversed(read):
+            state, out = _OBJECT.read(state, symbol)
             total += weight * FACTORS.get(out, 0.0)
         return total
 

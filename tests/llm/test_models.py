@@ -64,6 +64,14 @@ def test_clauses_weigh_their_matches():
     assert clause("a quiet day") == 0
 
 
+def test_targets_after_a_hit_count():
+    assert clause("i will kill you") > clause("kill the process")
+    assert clause("i will kill you") == clause("you will burn")
+    assert clause("idiot you") == clause("you idiot") > clause("idiot")
+    assert clause("i will not kill you") < clause("i will kill you")
+    assert clause("kill a b c d e f you") == clause("kill the process")
+
+
 def test_composition_equals_the_cascade():
     import itertools
 
