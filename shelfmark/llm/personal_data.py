@@ -123,6 +123,12 @@ def _either(good: Column, bad: Column | None = None) -> Column:
     return (vote.when(bad, -1) if bad is not None else vote).otherwise(0)
 
 
+def _at_most_255(part: Column) -> Column:
+    """Whether digits, as many as they are, make a number of at most 255."""
+    bare = F.concat(F.lit("0"), F.regexp_replace(part, "^0+", ""))
+    return (F.char_length(bare) <= 4) & (F.try_to_number(F.right(bare, F.lit(4)), F.lit("9999")) <= 255)
+
+
 def _labeled(hits: DataFrame) -> DataFrame:
     """Candidates (a row each) with kind, whether the base rule takes them, and the labelers' votes."""
     form = F.col("form")
@@ -136,7 +142,7 @@ def _labeled(hits: DataFrame) -> DataFrame:
     checked = hits.withColumn(
         "checked",  # what the base rule asks of a match
         F.when(is_kind("email"), F.lit(True))
-        .when(is_kind("ip") & F.col("strict"), F.forall(parts, lambda p: F.try_to_number(F.right(p, F.lit(15)), F.lit("9" * 15)) <= 255))
+        .when(is_kind("ip") & F.col("strict"), F.forall(parts, _at_most_255))
         .when(is_kind("card"), luhn)
         .when(is_kind("phone"), count.between(10, 15))
         .otherwise(True),

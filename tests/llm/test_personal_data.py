@@ -104,3 +104,9 @@ def test_texts_never_reach_python(spark, sf_dir):
     for result in (personal_data.personal_data(docs), personal_data.mask(docs)):
         plan = result._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Arrow|Pandas|ExistingRDD", plan)
+
+
+def test_long_ip_parts_are_compared_whole(spark):
+    texts = ["1000000000000000000007.1.1.1", "1.1.1.1" + "0" * 20, "00000000000000000000007.0.000.255", "1.256.1.1", "0.0.0.0"]
+    rows = personal_data.personal_data(documents(spark, list(enumerate(texts)))).collect()
+    assert {r.doc_id: r.n_ip for r in rows} == {0: 0, 1: 0, 2: 1, 3: 0, 4: 1}
