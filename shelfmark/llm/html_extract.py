@@ -43,8 +43,11 @@ class Marks:
     in_other: bool
 
 
-def _tokens(node) -> set[str]:
-    text = " ".join(node.attributes.get(k, "") for k in ("class", "id", "role", "itemprop"))
+def _tokens(node, in_main: bool) -> set[str]:
+    """Words of attributes; in a main part without ids, which headings give, and classes of tags, categories and what isn't there."""
+    text = " ".join(node.attributes.get(k, "") for k in ("class", "role", "itemprop") + (() if in_main else ("id",)))
+    if in_main:
+        text = re.sub(r"(?i)(?<!\S)(?:tag|category|cat|no)[-_]\S*", " ", text)
     return set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", text).lower()))
 
 
@@ -56,11 +59,12 @@ def _marks(page: Page) -> list[Marks]:
     marks: list[Marks] = []
     for i, node in enumerate(page.nodes):
         above = marks[node.parent] if i else Marks(False, False, False, False)
-        tokens = _tokens(node) if node.attributes else set()
+        element = node.name in MAIN_ELEMENTS  # no word of its attributes makes it another part
+        tokens = _tokens(node, above.in_main or element) if node.attributes else set()
         unseen = "hidden" in node.attributes or re.search(r"display\s*:\s*none", node.attributes.get("style", "")) is not None
         header = node.name == "header" and not above.in_main
         other = unseen or (
-            not holds_main[i] and node.name not in ("html", "body") and (node.name in OTHER_ELEMENTS or header or bool(tokens & OTHER_TOKENS))
+            not holds_main[i] and node.name not in ("html", "body") and (node.name in OTHER_ELEMENTS or header or (not element and bool(tokens & OTHER_TOKENS)))
         )
         main = not other and (node.name in MAIN_ELEMENTS or bool(tokens & CONTENT_TOKENS))
         marks.append(Marks(main, other, above.in_main or main, above.in_other or other))

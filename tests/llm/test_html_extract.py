@@ -93,3 +93,13 @@ def test_exported_trees_equal_the_library(spark):
     expected = [r.m for r in model.transform(frame).select(vector_to_array("rawPrediction")[1].alias("m")).collect()]
     got = html_extract._exported(model).margins(np.array([r[0] for r in rows]))
     assert got / 2 == pytest.approx(expected)
+
+
+def test_headings_and_slugs_of_an_article_stay(spark, trees):
+    prose = "This is a long sentence of the main text, and it goes on for a while. " * 4
+    menu = "".join(f"<li><a href={i}>A long entry of the menu, number {i}</a>" for i in range(60))
+    inside = f'<h2 id="side-effects">Effects</h2><section id="legal-background"><p>{prose}</p></section><h3 id="hidden-costs">Costs</h3><p>{prose}</p>'
+    for classes in ("post", "post tag-social", "post no-sidebar", "post social"):
+        page = f'<html><body><nav><ul>{menu}</ul></nav><article class="{classes}">{inside}</article></body></html>'
+        text = html_extract.extract(pages(spark, [(1, "u", page)]), trees).first().text
+        assert text.count("main text") == 8 and "Effects" in text and "Costs" in text and "menu" not in text, classes
