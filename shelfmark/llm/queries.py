@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import decontaminate, hidden_markov, html_extract, language, packing, personal_data, quality_pu, quality_rules, simhash, toxicity
+from shelfmark.llm import decontaminate, hidden_markov, html_extract, language, lexical_search, packing, personal_data, quality_pu, quality_rules, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -89,6 +89,13 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(pages).select("page_id", "url", "text", "n_chars")
 
 
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    found = lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 FOLDED_WORDS = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -120,3 +127,30 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc_words LEFT JOIN places USING (doc_id) LEFT JOIN found USING (doc_id)
 """
+
+ORACLE["op11_lexical_search"] = f"""
+WITH docs AS (
+    SELECT doc_id, row_number() OVER () AS place, w, len(w) AS n
+    FROM (SELECT doc_id, {FOLDED_WORDS} AS w FROM documents) WHERE len(w) > 0
+),
+totals AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM docs),
+occurrences AS (
+    SELECT place, t, count(*) AS tf FROM (SELECT place, unnest(w) AS t FROM docs) GROUP BY place, t
+),
+asked AS (SELECT DISTINCT item_id, text, unnest({FOLDED_WORDS}) AS t FROM benchmark),
+weights AS (
+    SELECT t, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS weight
+    FROM (SELECT t, count(*) AS df FROM occurrences GROUP BY t), totals
+),
+scored AS (
+    SELECT item_id, a.text, place,
+           sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+    FROM asked a JOIN weights USING (t) JOIN occurrences USING (t) JOIN docs USING (place), totals
+    GROUP BY item_id, a.text, place
+),
+ranked AS (
+    SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id) AS rank
+    FROM scored JOIN docs USING (place) WHERE score > 0 AND doc_id IS NOT NULL
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
