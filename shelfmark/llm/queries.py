@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import decontaminate, hidden_markov, html_extract, language, lexical_search, packing, personal_data, quality_pu, quality_rules, simhash, toxicity
+from shelfmark.llm import decontaminate, hidden_markov, html_extract, language, lexical_search, packing, personal_data, quality_pu, quality_rules, simhash, token_alignment, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -96,6 +96,12 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("item_id", "rank", "doc_id", "score")
 
 
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How two tokenizers' tokens of every document lie against each other."""
+    return token_alignment.align(table(spark, sf_dir, "documents"))
+
+
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 FOLDED_WORDS = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 

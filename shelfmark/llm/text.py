@@ -48,11 +48,11 @@ def held_out(key: str | Column, modulus: int, value: int) -> Column:
     return F.coalesce(remainder(key, modulus) == value, F.lit(True))
 
 
-def materialise(frame: DataFrame, label: str) -> DataFrame:
+def materialise(frame: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write a table to the shared scratch folder and read it again: cuts lineage, survives lost executors."""
     spark = frame.sparkSession
     path = scratch_dir(spark, label)
-    frame.write.parquet(path)
+    frame.write.option("compression", compression).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
