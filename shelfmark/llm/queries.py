@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import decontaminate, hidden_markov, html_extract, language, lexical_search, packing, personal_data, quality_pu, quality_rules, simhash, token_alignment, toxicity
+from shelfmark.llm import cross_polytope, decontaminate, hidden_markov, html_extract, language, lexical_search, packing, personal_data, quality_pu, quality_rules, simhash, token_alignment, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -102,6 +102,12 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors found of every fiftieth."""
+    return cross_polytope.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 FOLDED_WORDS = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
