@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from functools import cache
 from itertools import chain
@@ -45,7 +46,11 @@ class Vocabulary:
 
 
 class ByteLevel(Vocabulary):
-    """A byte-level vocabulary; a space goes before each text."""
+    """A byte-level vocabulary; a space goes before each text.
+
+    Where its ids are its merges' ranks and it splits by the usual pattern, ids come from the ranks alone, which gives the same
+    ids sooner.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker a core
@@ -58,8 +63,31 @@ class ByteLevel(Vocabulary):
         for name, i in names.items():
             tokens[i] = bytes(byte_of[c] for c in name) if all(c in byte_of for c in name) else name.encode()
         super().__init__(tokens)
+        self.ranked = self._ranked(tokens)
+
+    def _ranked(self, tokens: list[bytes]):
+        """The same vocabulary as ranks, None if it isn't one."""
+        from tiktoken import Encoding
+
+        made = json.loads(self.tokenizer.to_str())
+        model, splitter, byte_of = made["model"], made["pre_tokenizer"] or {}, _byte_of()
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", ())]
+        in_turn = [bytes(byte_of[c] for c in "".join(m)) for m in merges]
+        usual = splitter.get("type") == "ByteLevel" and splitter.get("use_regex", True) and not splitter.get("add_prefix_space")
+        whole = not made["normalizer"] and not any(model.get(k) for k in ("dropout", "ignore_merges", "byte_fallback"))
+        if not (model.get("type") == "BPE" and usual and whole and sorted(tokens[:256]) == [bytes([b]) for b in range(256)]):
+            return None
+        if tokens[256 : 256 + len(in_turn)] != in_turn:
+            return None
+        ranks = {token: i for i, token in enumerate(tokens[: 256 + len(in_turn)])}
+        return Encoding("byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[list[int]]:
+        if self.ranked:
+            return [self.ranked.encode_ordinary(" " + t) for t in texts]
+        return self.by_merges(texts)
+
+    def by_merges(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
 

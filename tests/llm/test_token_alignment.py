@@ -86,6 +86,16 @@ def texts(seed, n):
     return [" ".join(draw.choices(parts, [9] * 13 + [1, 1], k=draw.randint(0, 30))) for _ in range(n)]
 
 
+def test_ids_by_rank_are_those_by_merges():
+    left = token_alignment.vocabulary(token_alignment.LEFT)
+    assert left.ranked is not None
+    draw = random.Random(5)
+    ranges = [(1, 0x24FF), (1, 127), (0x2500, 0xD7FF), (0xE000, 0x1FFFF), (32, 32), (10, 13), (39, 39)]
+    some = ["".join(chr(draw.randint(*draw.choice(ranges))) for _ in range(20)) for _ in range(3000)]
+    some += [*texts(6, 200), "x" * 50_000, "word " * 20_000, " " * 30_000, "1" * 20_000, *(str(t) for _, t, *_ in odd_rows())]
+    assert left.encode(some) == left.by_merges(some)
+
+
 @pytest.mark.parametrize("most_shared", [token_alignment.MOST_SHARED, 40, 0])
 def test_the_columns_of_token_loops(spark, most_shared):
     """All counts shared, the frequent ones, none."""
