@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,6 +16,14 @@ from shelfmark.streaming.contracts import Contract
 from shelfmark.streaming.ingest import read_ingested
 
 _TRUNCATE = {"month": month_start, "year": year_start}
+_COMMITTED = "_COMMITTED"
+_TRACKED = "spark.sql.hive.manageFilesourcePartitions"
+_KEPT = 2  # versions of a replaced table: the current one, and the one that queries may still read
+
+
+def _number(version: str) -> int:
+    """The number of a replacement, by its folder's name."""
+    return int(version.rsplit("/", 1)[-1].split("-")[0])
 
 
 class Lakehouse:
@@ -28,6 +38,11 @@ class Lakehouse:
     them to their partition first, as the other layers' writes do, for few full files; Spark splits a
     partition that holds much more than the others. For raw input that pays where many tasks touch
     many months, as in input in no date order that is read often.
+
+    A table's rows lie in its folder until it is replaced for the first time. Each replacement is
+    written to a folder of its own beside it, gets a marker when it is whole, and only then does
+    the table's location change; so a failure at any point leaves the old rows or the new ones. The
+    last replacement that has its marker is the table, also for a process that comes later.
     """
 
     def __init__(
@@ -84,35 +99,90 @@ class Lakehouse:
         folder = self.events_folder(contract.topic)
         return read_ingested(self.spark, folder, contract, rejects, start, end)
 
-    def _has_files(self, spec: TableSpec) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder(spec))
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+    def _path(self, path: str):
+        """A path and its file system."""
+        found = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return found, found.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _has(self, path: str) -> bool:
+        found, files = self._path(path)
+        return files.exists(found)
+
+    def _replacements(self, spec: TableSpec) -> list[str]:
+        """The folders of all replacements, the latest last, whole or not."""
+        found, files = self._path(f"{self.folder(spec)}-versions")
+        if not files.exists(found):
+            return []
+        return sorted(status.getPath().toString() for status in files.listStatus(found))
+
+    def current_folder(self, spec: TableSpec) -> str:
+        """Where the rows of the table are: its last whole replacement, or its own folder."""
+        whole = (v for v in reversed(self._replacements(spec)) if self._has(f"{v}/{_COMMITTED}"))
+        return next(whole, self.folder(spec))
 
     def ensure_table(self, spec: TableSpec) -> None:
         """Create the table, with its derived partition column, if it is absent. Files that another
         process has written for it are its rows."""
         if self.spark.catalog.tableExists(self.table_name(spec)):
-            return
+            self._follow(spec)
+        else:
+            self._create(spec, self.current_folder(spec))
+
+    def _create(self, spec: TableSpec, folder: str) -> None:
         columns = [f"{f.name} {f.dataType.simpleString()}" for f in spec.schema]
         layout = ""
         if spec.partition:
             columns.append(f"{spec.partition_column} date")
             layout = f" PARTITIONED BY ({spec.partition_column})"
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.table_name(spec)} ({', '.join(columns)})"
-            # An overwrite replaces all partitions, whatever the session's mode is.
-            f" USING parquet OPTIONS (partitionOverwriteMode 'static'){layout}"
-            f" LOCATION '{self.folder(spec)}'"
-        )
-        if spec.partition and self._has_files(spec):
+        with self._partitions_in_catalog(spec.layer != "gold"):
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {self.table_name(spec)} ({', '.join(columns)})"
+                f" USING parquet{layout} LOCATION '{folder}'"
+            )
+        if self._tracks_partitions(spec) and self._has(folder):
             self.spark.sql(f"ALTER TABLE {self.table_name(spec)} RECOVER PARTITIONS")
 
+    @contextmanager
+    def _partitions_in_catalog(self, tracked: bool) -> Iterator[None]:
+        """Whether tables created meanwhile have their partitions in the catalog. Those of a table
+        that is replaced are found in its folder instead, so that its location is all that a
+        replacement changes."""
+        before = self.spark.conf.get(_TRACKED)
+        self.spark.conf.set(_TRACKED, str(tracked).lower())
+        try:
+            yield
+        finally:
+            self.spark.conf.set(_TRACKED, before)
+
+    def _described(self, spec: TableSpec, what: str) -> str | None:
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.table_name(spec)}")
+        return next((r.data_type for r in rows.collect() if r.col_name == what), None)
+
+    def _tracks_partitions(self, spec: TableSpec) -> bool:
+        return self._described(spec, "Partition Provider") == "Catalog"
+
+    def _follow(self, spec: TableSpec) -> None:
+        """Let the table be its last whole replacement, if it has one."""
+        if not self._replacements(spec):
+            return
+        folder = self.current_folder(spec)
+        stored = self._described(spec, "Location") or ""
+        if self._path(stored)[0].getName() == self._path(folder)[0].getName():
+            return
+        if self._tracks_partitions(spec):  # the files say what it is, should this be cut short
+            self.spark.sql(f"DROP TABLE {self.table_name(spec)}")
+            self._create(spec, folder)
+        else:
+            self.spark.sql(f"ALTER TABLE {self.table_name(spec)} SET LOCATION '{folder}'")
+
     def table(self, spec: TableSpec) -> DataFrame:
         """The table as it is stored, partition column included."""
         if not self.spark.catalog.tableExists(self.table_name(spec)):
             self._ensure_database(spec.layer)
-            if self._has_files(spec):
+            if self._has(self.current_folder(spec)):
                 self.ensure_table(spec)
+        else:
+            self._follow(spec)
         return self.spark.table(self.table_name(spec))
 
     def append(self, df: DataFrame, spec: TableSpec, like: TableSpec | None = None) -> int:
@@ -123,11 +193,33 @@ class Lakehouse:
         shuffled.
         """
         placed = like is not None and like.partition == spec.partition
-        return self._write(df, spec, overwrite=False, placed=placed)
+        rows, counted = self._rows(df, spec, placed)
+        self._follow(spec)
+        rows.write.insertInto(self.table_name(spec))
+        return counted.get["rows"]
 
     def overwrite(self, df: DataFrame, spec: TableSpec) -> int:
-        """Replace all rows, keeping the declared schema; returns how many there are now."""
-        return self._write(df, spec, overwrite=True)
+        """Replace all rows, keeping the declared schema; returns how many there are now.
+
+        `df` may read the table itself. Replacements older than the last but one are deleted.
+        """
+        rows, counted = self._rows(df, spec)
+        before = self._replacements(spec)
+        number = 1 + max((_number(v) for v in before), default=0)
+        folder = f"{self.folder(spec)}-versions/{number:08d}-{uuid.uuid4().hex}"
+        writer = rows.write
+        if spec.partition:
+            writer = writer.partitionBy(spec.partition_column)
+        writer.parquet(folder)
+        marker, files = self._path(f"{folder}/{_COMMITTED}")
+        files.create(marker).close()
+        self._follow(spec)
+        if number >= _KEPT:
+            stale = [v for v in before if _number(v) <= number - _KEPT]
+            for old in [*stale, self.folder(spec)]:
+                path, files = self._path(old)
+                files.delete(path, True)
+        return counted.get["rows"]
 
     def read(
         self, spec: TableSpec, start: date | None = None, end: date | None = None
@@ -148,10 +240,10 @@ class Lakehouse:
             df = df.where((part <= _TRUNCATE[unit](F.lit(end))) & (day <= F.lit(end)))
         return df.select(spec.schema.names)
 
-    def _write(
-        self, df: DataFrame, spec: TableSpec, overwrite: bool, placed: bool = False
-    ) -> int:
-        """Rows are counted while they are written, not by a second job."""
+    def _rows(
+        self, df: DataFrame, spec: TableSpec, placed: bool = False
+    ) -> tuple[DataFrame, Observation]:
+        """The rows as they are stored, and their number, counted while they are written."""
         expected, given = set(spec.schema.names), set(df.columns)
         if expected != given:
             raise ValueError(
@@ -165,6 +257,4 @@ class Lakehouse:
             if not placed and (self.rebalance or spec.layer != "bronze"):
                 rows = rows.hint("rebalance", spec.partition_column)
         counted = Observation(f"rows_{uuid.uuid4().hex}")
-        rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
-        rows.write.insertInto(self.table_name(spec), overwrite=overwrite)
-        return counted.get["rows"]
+        return rows.observe(counted, F.count(F.lit(1)).alias("rows")), counted

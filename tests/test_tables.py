@@ -24,13 +24,18 @@ TWO = (date(2024, 2, 6), 20.0, 2, 10.0)
 
 @contextmanager
 def executed(spark):
-    """The plans of what runs meanwhile, from the query log of the session."""
+    """The plans of what runs meanwhile, from the query log of the session, which keeps only the last ones."""
     store = spark._jsparkSession.sharedState().statusStore()
-    seen, plans = store.executionsCount(), []
+
+    def listed():
+        spark._jsc.sc().listenerBus().waitUntilEmpty()
+        found = store.executionsList()
+        return {found.apply(i).executionId(): found.apply(i) for i in range(found.size())}
+
+    before, plans = max(listed(), default=-1), []
     yield plans
-    spark._jsc.sc().listenerBus().waitUntilEmpty()
-    listed = store.executionsList()
-    plans += [listed.apply(i).physicalPlanDescription() for i in range(seen, listed.size())]
+    plans += [e.physicalPlanDescription() for i, e in listed().items() if i > before]
+    assert plans, "no plan was seen"
 
 
 def ready(lake, spec):
@@ -238,3 +243,86 @@ def test_jobs_on_empty_tables_write_and_count_nothing(lake):
     for spec in TABLES.values():
         ready(lake, spec)
     assert {job: run(lake) for job, run in jobs.REFRESH.items()} == dict.fromkeys(jobs.REFRESH, 0)
+
+
+def failing(rows, after=0):
+    """Rows of which those beyond the first `after` fail when they are computed."""
+    bad = F.when(F.monotonically_increasing_id() >= after, F.raise_error(F.lit("lost"))).otherwise(F.lit(0.0))
+    return rows.withColumn("_bad", bad.cast("double")).where("_bad IS NOT NULL").drop("_bad")
+
+
+def of(spark, spec, n):
+    """n rows of any gold table, over three months."""
+    made = {"string": F.col("id").cast("string"), "date": F.date_add(F.lit(date(2024, 1, 1)), (F.col("id") % 90).cast("int"))}
+    columns = [made.get(f.dataType.simpleString(), F.col("id")).cast(f.dataType).alias(f.name) for f in spec.raw_schema]
+    return stamped(spark.range(0, n, 1, 4).select(*columns))
+
+
+GOLD = sorted(k for k, s in TABLES.items() if s.layer == "gold")
+
+
+@pytest.mark.parametrize("key", GOLD)
+@pytest.mark.parametrize("after", [0, 100])
+def test_a_failed_replacement_leaves_the_old_rows(spark, tmp_path, key, after):
+    """At once and half way, before and after the first replacement, also for a new catalog."""
+    spec = TABLES[key]
+    lake = ready(Lakehouse(spark, str(tmp_path), f"fail{after}_{spec.name}_"), spec)
+    lake.append(of(spark, spec, 30), spec)
+    for n in (30, 200):
+        if n != 30:
+            assert lake.overwrite(of(spark, spec, n), spec) == n
+        with pytest.raises(Exception, match="lost"):
+            lake.overwrite(failing(of(spark, spec, 300), after), spec)
+        assert lake.read(spec).count() == n
+        spark.sql(f"DROP TABLE {lake.table_name(spec)}")
+        assert lake.read(spec).count() == n
+
+
+@pytest.mark.parametrize("key", ["gold.daily_sales", "gold.customer_ltv", "silver.sales"])
+def test_a_replacement_cut_short_is_the_old_table_or_the_new(spark, tmp_path, monkeypatch, key):
+    """Without its marker it is nothing; with it, the next reader gets the new rows."""
+    spec = TABLES[key]
+    lake = ready(Lakehouse(spark, str(tmp_path), f"cut_{spec.name}_"), spec)
+    rows = of(spark, spec, 50) if spec.layer == "gold" else of(spark, spec, 50).withColumn("is_valid", F.lit(True))
+    lake.append(rows, spec)
+    follow = Lakehouse._follow
+
+    def stopped(*_):
+        raise RuntimeError("cut short")
+
+    monkeypatch.setattr(Lakehouse, "_follow", stopped)
+    with pytest.raises(RuntimeError):
+        lake.overwrite(rows.limit(20), spec)
+    assert spark.table(lake.table_name(spec)).count() == 50
+    monkeypatch.setattr(Lakehouse, "_follow", follow)
+    assert lake.read(spec).count() == 20
+    marker, files = lake._path(f"{lake.current_folder(spec)}/_COMMITTED")
+    files.delete(marker, False)
+    assert lake.current_folder(spec) == lake.folder(spec)
+
+
+def test_a_table_can_be_replaced_by_what_it_holds(spark, lake):
+    spec = schemas.GOLD_DAILY_SALES
+    ready(lake, spec)
+    lake.overwrite(daily(spark, [ONE, TWO]), spec)
+    for _ in range(3):
+        assert lake.overwrite(lake.read(spec).where("total_orders = 2"), spec) == 1
+    assert [r.order_date for r in lake.read(spec).collect()] == [TWO[0]]
+    assert len(lake._replacements(spec)) == 2
+    assert lake.append(daily(spark, [ONE]), spec) == 1
+    assert lake.read(spec, start=date(2024, 1, 1), end=date(2024, 1, 31)).count() == 1
+    assert lake.overwrite(daily(spark, []), spec) == 0
+    assert lake.read(spec).count() == 0
+
+
+def test_another_catalog_sees_a_replacement(spark, tmp_path):
+    """Two names for the same files, as two processes have."""
+    spec = schemas.GOLD_CUSTOMER_LTV
+    one = ready(Lakehouse(spark, str(tmp_path), "seen_"), spec)
+    one.overwrite(of(spark, spec, 5), spec)
+    name = one.table_name(spec)
+    stale = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first().data_type
+    one.overwrite(of(spark, spec, 7), spec)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{stale}'")
+    assert spark.table(name).count() == 5
+    assert one.read(spec).count() == 7
