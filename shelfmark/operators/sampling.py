@@ -2,81 +2,114 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Hex digits of the hash per counting round: 16^4 = 65,536 groups at most.
+from shelfmark.session import scratch_dir
+
+# Hex digits of a hash per counting round: 16^4 = 65,536 groups at most.
 _DIGITS = 4
+# Copies of one row that a task makes at once.
+_COPIES = 10_000
 
 
-def _boundary(rows: DataFrame, group: str, wanted: Column) -> DataFrame:
-    """The one group that holds the `wanted`-th row, and how many rows of it are wanted (_left).
+def _digits(digest: Column, turn: int) -> Column:
+    """The turn-th few hex digits of a hash."""
+    return F.substring(digest, 1 + turn * _DIGITS, _DIGITS)
+
+
+def _boundary(rows: DataFrame, group: Column, times: Column, wanted: int):
+    """The value of `group` that holds the `wanted`-th row in its order, how many rows of it are
+    wanted, and how many it has. Only the groups' counts come to the driver."""
+    counts = rows.groupBy(group.alias("value")).agg(F.sum(times).alias("rows")).toArrow()
+    for value, n in sorted(zip(counts["value"].to_pylist(), counts["rows"].to_pylist()), key=_order):
+        if wanted <= n:
+            return value, wanted, n
+        wanted -= n
+    raise ValueError("the rows have changed since they were counted")
 
-    The groups are counted where the rows are; the running total goes over the counts only, of
-    which there are 65,536 at most.
-    """
-    upto = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return (
-        rows.groupBy(group)
-        .agg(F.count(F.lit(1)).alias("_rows"), F.max("_left").alias("_left"))
-        .withColumn("_end", F.sum("_rows").over(upto))
-        .withColumn("_total", F.sum("_rows").over(everything))
-        .withColumn("_wanted", wanted)
-        .where(F.col("_wanted").between(F.col("_end") - F.col("_rows") + 1, F.col("_end")))
-        .select(group, (F.col("_wanted") - F.col("_end") + F.col("_rows")).alias("_left"))
-    )
 
+def _order(pair):
+    """As Spark orders values: structs field by field, NULL first, text by its bytes."""
 
-def _narrowed(rows: DataFrame, groups: tuple[str, str, str], wanted: Column) -> DataFrame:
-    """(last group, _left): the value of the last column that holds the `wanted`-th row, found by
-    counting the first column's values, then the second's inside its boundary, then its own."""
-    first = _boundary(rows, groups[0], wanted)
-    inner = rows.drop("_left").join(F.broadcast(first), groups[0])
-    second = _boundary(inner, groups[1], F.col("_left"))
-    edge = inner.drop("_left").join(F.broadcast(second), groups[1])
-    return _boundary(edge, groups[2], F.col("_left"))
+    def comparable(value):
+        if isinstance(value, dict):
+            return tuple(comparable(v) for v in value.values())
+        return (value is not None, value.encode() if isinstance(value, str) else value)
 
+    return comparable(pair[0])
 
-def _digits(digest: Column) -> list[Column]:
-    return [
-        F.substring(digest, 1, _DIGITS).alias("_first"),
-        F.substring(digest, 1 + _DIGITS, _DIGITS).alias("_second"),
-    ]
+
+def _spread(rows: DataFrame, times: Column) -> DataFrame:
+    """Each row so many times; many copies of one are made by several tasks."""
+    chunks = F.sequence(F.lit(0).cast("bigint"), F.ceil(times / _COPIES).cast("bigint") - 1)
+    dealt = rows.withColumn("_times", times).withColumn("_chunk", F.explode(chunks))
+    mine = F.least(F.lit(_COPIES), F.col("_times") - F.col("_chunk") * _COPIES)
+    dealt = dealt.withColumn("_times", mine).repartition("_chunk")
+    return dealt.withColumn("_chunk", F.explode(F.sequence(F.lit(1).cast("bigint"), "_times")))
 
 
 def sample_exact(df: DataFrame, key: str, rate: float, seed: int) -> DataFrame:
     """max(1, floor(count * rate)) rows of `df`, without replacement.
 
     Rows are ordered by md5(key|seed), then key, then the md5 of the row as JSON, then that JSON; of
-    identical rows as many are taken as are still wanted. Instead of sorting, the last sampled row
-    is found by counting: rows per first four hex digits of the key's hash, per next four inside the
-    boundary group, and per key among the rest (one key in 2^32); then likewise by the row's hash
-    among the rows of the boundary key. The sample is then a filter, so no task ever holds more than
-    its own input, also where one key or one row makes up most of the table.
+    identical rows as many are taken as are still wanted. Instead of sorting, the input is read
+    three times: rows are counted per first four hex digits of the key's hash; the rows of the group
+    that holds the last sampled one are written to the scratch folder, equal ones as one row and a
+    number; and the sample is a filter on the groups before, and what that table has up to the last
+    row. The last row is found there by counting the next digits of the key's hash, then keys (one
+    in 2^32), then digits of the row's hash, then rows. No task ever holds more than its own input,
+    also where one key or one row makes up most of the table. The counting runs when this is called.
     """
     if not 0 <= rate <= 1:
         raise ValueError("rate must be between 0 and 1")
+    spark, one = df.sparkSession, F.lit(1)
     digest = F.md5(F.concat_ws("|", F.col(key), F.lit(seed)))
-    place = F.struct(digest.alias("hash"), F.col(key).alias("key"))
+    first = _digits(digest, 0)
+    groups = df.groupBy(first.alias("value")).agg(F.count(one).alias("rows")).toArrow()
+    counts = dict(zip(groups["value"].to_pylist(), groups["rows"].to_pylist()))
+    if not counts:
+        return df.limit(0)
+    wanted = max(1, int(sum(counts.values()) * rate))
+    for last in sorted(counts):
+        if wanted <= counts[last]:
+            break
+        wanted -= counts[last]
+    if wanted == counts[last]:
+        return df.where(first <= last)
+
     text = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-    row = F.struct(F.md5(text).alias("hash"), text.alias("text"))
-    nothing = F.lit(None).cast("bigint").alias("_left")
-
-    n = F.greatest(F.lit(1), F.floor(F.col("_total") * F.lit(rate)))
-    hashed = df.select(*_digits(digest), place.alias("_place"), nothing)
-    last = _narrowed(hashed, ("_first", "_second", "_place"), n)
-    last_place, left = last.select("_place").scalar(), last.select("_left").scalar()
-
-    tied = df.where(place == last_place).select(*_digits(F.md5(text)), row.alias("_row"), nothing)
-    end = _narrowed(tied, ("_first", "_second", "_row"), left)
-    last_row = end.select("_row").scalar()
-    before = df.where((place < last_place) | ((place == last_place) & (row < last_row)))
-    copies = (
-        df.where((place == last_place) & (row == last_row))
-        .groupBy(F.lit(0).alias("_one"))
-        .agg(F.first(F.struct(*df.columns)).alias("_same"))
-        .select("_same", F.explode(F.sequence(F.lit(1).cast("bigint"), end.select("_left").scalar())))
-        .select("_same.*")
+    edge = (
+        df.where(first == last)
+        .select(
+            F.struct(digest.alias("hash"), F.col(key).alias("key")).alias("_place"),
+            F.struct(F.md5(text).alias("hash"), text.alias("text")).alias("_row"),
+            F.struct(*df.columns).alias("_same"),
+        )
+        .groupBy("_place", "_row")
+        .agg(F.count(one).alias("_n"), F.first("_same").alias("_same"))
     )
-    return before.unionByName(copies)
+    path = scratch_dir(spark, "sample-edge")
+    edge.write.parquet(path)
+    edge = left = spark.read.schema(edge.schema).parquet(path)
+    place, row, n = F.col("_place"), F.col("_row"), F.col("_n")
+    before = F.lit(False)
+    tied = F.lit(True)
+    for value in (_digits(place["hash"], 1), place, _digits(row["hash"], 0), row):
+        found, wanted, there = _boundary(left, value, n, wanted)
+        same = value == _literal(found)
+        before = before | (tied & (value < _literal(found)))
+        tied = tied & same
+        if wanted == there:
+            before, tied = before | tied, F.lit(False)
+            break
+        left = left.where(same)
+    kept = edge.withColumn("_n", F.when(before, n).when(tied, F.lit(wanted).cast("bigint"))).where("_n > 0")
+    return df.where(first < last).unionByName(_spread(kept, F.col("_n")).select("_same.*"))
+
+
+def _literal(value) -> Column:
+    """A collected value as a constant, structs field by field."""
+    if isinstance(value, dict):
+        return F.struct(*(F.lit(v).alias(k) for k, v in value.items()))
+    return F.lit(value)

@@ -149,3 +149,28 @@ def test_sample_of_one_key_and_of_one_row(spark, wanted):
 def test_sample_does_not_sort_its_input(spark):
     text = sample_exact(keyed(spark), "k", 0.5, 1)._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" not in text
+
+
+def test_sample_reads_its_input_three_times(spark, tmp_path):
+    """Counted by a row counter in the plan, which each read of the input passes."""
+    n = 5000
+    spark.range(0, n, 1, 4).withColumn("k", F.col("id") % 700).write.parquet(str(tmp_path / "in"))
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    source = spark.read.parquet(str(tmp_path / "in"))
+    result = sample_exact(source.mapInArrow(counted, source.schema), "k", 0.3, 5)
+    assert result.count() == 1500
+    assert seen.value <= 3 * n
+
+
+def test_many_copies_of_the_last_row_are_made_by_several_tasks(spark):
+    same = spark.range(0, 60_000, 1, 4).select(F.lit("K").alias("k"), F.lit(1.5).alias("v"))
+    result = sample_exact(same, "k", 0.9, 1)
+    sizes = [r["count"] for r in result.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 54_000
+    assert set(map(tuple, result.distinct().collect())) == {("K", 1.5)}
