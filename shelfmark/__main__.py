@@ -20,7 +20,11 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--infer", action="store_true", help="let Spark guess the CSV types")
     parser.add_argument("--location", help="folder of the databases")
     parser.add_argument("--prefix", default="", help="prefix of the database names")
-    parser.add_argument("--rebalance", action="store_true", help="few full files a partition")
+    parser.add_argument(
+        "--rebalance",
+        action=argparse.BooleanOptionalAction,
+        help="whether raw rows are shuffled to their partition, for few full files; else measured",
+    )
     parser.add_argument("--input-bytes", type=int, help="size of the input, for the shuffles' width")
     parser.add_argument("--master", help="Spark master, if not set by spark-submit")
     args = parser.parse_args(argv)

@@ -2,16 +2,28 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from shelfmark.schemas import TableSpec
 
 
+def literal_path(uri: str) -> str:
+    """One of a frame's input files as a path that reads just that file."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(uri))
+
+
 def read_csv(
-    spark: SparkSession, path: str, spec: TableSpec, infer: bool = False, mode: str = "FAILFAST"
+    spark: SparkSession,
+    path: str | list[str],
+    spec: TableSpec,
+    infer: bool = False,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
-    """All files under `path` (a file, a directory or a glob) in the types of `spec`.
+    """All files under `path` (a file, a directory, a glob, or several) in the types of `spec`.
 
     Columns are found by their header name, in any order, so the first header is read up front; a
     later file with another header is an error. By default values are parsed straight to the

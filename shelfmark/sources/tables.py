@@ -33,11 +33,12 @@ class Lakehouse:
     the session's warehouse. Each table has a folder there, and a catalog that forgets its tables
     when its process ends gets them from those folders again.
 
-    A write to a bronze table leaves rows in the tasks they are in, so a partition gets a file from
-    each task that has rows of it: at most tasks times months touched. `rebalance=True` shuffles
-    them to their partition first, as the other layers' writes do, for few full files; Spark splits a
-    partition that holds much more than the others. For raw input that pays where many tasks touch
-    many months, as in input in no date order that is read often.
+    Rows are shuffled to their partition before they are written, for few full files; Spark splits a
+    partition that holds much more than the others. Rows of a bronze table are left in the tasks
+    they are in if these have them about in date order, which is measured: rows in date order lie
+    in fewer (task, partition) pairs, each of which becomes a file, than there are tasks and
+    partitions together; up to twice as many are written as they are. `rebalance` decides it
+    instead of the measurement.
 
     A table's rows lie in its folder until it is replaced for the first time. Each replacement is
     written to a folder of its own beside it, gets a marker when it is whole, and only then does
@@ -50,7 +51,7 @@ class Lakehouse:
         spark: SparkSession,
         location: str | None = None,
         prefix: str = "",
-        rebalance: bool = False,
+        rebalance: bool | None = None,
     ) -> None:
         self.spark = spark
         self.location = location.rstrip("/") if location else None
@@ -185,15 +186,23 @@ class Lakehouse:
             self._follow(spec)
         return self.spark.table(self.table_name(spec))
 
-    def append(self, df: DataFrame, spec: TableSpec, like: TableSpec | None = None) -> int:
+    def append(
+        self,
+        df: DataFrame,
+        spec: TableSpec,
+        like: TableSpec | None = None,
+        part: DataFrame | None = None,
+    ) -> int:
         """Add the rows, matched by column name; returns how many there were.
 
+        `part` is a part of raw rows that is cheaper to read, for the measurement of their order.
+
         `like` is the table whose rows these are, one for one and in its files' order. If it has the
         same partitions, every task already holds rows of one or two of them, and nothing is
         shuffled.
         """
         placed = like is not None and like.partition == spec.partition
-        rows, counted = self._rows(df, spec, placed)
+        rows, counted = self._rows(df, spec, placed, part)
         self._follow(spec)
         rows.write.insertInto(self.table_name(spec))
         return counted.get["rows"]
@@ -240,8 +249,25 @@ class Lakehouse:
             df = df.where((part <= _TRUNCATE[unit](F.lit(end))) & (day <= F.lit(end)))
         return df.select(spec.schema.names)
 
+    def _shuffled(self, df: DataFrame, spec: TableSpec) -> bool:
+        """Whether rows go to their partition before they are written: see above."""
+        if self.rebalance is not None:
+            return self.rebalance
+        source, unit = spec.partition
+        pairs = df.select(F.spark_partition_id().alias("task"), _TRUNCATE[unit](source).alias("part"))
+        seen = pairs.distinct().agg(
+            F.count(F.lit(1)).alias("pairs"),
+            F.count_distinct("task").alias("tasks"),
+            F.count_distinct(F.coalesce(F.col("part").cast("string"), F.lit(""))).alias("parts"),
+        ).first()
+        return seen.pairs > 2 * (seen.tasks + seen.parts)
+
     def _rows(
-        self, df: DataFrame, spec: TableSpec, placed: bool = False
+        self,
+        df: DataFrame,
+        spec: TableSpec,
+        placed: bool = False,
+        part: DataFrame | None = None,
     ) -> tuple[DataFrame, Observation]:
         """The rows as they are stored, and their number, counted while they are written."""
         expected, given = set(spec.schema.names), set(df.columns)
@@ -254,7 +280,7 @@ class Lakehouse:
         if spec.partition:
             source, unit = spec.partition
             rows = rows.withColumn(spec.partition_column, _TRUNCATE[unit](source))
-            if not placed and (self.rebalance or spec.layer != "bronze"):
+            if not placed and (spec.layer != "bronze" or self._shuffled(df if part is None else part, spec)):
                 rows = rows.hint("rebalance", spec.partition_column)
         counted = Observation(f"rows_{uuid.uuid4().hex}")
         return rows.observe(counted, F.count(F.lit(1)).alias("rows")), counted

@@ -5,7 +5,7 @@ from datetime import date, datetime
 import pytest
 
 from shelfmark import schemas
-from shelfmark.sources.csv_files import read_csv, write_csv
+from shelfmark.sources.csv_files import literal_path, read_csv, write_csv
 
 SALES = "order_id,customer_id,product_id,quantity,price,order_date\n"
 PROMOS = "promo_id,promo_name,discount_pct,start_date,end_date,target_segment,status\n"
@@ -79,3 +79,13 @@ def test_written_files_come_back(spark, tmp_path):
     df = spark.createDataFrame(rows, schemas.BRONZE_RETURNS.raw_schema)
     write_csv(df, str(tmp_path / "out"))
     assert read_csv(spark, str(tmp_path / "out"), schemas.BRONZE_RETURNS).collect() == df.collect()
+
+
+def test_one_file_with_an_odd_name_is_read_alone(spark, tmp_path):
+    """Names with glob characters, spaces and per cent signs."""
+    for name in ("a[1] b.csv", "a1 b.csv", "c%20{d}.csv", "e*.csv"):
+        (tmp_path / name).write_text("v\n1\n")
+    files = spark.read.option("header", True).csv(str(tmp_path)).inputFiles()
+    assert len(files) == 4
+    for uri in files:
+        assert spark.read.option("header", True).csv([literal_path(uri)]).count() == 1

@@ -8,10 +8,12 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfmark import schemas
 from shelfmark.__main__ import main
 from shelfmark.checks.oracle import ORACLE
+from shelfmark.plans import jobs
 from shelfmark.schemas import TABLES
 from shelfmark.sources import supplied
 from shelfmark.sources.csv_files import write_csv
@@ -96,6 +98,36 @@ def test_a_stream_job_takes_new_messages_once(spark, sf_dir, tmp_path):
     assert both == messages.count()
 
 
+def test_a_stream_job_counts_every_batch(spark, sf_dir, tmp_path):
+    """Twelve batches, of which Spark would keep five."""
+    landing = str(tmp_path / "landing")
+    messages = supplied.offers(supplied.events(spark, sf_dir)).limit(12).repartition(12)
+    for row in range(12):
+        messages.where(F.spark_partition_id() == row).coalesce(1).write.mode("append").json(landing)
+    n = spark.read.json(landing).count()
+    conf = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(conf, "5")
+    try:
+        lake = Lakehouse(spark, str(tmp_path / "lake"), "counted_")
+        assert jobs.ingest_events(lake, OFFERS, landing, "json", files_per_batch=1) == n == 12
+        assert jobs.ingest_events(lake, OFFERS, landing, "json") == 0
+        assert spark.conf.get(conf) == "5"
+    finally:
+        spark.conf.unset(conf)
+
+
+def test_raw_files_are_measured_on_some(spark, sf_dir, tmp_path):
+    """Fifty files in no date order: months get about a file each."""
+    raw, spec = str(tmp_path / "raw"), schemas.BRONZE_SALES
+    rows = supplied.sales(spark, sf_dir)
+    write_csv(rows.repartition(50), raw)
+    lake = Lakehouse(spark, str(tmp_path / "lake"), "dealt_")
+    assert jobs.ingest_raw(lake, spec, raw) == rows.count()
+    stored = lake.table(spec)
+    files = stored.select(F.input_file_name()).distinct().count()
+    assert files <= 1.2 * stored.select(spec.partition_column).distinct().count()
+
+
 def test_bronze_needs_raw_files(capsys):
     with pytest.raises(SystemExit):
         main(["bronze.sales"])

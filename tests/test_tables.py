@@ -187,16 +187,49 @@ def unsorted_sales(spark):
     )
 
 
-@pytest.mark.parametrize("rebalance", [False, True])
-def test_raw_rows_are_written_where_they_are(spark, tmp_path, rebalance):
-    """Files: at most tasks times months; with rebalance, one a month."""
+@pytest.mark.parametrize("rebalance", [None, False, True])
+def test_raw_rows_in_no_order_go_to_their_month(spark, tmp_path, rebalance):
+    """One file a month, as measured or as told; told not to, at most tasks times months."""
     spec = schemas.BRONZE_SALES
-    lake = ready(Lakehouse(spark, str(tmp_path), f"raw{int(rebalance)}_", rebalance), spec)
+    shuffled = rebalance is not False
+    lake = ready(Lakehouse(spark, str(tmp_path), f"raw{rebalance}_".lower(), rebalance), spec)
+    rows = stamped(unsorted_sales(spark))
     with executed(spark) as plans:
-        assert lake.append(stamped(unsorted_sales(spark)), spec) == 2400
-    assert any("Exchange" in p for p in plans) == rebalance
+        assert lake.append(rows, spec) == 2400
+    assert any("Exchange" in p for p in plans if "InsertInto" in p) == shuffled
     files = lake.table(spec).select(F.input_file_name()).distinct().count()
-    assert files == (3 if rebalance else 24)
+    assert files == (3 if shuffled else 24)
+
+
+def in_files(spark, path, months_of):
+    """Parquet files of 100 sales each, the i-th with rows of the months that months_of(i) names."""
+    for i in range(40):
+        months = F.element_at(F.array(*map(F.lit, months_of(i))), (F.col("id") % len(months_of(i)) + 1).cast("int"))
+        spark.range(100).coalesce(1).select(
+            *(F.lit("x").alias(c) for c in ("order_id", "customer_id", "product_id")),
+            *(F.lit(1.0).alias(c) for c in ("quantity", "price")),
+            F.add_months(F.lit(date(2020, 1, 1)), months).cast("timestamp").alias("order_date"),
+        ).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("ordered", [True, False])
+def test_the_layout_is_measured(spark, tmp_path, ordered):
+    """Raw rows in date order are written without an exchange, others as about one file a month."""
+    raw = in_files(spark, str(tmp_path / "raw"), lambda i: [i // 2] if ordered else list(range(i % 4, 40, 4)))
+    spec = schemas.BRONZE_SALES
+    lake = ready(Lakehouse(spark, str(tmp_path / "lake"), f"measured{ordered}_".lower()), spec)
+    conf = "spark.sql.files.maxPartitionBytes"
+    spark.conf.set(conf, "4k")
+    try:
+        with executed(spark) as plans:
+            assert lake.append(bronze.sales(raw), spec) == 4000
+    finally:
+        spark.conf.unset(conf)
+    assert any("Exchange" in p for p in plans if "InsertInto" in p) != ordered
+    months = lake.table(spec).select(spec.partition_column).distinct().count()
+    files = lake.table(spec).select(F.input_file_name()).distinct().count()
+    assert files <= (2 * (40 + months) if ordered else 1.2 * months)
 
 
 def test_tables_are_found_by_another_catalog(spark, tmp_path):
