@@ -131,13 +131,16 @@ def tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     return materialise(coded.withColumn("row", F.monotonically_increasing_id()), "tokens")
 
 
+def _chunked(lengths: DataFrame, rows: int) -> DataFrame:
+    return lengths.withColumn("chunk", F.pmod(F.xxhash64("row"), F.lit(max(1, -(-rows // CHUNK_ROWS)))))
+
+
 def _queued(lengths: DataFrame, rows: int) -> DataFrame:
     """Each document's place in its source's queue: `before` counts the tokens of the source ahead of it.
 
     A queue is cut in chunks by hash, which bounds what one task sorts; chunk totals are summed in turn.
     """
-    chunks = -(-rows // CHUNK_ROWS)
-    dealt = lengths.withColumn("chunk", F.pmod(F.xxhash64("row"), F.lit(chunks)))
+    dealt = _chunked(lengths, rows)
     totals = dealt.groupBy("source", "chunk").agg(F.sum("n").alias("chunk_tokens"))
     ahead = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("source", "chunk", F.coalesce(F.sum("chunk_tokens").over(ahead), F.lit(0)).alias("base"))
@@ -149,24 +152,25 @@ def _queued(lengths: DataFrame, rows: int) -> DataFrame:
 def _served(queued: DataFrame, shares: DataFrame, sequence: int, window: int) -> DataFrame:
     """The piece of each document that each window takes.
 
-    Documents enter as packets of at most a sequence. Deficit round-robin gives a source a quantum of tokens a window and
+    Documents enter as equal packets of at most a sequence. Deficit round-robin gives a source a quantum of tokens a window and
     sends a packet once what it was given and hasn't used, its deficit, covers it. As a queue's packets go in order, that is
     the first window whose quanta together reach the packet's end in the queue: no state has to be carried from task to task.
+    A source starts with a deficit in its favour, a part of its first packet; so sources of few packets, whose quanta reach one
+    only after many windows, don't all send them in the last.
     """
-    end = lambda k: F.least(k * sequence, F.col("n"))
-    packets = F.sequence(F.lit(1).cast("long"), F.ceil(F.col("n") / sequence))
+    number = F.ceil(F.col("n") / sequence)
+    end = lambda k: F.floor(k * F.col("n") / number)
+    packets = F.sequence(F.lit(1).cast("long"), number)
     quantum = F.col("share") * window
     given = queued.join(shares, "source").withColumn(
-        "turns", F.transform(packets, lambda k: F.greatest(F.ceil((F.col("before") + end(k)) / quantum), F.lit(1)))
+        "turns", F.transform(packets, lambda k: F.greatest(F.ceil((F.col("before") + end(k) - F.col("favour")) / quantum), F.lit(1)))
     )
     last = F.filter(
         F.sequence(F.lit(1), F.size("turns")),
         lambda k: (k == F.size("turns")) | (F.get("turns", k - 1) != F.get("turns", k)),
     )
     runs = given.withColumn("lasts", last).select("*", F.posexplode("lasts").alias("nth", "k"))
-    start = F.when(F.col("nth") == 0, F.lit(0).cast("long")).otherwise(
-        F.get("lasts", F.col("nth") - 1).cast("long") * sequence
-    )
+    start = F.when(F.col("nth") == 0, F.lit(0).cast("long")).otherwise(end(F.get("lasts", F.col("nth") - 1).cast("long")))
     return runs.select(
         F.get("turns", F.col("k") - 1).alias("turn"),
         "source",
@@ -207,16 +211,35 @@ def _laid_out(served: DataFrame, sequence: int) -> DataFrame:
     )
 
 
-def _shares(lengths: DataFrame, targets: dict[str, float] | None) -> DataFrame:
-    totals = lengths.groupBy("source").agg(F.sum("n").alias("tokens"))
+def _shares(lengths: DataFrame, rows: int, sequence: int, targets: dict[str, float] | None) -> DataFrame:
+    """(source, share, favour): the part of each window, and the deficit that a source starts with.
+
+    Sources are taken in the order of a hash, and the part of its first packet that one starts with falls evenly with what the first
+    packets before its own hold. So windows get first packets of all sources in like amounts, whatever these weigh.
+    """
+    leading = F.min(F.struct("chunk", "row", "n"))["n"]
+    totals = _chunked(lengths, rows).groupBy("source").agg(F.sum("n").alias("tokens"), leading.alias("n"))
     given: Column = F.lit(None).cast("double")
     if targets:
         wanted = F.create_map(*[F.lit(x) for pair in targets.items() for x in pair])
         given = F.try_element_at(wanted, F.col("source")).cast("double")
     total = totals.agg(F.sum("tokens").alias("all"))
-    weights = totals.select("source", F.coalesce(given, F.col("tokens") / total.scalar()).alias("weight"))
+    weights = totals.select(
+        "source", F.coalesce(given, F.col("tokens") / total.scalar()).alias("weight"), F.floor(F.col("n") / F.ceil(F.col("n") / sequence)).alias("first")
+    )
     weights = materialise(weights, "weights")
-    return weights.select("source", (F.col("weight") / weights.agg(F.sum("weight").alias("all")).scalar()).alias("share"))
+    sums = weights.agg(F.sum("weight").alias("all"), F.sum("first").alias("firsts"), F.count("*").alias("n")).first()
+    parts = max(1, -(-sums["n"] // CHUNK_ROWS))
+    dealt = weights.withColumn("hash", F.xxhash64("source")).withColumn("part", F.pmod("hash", F.lit(parts)))
+    totals = dealt.groupBy("part").agg(F.sum("first").alias("tokens"))
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for thousands of sources
+    bases = totals.select("part", F.coalesce(F.sum("tokens").over(ahead), F.lit(0)).alias("base"))
+    within = Window.partitionBy("part").orderBy("hash", "source").rowsBetween(Window.unboundedPreceding, -1)
+    inside = dealt.withColumn("inside", F.coalesce(F.sum("first").over(within), F.lit(0))).join(bases, "part")
+    unserved = 1 - (F.col("base") + F.col("inside")) / F.lit(sums["firsts"] or 1)
+    return inside.select(
+        "source", (F.col("weight") / F.lit(sums["all"] or 1.0)).alias("share"), (unserved * F.col("first")).alias("favour")
+    )
 
 
 def pack(
@@ -237,8 +260,8 @@ def pack(
     """
     coded = tokens(docs, vocabulary)
     lengths = coded.select("row", "source", "n")
-    queued = _queued(lengths, coded.count())
-    served = _served(queued, _shares(lengths, targets), sequence, window_sequences * sequence)
+    rows = coded.count()
+    served = _served(_queued(lengths, rows), _shares(lengths, rows, sequence, targets), sequence, window_sequences * sequence)
     pieces = _laid_out(served, sequence)
     by_row = pieces.groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct("start", "length", "sequence_id", "offset"))).alias("pieces")

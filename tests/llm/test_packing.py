@@ -113,3 +113,30 @@ def test_targets_change_the_mix(spark):
     first = [r for r in pieces if r.sequence_id < 96]
     share = sum(r.length for r in first if r.doc_id % 2 == 0) / sum(r.length for r in first)
     assert 0.7 < share < 0.8
+
+
+@pytest.mark.parametrize("alone", [False, True])
+def test_small_sources_are_spread_over_the_windows(spark, alone):
+    """A source for each document, all of them or half: no window is over twice its size, and each has its share of both."""
+    rng = random.Random(8)
+    rows = [(i, "word " * rng.choice((5, 40, 100, 300)), "en", f"s{i}" if alone or i % 2 else "large") for i in range(3000)]
+    sequence, window_sequences = 128, 32
+    size = sequence * window_sequences
+    docs = documents(spark, rows)
+    coded = packing.tokens(docs)
+    lengths = coded.select("row", "source", "n")
+    shares = packing._shares(lengths, 3000, sequence, None)
+    served = packing._served(packing._queued(lengths, 3000), shares, sequence, size).collect()
+    windows, large = defaultdict(int), defaultdict(int)
+    for r in served:
+        windows[r.turn] += r.length
+        large[r.turn] += r.length * (r.source == "large")
+    total = sum(windows.values())
+    assert sorted(windows) == list(range(1, len(windows) + 1)) and len(windows) >= total // size
+    assert max(windows.values()) <= 1.25 * size
+    share = sum(large.values()) / total
+    for turn in range(1, total // size):  # up to a packet of each kind, and packets that end beyond a window's bound
+        assert abs(large[turn] - share * windows[turn]) <= 4 * sequence + 0.1 * size
+    pieces = packing.pack(docs, sequence=sequence, window_sequences=window_sequences, with_ids=False).collect()
+    assert sum(r.length for r in pieces) == total
+    assert sum(r.doc_tokens for r in pieces if r.start == 0) == total
