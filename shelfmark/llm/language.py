@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
+from html import unescape
 
 import numpy as np
 import pyarrow as pa
@@ -10,12 +13,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.text import Batches, in_batches, materialise, per_row, sliced
+from shelfmark.session import scratch_dir
 
 BUCKETS = 1 << 13
 HELD_LANGUAGES = 256  # whose counts a task holds at once
 OVERALL_GRAMS = 1000.0  # trigrams that the shares over all languages count for in each language's model
-LEAST_SHARE = 1e-300  # a text's smaller chances count as this
-SUMMED_SHARE = 1e-15  # what is under the rounding of a sum of rows isn't added to it
+LEAST_SHARE = 1e-15  # a text's smaller chances count as this, and aren't stored
+BLOCK_ENTRIES = 1_000_000  # (tag, trigram) counts that the driver looks at together
+SAME_LANGUAGE = 0.1  # nats a trigram by which a tag's text may be less like another tag's than that itself,
+SAME_SAMPLED = 3.0  # and as many for one trigram of either, less as the root of their number
 UNKNOWN = "und"
 TEXT_WEIGHT = 0.2  # neighbouring trigrams overlap, so each counts for a part of an observation
 UNKNOWN_PRIOR = 1e-3
@@ -24,6 +30,18 @@ EVIDENCE_STRENGTH = 10.0
 LEAST_CONFIDENCE = 0.5
 CHUNK = 256  # buckets
 
+_MARKUP = re.compile(r"<!--.*?(?:-->|$)|<(script|style)\b.*?(?:</\1\s*>|$)|<[^>]*>", re.I | re.S)
+
+# Codes of ISO 639-1 with the codes of 639-2 and 639-3 and the names that stand for the same language.
+CODES = """
+ar ara arabic|bg bul bulgarian|ca cat catalan|cs ces cze czech|da dan danish|de deu ger german deutsch|el ell gre greek|en eng english
+es spa spanish espanol|et est estonian|fa fas per persian farsi|fi fin finnish|fr fra fre french francais|he heb hebrew|hi hin hindi
+hr hrv croatian|hu hun magyar|id ind bahasa|it ita italian italiano|ja jpn japanese|ko kor korean|lt lit|lv lav latvian|nb nob bokmal
+nl nld dut dutch|no nor|pl pol polish polski|pt por|ro ron rum romanian|ru rus russian|sk slk slo slovak|sl slv|sr srp serbian
+sv swe swedish svenska|th tha thai|tr tur turkish|uk ukr|vi vie|zh zho chi chinese|und mul zxx mis
+"""
+FAMILIES = [group.split() for group in CODES.strip().replace("\n", "|").split("|")]
+
 # ASCII that isn't a letter separates words; bytes beyond ASCII stay.
 _LETTERS = bytes(c if c >= 0x80 or 0x41 <= c <= 0x5A or 0x61 <= c <= 0x7A else 0x20 for c in range(256))
 
@@ -68,8 +86,8 @@ class TextModel:
         return total, len(found)
 
 
-def train(texts: DataFrame) -> TextModel:
-    """Trigram counts of all texts (declared, raw) by declared language, summed by Spark."""
+def _counts(texts: DataFrame) -> DataFrame:
+    """(key, bucket, n): trigram counts of all texts (declared, raw) by declared tag, summed by Spark."""
 
     def run(batches: Batches) -> Batches:
         counts: dict[str, np.ndarray] = {}
@@ -94,21 +112,80 @@ def train(texts: DataFrame) -> TextModel:
         yield flushed()
 
     partial = in_batches(texts.filter(F.col("declared") != UNKNOWN), run, "key string, bucket long, n long")
-    counts = materialise(partial.groupBy("key", "bucket").agg(F.sum("n").alias("n")), "trigrams")
-    table = counts.filter("n > 0").toArrow()
-    keys = table.column("key").combine_chunks().dictionary_encode()
-    names = keys.dictionary.to_pylist()
-    languages = sorted(names)
-    rank = {key: i for i, key in enumerate(languages)}
-    place = np.array([rank[key] for key in names], np.int32)[keys.indices.to_numpy()] if names else np.zeros(0, np.int32)
-    bucket, n = table.column("bucket").to_numpy(), table.column("n").to_numpy().astype(float)
-    order = np.lexsort((place, bucket))
-    bucket, place, n = bucket[order], place[order], n[order]
-    overall = np.bincount(bucket, n, minlength=BUCKETS)
+    return materialise(partial.groupBy("key", "bucket").agg(F.sum("n").alias("n")).filter("n > 0"), "trigrams")
+
+
+def _by_size(counts: DataFrame) -> Iterator[list[tuple[str, np.ndarray, np.ndarray]]]:
+    """(tag, buckets, counts) of all tags, those of more text first to a factor of two, in blocks of about BLOCK_ENTRIES entries."""
+    sizes = counts.groupBy("key").agg(F.floor(F.log2(F.sum("n"))).alias("size"), F.count("*").alias("entries"))
+    sizes = materialise(sizes, "tag-sizes")
+    entries = {r["size"]: r.entries for r in sizes.groupBy("size").agg(F.sum("entries").alias("entries")).collect()}
+    spans: list[list[int]] = []
+    for size in sorted(entries, reverse=True):
+        if spans and sum(entries[x] for x in spans[-1]) + entries[size] <= BLOCK_ENTRIES:
+            spans[-1].append(size)
+        else:
+            spans.append([size])
+    for span in spans:
+        parts = -(-sum(entries[x] for x in span) // BLOCK_ENTRIES)
+        for part in range(parts):
+            mine = sizes.filter(F.col("size").isin(span) & (F.pmod(F.xxhash64("key"), F.lit(parts)) == part))
+            table = counts.join(mine.select("key"), "key").toArrow()
+            keys, bucket, n = (table.column(c).to_numpy() for c in ("key", "bucket", "n"))
+            order = np.lexsort((bucket, keys.astype(str)))
+            keys, bucket, n = keys[order], bucket[order], n[order].astype(float)
+            starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else []
+            tags = [(keys[a], bucket[a:b], n[a:b]) for a, b in zip(starts, [*starts[1:], len(keys)], strict=True)]
+            yield sorted(tags, key=lambda tag: (-tag[2].sum(), tag[0]))
+
+
+def train(texts: DataFrame) -> tuple[TextModel, DataFrame]:
+    """The model of the languages that texts (declared, raw) are declared in, and (tag, leader), which language a tag is.
+
+    A tag is the same language as one of more text if its text is nearly as likely there as that tag's own: then their counts
+    are one. So several tags of a language don't compete, and the model grows with languages, not with tags.
+    """
+    spark = texts.sparkSession
+    counts = _counts(texts)
+    overall = np.zeros(BUCKETS)
+    for r in counts.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+        overall[r.bucket] = r.n
     unseen = 0.5 + OVERALL_GRAMS * overall / max(1.0, overall.sum())
-    totals = np.append(np.log(np.bincount(place, n, minlength=len(languages)) + unseen.sum()), 0.0)
+    leaders, pooled = [], []
+    logs, own, total = np.zeros((0, BUCKETS), np.float32), np.zeros(0), np.zeros(0)
+    families = scratch_dir(spark, "families")
+    schema = "tag string, leader string"
+    spark.createDataFrame([], schema).write.parquet(families)
+    for block in _by_size(counts):
+        found = []
+        for tag, bucket, n in block:
+            size, best = n.sum(), None
+            if leaders:
+                worse = own - logs[:, bucket] @ n / size
+                worse -= SAME_LANGUAGE + SAME_SAMPLED / np.sqrt(np.minimum(size, total))
+                best = int(worse.argmin())
+            if best is not None and worse[best] <= 0:
+                np.add.at(pooled[best], bucket, n)
+                found.append((tag, leaders[best]))
+                continue
+            mine = np.zeros(BUCKETS)
+            mine[bucket] = n
+            chance = np.log((mine + unseen) / (size + unseen.sum())).astype(np.float32)
+            leaders.append(tag)
+            pooled.append(mine)
+            logs = np.concatenate([logs, chance[None]])
+            own, total = np.append(own, chance @ mine / size), np.append(total, size)
+        if found:
+            spark.createDataFrame(found, schema).coalesce(1).write.mode("append").parquet(families)
+    order = sorted(range(len(leaders)), key=leaders.__getitem__)
+    dense = np.array([pooled[i] for i in order]) if order else np.zeros((0, BUCKETS))
+    bucket, place = np.nonzero(dense.T)
+    n = dense[place, bucket]
+    totals = np.append(np.log(dense.sum(axis=1) + unseen.sum()), 0.0)
     starts = np.searchsorted(bucket, np.arange(BUCKETS + 1))
-    return TextModel([*languages, UNKNOWN], np.log(unseen), totals, starts, place, np.log1p(n / unseen[bucket]))
+    languages = [*(leaders[i] for i in order), UNKNOWN]
+    model = TextModel(languages, np.log(unseen), totals, starts, place.astype(np.int32), np.log1p(n / unseen[bucket]))
+    return model, spark.read.schema(schema).parquet(families)
 
 
 def _softmax(logs: np.ndarray) -> np.ndarray:
@@ -118,7 +195,7 @@ def _softmax(logs: np.ndarray) -> np.ndarray:
 
 def _summed(evidence: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, i, n): expected rows of each language, by the text alone; languages without any have no row."""
-    shares = evidence.select(*keys, F.explode("shares").alias("s")).select(*keys, "s.i", "s.p").filter(F.col("p") >= SUMMED_SHARE)
+    shares = evidence.select(*keys, F.explode("shares").alias("s")).select(*keys, "s.i", "s.p")
     return shares.groupBy(*keys, "i").agg(F.sum("p").alias("n"))
 
 
@@ -200,29 +277,34 @@ def address_parts(host: Column) -> dict[str, Column]:
 
 
 def declared_language(column: Column) -> Column:
-    """The primary part of a language tag, in lower case."""
-    return F.nullif(F.lower(F.regexp_extract(column.cast("string"), r"^\s*([A-Za-z]{2,8})", 1)), F.lit(""))
+    """The primary part of a language tag, in lower case, as the two-letter code where FAMILIES has it; those of no language are NULL."""
+    tag = F.nullif(F.lower(F.regexp_extract(column.cast("string"), r"^\s*([A-Za-z]{2,})", 1)), F.lit(""))
+    codes = F.create_map(*[F.lit(x) for group in FAMILIES for name in group for x in (name, group[0])])
+    return F.nullif(F.coalesce(F.try_element_at(codes, tag), tag), F.lit(UNKNOWN))
 
 
 def identify(rows: DataFrame, key: list[str], text: Column, declared: Column, host: Column) -> DataFrame:
     """One row per row: the key columns, language, confidence, text_language, declared, kept.
 
     Text models learn from all rows with a declared language and of every one that is
-    declared; those of little text are smoothed towards the shares over all. Texts without a letter are `und`
+    declared; those of little text are smoothed towards the shares over all. `declared` and `language` are the tag of most text
+    among those that are one language (see `train`), so tags of the same language share its chances. Texts without a letter are `und`
     and not kept, and so are texts that look like none of the languages or whose likeliest one has a chance under 0.5. A NULL
     text is empty; a NULL declaration, host or suffix is no evidence; without any declaration all rows are `und`. Repeated
     rows get a row each.
     """
     source = rows.select(*key, text.cast("binary").alias("_raw"), declared_language(declared).alias("declared"), host.alias("_host"))
-    model = train(source.select("declared", "_raw"))
+    model, families = train(source.select("declared", "_raw"))
     held = rows.sparkSession.sparkContext.broadcast(model)
     size = len(model.languages)
 
     def weigh(model: TextModel, raw: bytes | None) -> tuple:
         logs, n = model.log_likelihoods(raw)
         shares = _softmax(TEXT_WEIGHT * logs)
-        return [(i, p) for i, p in enumerate(shares.tolist()) if p > LEAST_SHARE], n
+        return [(i, p) for i, p in enumerate(shares.tolist()) if p >= LEAST_SHARE], n
 
+    named = source.join(families.withColumnRenamed("tag", "declared"), "declared", "left")
+    source = named.withColumn("declared", F.coalesce("leader", "declared")).drop("leader")
     weighed = per_row(source, weigh, ["_raw"], "shares array<struct<i: int, p: double>>, n_grams long", setup=lambda: held.value)
     evidence = materialise(weighed.drop("_raw").withColumns(address_parts(F.col("_host"))).drop("_host"), "evidence")
     decided = fuse(evidence, model.languages)
@@ -234,19 +316,29 @@ def document_languages(docs: DataFrame) -> DataFrame:
     return identify(docs, ["doc_id"], F.col("text"), F.col("lang"), F.col("source"))
 
 
+def _page_text(html: str | None) -> tuple[bytes]:
+    """The text between tags, without scripts, styles and comments, with character references decoded."""
+    return (unescape(_MARKUP.sub(" ", html or "")).encode(errors="replace"),)
+
+
 def page_languages(pages: DataFrame) -> DataFrame:
-    """Languages of pages (page_id, url, html): the html element's lang, the address's host, the text between tags."""
-    html = F.coalesce(F.col("html"), F.lit(""))
-    text = F.regexp_replace(html, r"(?s)<(script|style)\b.*?</\1\s*>|<[^>]*>", " ")
-    declared = F.regexp_extract(html, r"(?i)<html[^>]*?\slang\s*=\s*[\"']?([A-Za-z-]+)", 1)
+    """Languages of pages (page_id, url, html): the html element's lang, the address's host, the text between tags.
+
+    Names of elements and attributes are read in any case, and references decoded. NULL and empty pages and those without a
+    letter are `und`; a missing or malformed address says nothing; repeated pages get a row each; other columns are not read.
+    """
+    declared = F.regexp_extract(F.coalesce("html", F.lit("")), r"(?i)<html[^>]*?\slang\s*=\s*[\"']?([A-Za-z-]+)", 1)
     host = F.regexp_extract(F.col("url"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]+)", 1)
-    return identify(pages, ["page_id"], text, declared, host)
+    read = pages.select("page_id", "html", declared.alias("_declared"), host.alias("_address"))
+    texts = per_row(read, _page_text, ["html"], "_text binary").drop("html")
+    return identify(texts, ["page_id"], F.col("_text"), F.col("_declared"), F.col("_address"))
 
 
 def in_known_language(docs: DataFrame) -> DataFrame:
     """Documents whose language is found, all columns unchanged.
 
-    Rows are rejected by doc_id and a hash of what decided, so rows that share a doc_id don't share their fate. Rejected rows are
+    NULL and empty texts and those without a letter go; a NULL language, source or doc_id is no reason to; of repeated rows all
+    stay or none. Rows are rejected by doc_id and a hash of what decided, so rows that share a doc_id don't share their fate. Rejected rows are
     few, and their join is a broadcast where they fit one.
     """
     mark = F.xxhash64(F.coalesce("text", F.lit("")), F.coalesce("lang", F.lit("")), F.coalesce("source", F.lit("")))

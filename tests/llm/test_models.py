@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfmark.llm import language, quality_pu, queries, toxicity
 from tests.llm.conftest import PROSE, documents
@@ -39,6 +40,51 @@ def test_every_declared_language_has_a_model(spark):
     assert all(r.language == r.lang and r.kept for r in found)
 
 
+def retagged(spark, tags):
+    """The documents of sf0.01, their English ones declared as some tags in turn."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    turn = F.element_at(F.array(*map(F.lit, tags)), (F.pmod(F.xxhash64("doc_id"), F.lit(len(tags))) + 1).cast("int"))
+    return docs, docs.withColumn("lang", F.when(F.col("lang") == "en", turn).otherwise(F.col("lang")))
+
+
+@pytest.mark.parametrize("tags", [["en", "eng", "English", "EN-us"], ["en", "xen", "qen"]])
+def test_tags_of_one_language_share_its_chances(spark, tags):
+    docs, split = retagged(spark, tags)
+    before = {r.doc_id: r for r in language.document_languages(docs).collect()}
+    after = {r.doc_id: r for r in language.document_languages(split).collect()}
+    assert sum(r.kept for r in after.values()) >= 0.99 * len(after)
+    assert sum(r.kept == before[i].kept for i, r in after.items()) >= 0.995 * len(after)
+    assert len({after[i].language for i, r in before.items() if r.language == "en" and r.kept}) == 1
+    assert language.in_known_language(split).count() == sum(r.kept for r in after.values())
+
+
+def test_junk_tags_change_nothing(spark, monkeypatch):
+    """A tag for nearly every English document, read in several blocks: only those of odd texts are languages of their own."""
+    monkeypatch.setattr(language, "BLOCK_ENTRIES", 60_000)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    docs, junk = retagged(spark, ["en", *("q" + a + b for a in letters for b in letters)])
+    texts = junk.select(language.declared_language(F.col("lang")).alias("declared"), F.col("text").cast("binary").alias("_raw"))
+    model, _ = language.train(texts)
+    assert len(model.languages) <= 30
+    before = {r.doc_id: r.kept for r in language.document_languages(docs).collect()}
+    after = {r.doc_id: r.kept for r in language.document_languages(junk).collect()}
+    assert sum(after[i] == kept for i, kept in before.items()) >= 0.99 * len(before)
+
+
+def test_odd_pages_have_a_language(spark):
+    english = "<HTML LANG='en'><Script>var das und der = die nicht ein</SCRIPT><p>" + PROSE
+    rows = [(i, f"http://h{i % 3}.org/", english) for i in range(12)]
+    rows += [(20, None, None), (21, "", ""), (22, "no address", "<p>1 2 3"), (23, "http://a.org", "&#116;h&eacute; quick brown fox and the lazy dog")]
+    rows += [(24, "http://a.org", "<script>the quick brown fox"), (None, None, english), (1, "http://h1.org/", english), (25, "u", "word " * 200_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit("mine") for c in ("declared", "_text", "host", "language")})
+    found = language.page_languages(pages).collect()
+    assert len(found) == len(rows)
+    by_id = {r.page_id: r for r in found}
+    assert all(by_id[i].language == "en" and by_id[i].kept for i in (*range(12), None, 23))
+    assert {(by_id[i].language, by_id[i].kept) for i in (20, 21, 22, 24)} == {("und", False)}
+    assert language.page_languages(pages.filter("false")).count() == 0
+
+
 def test_hosts_share_what_their_domain_has(spark):
     parts = spark.createDataFrame([("A.Example.ORG",), ("src0",), ("",), (None,)], "h string")
     rows = parts.select(*[c.alias(n) for n, c in language.address_parts(parts["h"]).items()]).collect()
