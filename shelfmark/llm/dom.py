@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -79,6 +80,8 @@ def parse(html: str) -> Page:
     nodes = [Node("#page", {}, -1, 0)]
     runs: list[tuple[int, int, str, bool]] = []
     open_: list[tuple[str, int]] = [("#page", 0)]  # all open elements, each with the block node it is in
+    at_name: dict[str, list[int]] = defaultdict(list)  # where in it the open elements of each name are
+    outer = [0]  # and where those are that aren't inline
     links = hidden = block = at = 0
 
     def text(piece: str) -> None:
@@ -91,22 +94,35 @@ def parse(html: str) -> Page:
                 nodes[node].linked += size
             runs.append((node, block, decoded, links > 0))
 
-    def close() -> None:
+    def opened(name: str, inside: int) -> None:
+        at_name[name].append(len(open_))
+        if name not in INLINE:
+            outer.append(len(open_))
+        open_.append((name, inside))
+
+    def close_from(place: int) -> None:
         nonlocal links, hidden, block
-        name, _ = open_.pop()
-        links -= name == "a"
-        hidden -= name in NEVER_TEXT
-        block += name not in INLINE
+        while len(open_) > place:
+            name, _ = open_.pop()
+            if name:
+                at_name[name].pop()
+                links -= name == "a"
+                hidden -= name in NEVER_TEXT
+                if name not in INLINE:
+                    outer.pop()
+                    block += 1
+        ended()
+
+    def ended() -> None:
+        while not open_[-1][0]:  # a link that another one has ended
+            open_.pop()
+
+    def innermost(names: frozenset[str]) -> int:
+        return max((at_name[n][-1] for n in names if at_name.get(n)), default=0)
 
     def close_until(names: frozenset[str], stop: frozenset[str]) -> None:
-        for i in range(len(open_) - 1, 0, -1):
-            if open_[i][0] in names:
-                while len(open_) > i:
-                    close()
-                if not any(n in names for n, _ in open_[1:]):
-                    return
-            elif open_[i][0] in stop:
-                return
+        while (place := innermost(names)) and place >= innermost(stop):
+            close_from(place)
 
     while True:
         m = _MARKUP.search(html, at)
@@ -119,13 +135,9 @@ def parse(html: str) -> Page:
             name = m[1].lower()
             if name == "br":
                 runs.append((open_[-1][1], block, " ", False))
-            for i in range(len(open_) - 1, 0, -1):
-                if open_[i][0] == name:
-                    while len(open_) > i:
-                        close()
-                    break
-                if name in INLINE and open_[i][0] not in INLINE:  # a stray end of an inline element closes no block
-                    break
+            place = innermost(frozenset([name]))
+            if place and not (name in INLINE and outer[-1] > place):  # a stray end of an inline element closes no block
+                close_from(place)
         elif m[2]:
             name = m[2].lower()
             if not m[4]:
@@ -135,15 +147,12 @@ def parse(html: str) -> Page:
             if name in IMPLIED:
                 close_until(*IMPLIED[name])
             if re.fullmatch("h[1-6]", name) and re.fullmatch("h[1-6]", open_[-1][0]):
-                close()
-            if name == "a":
-                for i in range(len(open_) - 1, 0, -1):
-                    if open_[i][0] == "a":
-                        del open_[i]
-                        links -= 1
-                        break
-                    if open_[i][0] not in INLINE:
-                        break
+                close_from(len(open_) - 1)
+            if name == "a" and at_name["a"] and at_name["a"][-1] > outer[-1]:
+                place = at_name["a"].pop()
+                open_[place] = ("", open_[place][1])
+                links -= 1
+                ended()
             if name in VOID:
                 if name in ("br", "hr"):
                     block += name == "hr"
@@ -155,7 +164,7 @@ def parse(html: str) -> Page:
                 nodes.append(Node(name, _attributes(m[3]), inside, nodes[inside].depth + 1))
                 nodes[inside].children.append(len(nodes) - 1)
                 inside = len(nodes) - 1
-            open_.append((name, inside))
+            opened(name, inside)
             links += name == "a"
             hidden += name in NEVER_TEXT
             if name in RAW_TEXT:

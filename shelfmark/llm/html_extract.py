@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +19,9 @@ from shelfmark.llm.text import Batches, in_batches, materialise, per_row, sliced
 
 TRAINING_PAGES = 1500  # about as many pages are learned from, by hash
 TREES, DEPTH = 12, 4
-MARKED = 6.0  # log odds against a node that its name or attributes put in another part
+CLIP = 4.0  # the trees' margins, either way
+NAMED = 6.0  # log odds against a node that is another part by its element or a whole name, or that isn't shown
+MARKED = 3.0  # and against one that only a word within a name puts there, which the trees can outweigh
 
 # Words in class, id and role attributes.
 CONTENT_TOKENS = frozenset("article articlebody post postbody entry story content main maincontent body text".split())
@@ -28,6 +31,10 @@ OTHER_TOKENS = frozenset(
     "sharing social comment comments reply replies disqus newsletter subscribe subscription signup login footer masthead topbar "
     "toolbar pagination pager search complementary contentinfo hidden tags tagcloud copyright legal disclaimer toc skip".split()
 )
+PLAIN_TOKENS = frozenset(  # which say nothing of the part beside one of those
+    "area article articles bar block bottom box button buttons col column container entry form group holder icon icons inner item items left "
+    "link links list outer page panel post posts right row section site story top unit wrap wrapper".split()
+)
 OTHER_ELEMENTS = frozenset("nav footer aside form menu search".split())
 MAIN_ELEMENTS = frozenset(["article", "main"])
 ELEMENTS = ("p", "h1", "h2", "h3", "h4", "li", "ul", "ol", "div", "section", "td", "table", "blockquote", "pre", "header", "dd")
@@ -41,14 +48,16 @@ class Marks:
     other: bool
     in_main: bool
     in_other: bool
+    by_name: bool = False  # another part by its element, or not shown
+    by_word: bool = False  # another part by a whole name in its attributes
 
 
-def _tokens(node, in_main: bool) -> set[str]:
-    """Words of attributes; in a main part without ids, which headings give, and classes of tags, categories and what isn't there."""
+def _names(node, in_main: bool) -> list[set[str]]:
+    """The words of each name in attributes; in a main part without ids, which headings give, and classes of tags, categories and what isn't there."""
     text = " ".join(node.attributes.get(k, "") for k in ("class", "role", "itemprop") + (() if in_main else ("id",)))
     if in_main:
         text = re.sub(r"(?i)(?<!\S)(?:tag|category|cat|no)[-_]\S*", " ", text)
-    return set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", text).lower()))
+    return [set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())) for name in text.split()]
 
 
 def _marks(page: Page) -> list[Marks]:
@@ -60,14 +69,17 @@ def _marks(page: Page) -> list[Marks]:
     for i, node in enumerate(page.nodes):
         above = marks[node.parent] if i else Marks(False, False, False, False)
         element = node.name in MAIN_ELEMENTS  # no word of its attributes makes it another part
-        tokens = _tokens(node, above.in_main or element) if node.attributes else set()
+        names = _names(node, above.in_main or element) if node.attributes else []
+        tokens = set().union(*names)
         unseen = "hidden" in node.attributes or re.search(r"display\s*:\s*none", node.attributes.get("style", "")) is not None
         header = node.name == "header" and not above.in_main
         other = unseen or (
             not holds_main[i] and node.name not in ("html", "body") and (node.name in OTHER_ELEMENTS or header or (not element and bool(tokens & OTHER_TOKENS)))
         )
         main = not other and (node.name in MAIN_ELEMENTS or bool(tokens & CONTENT_TOKENS))
-        marks.append(Marks(main, other, above.in_main or main, above.in_other or other))
+        by_name = other and (unseen or header or node.name in OTHER_ELEMENTS)
+        by_word = other and any(x & OTHER_TOKENS and x <= OTHER_TOKENS | PLAIN_TOKENS for x in names)
+        marks.append(Marks(main, other, above.in_main or main, above.in_other or other, by_name, by_word))
     return marks
 
 
@@ -104,7 +116,8 @@ def node_features(page: Page, marks: list[Marks], plain: bool = False) -> np.nda
             near_chars[c] = (sub_chars[c].sum() - sub_chars[c]) / rest
             near_links[c] = (density[c].sum() - density[c]) / rest
             names = [nodes[i].name for i in c]
-            alike[c] = [names.count(x) / len(c) for x in names]
+            times = Counter(names)
+            alike[c] = [times[x] / len(c) for x in names]
     said = np.zeros((n, 4)) if plain else np.array([[m.main, m.other, m.in_main, m.in_other] for m in marks], float)
     shown = ["div" if plain and x.name in (*MAIN_ELEMENTS, *OTHER_ELEMENTS, "header") else x.name for x in nodes]
     kinds = np.array([[name == e for e in ELEMENTS] for name in shown], float)
@@ -219,7 +232,7 @@ def train(pages: DataFrame, training_pages: int = TRAINING_PAGES) -> Trees | Non
 
 
 def _prior(page: Page, marks: list[Marks]) -> np.ndarray:
-    """What names and attributes say, as log odds: parts that no training page has are known by them alone.
+    """What names and attributes say, as log odds: parts that no training page has are known by them, unless the trees are sure.
 
     Attribute words on a node that holds most of the page's text say little of that text.
     """
@@ -229,8 +242,10 @@ def _prior(page: Page, marks: list[Marks]) -> np.ndarray:
     prior = np.zeros(len(page.nodes))
     for i, (node, m) in enumerate(zip(page.nodes, marks, strict=True)):
         if m.other:
-            named = node.name in OTHER_ELEMENTS or node.name == "header"
-            prior[i] = -MARKED if named or 2 * total[i] < total[0] else 0.0
+            if m.by_name:
+                prior[i] = -NAMED
+            elif 2 * total[i] < total[0]:
+                prior[i] = min(-NAMED if m.by_word else -MARKED, prior[node.parent])
         elif i and prior[node.parent] < 0:
             prior[i] = prior[node.parent]
         elif m.in_main:
@@ -283,7 +298,7 @@ def extract(pages: DataFrame, trees: Trees | None = None) -> DataFrame:
         page = parse(html or "")
         marks = _marks(page)
         margins = learned.margins(node_features(page, marks)) if learned else _plain_margins(page, marks)
-        text = blocks(page, decode(page, np.clip(margins, -4, 4) + _prior(page, marks)))
+        text = blocks(page, decode(page, np.clip(margins, -CLIP, CLIP) + _prior(page, marks)))
         return text, len(text)
 
     return per_row(pages, main_text, ["html"], "text string, n_chars long", setup=lambda: held.value)

@@ -103,3 +103,56 @@ def test_headings_and_slugs_of_an_article_stay(spark, trees):
         page = f'<html><body><nav><ul>{menu}</ul></nav><article class="{classes}">{inside}</article></body></html>'
         text = html_extract.extract(pages(spark, [(1, "u", page)]), trees).first().text
         assert text.count("main text") == 8 and "Effects" in text and "Costs" in text and "menu" not in text, classes
+
+
+class Sure:
+    """Trees that are sure of every node."""
+
+    def margins(self, x):
+        return np.full(len(x), html_extract.CLIP)
+
+
+def test_sure_trees_outweigh_a_word_within_a_name(spark):
+    prose = "This is a long sentence of the main text, and it goes on for a while. "
+    within = ('<section class="related-work"><p>{}</p></section>', '<p class="legal-text">{}</p>')
+    alone = ('<div class="side-effects"><p>{}</p></div>', '<h2 id="copyright-law">{}</h2>', '<div id="search-algorithms"><p>{}</p></div>')
+    other = ('<section class="comments"><p>{}</p></section>', '<div class="comment-list"><p>{}</p></div>', "<nav>{}</nav>", '<div id="cookie-notice">{}</div>')
+    rows = [f"<article><p>{prose * 5}</p>{part.format('Here it is.')}</article>" for part in within]
+    rows += [f"<div><p>{prose * 5}</p>{part.format('Here it is.')}</div>" for part in (*alone, *other)]
+    found = html_extract.extract(pages(spark, [(i, "u", x) for i, x in enumerate(rows)]), Sure()).collect()
+    assert [("Here it is." in r.text) for r in sorted(found)] == [True] * 5 + [False] * 4
+
+
+def test_decoding_is_the_best_consistent_choice():
+    """Against all choices on small trees."""
+    import itertools
+    import math
+
+    rng = np.random.default_rng(3)
+    for _ in range(40):
+        page = parse("".join(rng.choice(["<div>", "</div>", "some text ", "<p>"], 9)))
+        n = len(page.nodes)
+        margins = rng.normal(0, 2, n)
+        score = margins * np.array([0.05 + math.log1p(x.own) for x in page.nodes])
+
+        def value(kept):
+            return sum(s if k else -s for s, k in zip(score[1:], kept, strict=True))
+
+        def consistent(kept):
+            full = [True, *kept]
+            return all(full[x.parent] or not full[i] for i, x in enumerate(page.nodes) if i)
+
+        best = max(value(k) for k in itertools.product([False, True], repeat=n - 1) if consistent(k))
+        assert value(html_extract.decode(page, margins)[1:]) == pytest.approx(best)
+
+
+@pytest.mark.parametrize("markup", ["<p>x</p>" * 100_000, "<div>" * 100_000 + "x", "<p><table><td>" + "<div>" * 50_000, "<b><a>" * 50_000 + "x"])
+def test_time_grows_with_the_page(markup):
+    import time
+
+    start = time.perf_counter()
+    page = parse(markup)
+    marks = html_extract._marks(page)
+    html_extract.node_features(page, marks)
+    html_extract.decode(page, html_extract._plain_margins(page, marks) + html_extract._prior(page, marks))
+    assert time.perf_counter() - start < 10
