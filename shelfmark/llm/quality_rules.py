@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.counting import word_counts
+from shelfmark.llm.language import declared_language
 from shelfmark.llm.text import lower_words, materialise, per_row, spaced_words
 
 REPEAT_WINDOW = 8
 COMMON_WORDS = 50
-LEAST_REFERENCE_WORDS = 1000
-MOST_REFERENCES = 512  # languages with a reference, those of most words; others use the one they look most like
+LEAST_REFERENCE_WORDS = 1000  # texts of languages with fewer words in all aren't measured
 LEAST_WORDS = 20
 
 # How far a text may be from its language: a distance for any length and one that shrinks as texts grow, for the noise
@@ -40,8 +40,9 @@ _CLASSES = np.array(
     np.uint8,
 )
 N_CLASSES = 8
+HELD_REFERENCES = 1000  # languages whose words a task keeps
 STATISTICS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-HISTOGRAMS = "chars array<long>, reference string, common array<long>"
+HISTOGRAMS = "chars array<long>, common array<long>"
 
 
 def repeated_words(words: list[bytes], window: int = REPEAT_WINDOW) -> int:
@@ -80,18 +81,16 @@ def byte_classes(raw: bytes | None) -> np.ndarray:
     return np.bincount(_CLASSES[np.frombuffer(raw or b"", np.uint8)], minlength=N_CLASSES)
 
 
-def common_words(docs: DataFrame) -> dict[str, list[bytes]]:
-    """The most frequent words of each language, by a count of all documents. At most 512 times 50 words."""
-    texts = docs.filter("lang IS NOT NULL").select("lang", F.col("text").cast("binary").alias("raw"))
-    counts = word_counts(texts, lower_words)
+def common_words(texts: DataFrame) -> DataFrame:
+    """(language, top) as a written table: the COMMON_WORDS most frequent words of each language, by a count of all texts
+    (language, raw); languages of under LEAST_REFERENCE_WORDS words aren't in it."""
+    counts = word_counts(texts.filter("language IS NOT NULL"), lower_words)
     sizes = counts.groupBy("key").agg(F.sum("n").alias("words")).filter(F.col("words") >= LEAST_REFERENCE_WORDS)
-    languages = [r["key"] for r in sizes.orderBy(F.desc("words"), "key").limit(MOST_REFERENCES).collect()]
     order = Window.partitionBy("key").orderBy(F.desc("n"), "word")
-    best = counts.filter(F.col("key").isin(languages)).withColumn("rank", F.row_number().over(order))
-    top: dict[str, list[bytes]] = {}
-    for r in best.filter(F.col("rank") <= COMMON_WORDS).orderBy("key", "rank").collect():
-        top.setdefault(r["key"], []).append(bytes(r["word"]))
-    return top
+    best = counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= COMMON_WORDS)
+    best = best.join(sizes, "key").groupBy(F.col("key").alias("language"))
+    words = F.transform(F.array_sort(F.collect_list(F.struct("rank", "word"))), lambda x: x["word"])
+    return materialise(best.agg(words.alias("top")), "common-words")
 
 
 def distance(a: np.ndarray, b: np.ndarray) -> float:
@@ -117,61 +116,47 @@ def judge(docs: DataFrame) -> DataFrame:
 
     `docs` needs doc_id, text and lang. A text fails the base rule with under 20 words, or with over 30 % of its words in
     repeated windows of 8. The others are held against the reference of their language: histograms of character classes
-    and of its 50 most frequent words, over all documents that pass the base rule. A text whose language is NULL or has
-    under 1,000 words in all is held against the language whose common words cover it best. `kept` asks both distances to be
-    within a bound that grows for short texts; texts under 20 words aren't measured (their distances are NULL), and without
-    any reference no text is. NULL is read as the empty text; repeated rows get a row each.
+    and of its 50 most frequent words, over all documents that pass the base rule. Languages are read as tags, so that `EN` and
+    `en-US` are `en`; their references are a table, joined by language. `kept` asks both distances to be within a bound that
+    grows for short texts. Texts under 20 words, of no language or of one with under 1,000 words in all aren't measured: their
+    distances are NULL and the base rule decides. NULL is read as the empty text; repeated rows get a row each.
     """
-    source = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("binary").alias("_raw"))
-    top = common_words(docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text"))
-    common = docs.sparkSession.sparkContext.broadcast(top)
-
-    def places() -> dict[str, dict[bytes, int]]:
-        return {key: {w: i for i, w in enumerate(words)} for key, words in common.value.items()}
-
-    def measure(places: dict[str, dict[bytes, int]], lang: str | None, raw: bytes | None) -> tuple:
-        words = spaced_words(raw)
-        lower = lower_words(raw)
-
-        def histogram(key: str) -> list[int]:
-            found = np.fromiter((places[key].get(w, COMMON_WORDS) for w in lower), np.int64, len(lower))
-            return np.bincount(found, minlength=COMMON_WORDS + 1).tolist()
-
-        if lang not in places:
-            lang = min(places, key=lambda key: (histogram(key)[-1], key), default=None)
-        hist = histogram(lang) if lang is not None else []
-        return *_statistics(raw, words), byte_classes(raw).tolist(), lang, hist
-
-    measured = per_row(source, measure, ["lang", "_raw"], f"{STATISTICS}, {HISTOGRAMS}", setup=places)
+    source = docs.select("doc_id", declared_language(F.col("lang")).alias("language"), F.col("text").cast("binary").alias("_raw"))
+    top = common_words(source.select("language", F.col("_raw").alias("raw")))
+
+    def measure(known: dict, language: str | None, top: list[bytes] | None, raw: bytes | None) -> tuple:
+        words, hist = spaced_words(raw), []
+        if top is not None:
+            if language not in known:
+                if len(known) > HELD_REFERENCES:
+                    known.clear()
+                known[language] = {w: i for i, w in enumerate(top)}
+            place = known[language]
+            found = np.fromiter((place.get(w, COMMON_WORDS) for w in lower_words(raw)), np.int64, len(words))
+            hist = np.bincount(found, minlength=COMMON_WORDS + 1).tolist()
+        return *_statistics(raw, words), byte_classes(raw).tolist(), hist
+
+    asked = source.join(top, "language", "left")
+    measured = per_row(asked, measure, ["language", "top", "_raw"], f"{STATISTICS}, {HISTOGRAMS}", setup=dict)
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    measured = materialise(measured.drop("_raw", "lang").withColumn("base_failed", failed), "histograms")
-    sums = [F.sum(F.col("chars")[i]).alias(f"c{i}") for i in range(N_CLASSES)]
-    sums += [F.sum(F.col("common")[i]).alias(f"w{i}") for i in range(COMMON_WORDS + 1)]
-    good = measured.filter("NOT base_failed AND reference IS NOT NULL").groupBy("reference").agg(*sums)
-    references = docs.sparkSession.sparkContext.broadcast(
-        {
-            r["reference"]: (
-                np.array([r[f"c{i}"] for i in range(N_CLASSES)], float),
-                np.array([r[f"w{i}"] for i in range(COMMON_WORDS + 1)], float),
-            )
-            for r in good.collect()
-        }
-    )
+    measured = materialise(measured.drop("_raw", "top").withColumn("base_failed", failed), "histograms")
+    sums = [F.sum(F.get("chars", F.lit(i))) for i in range(N_CLASSES)], [F.sum(F.get("common", F.lit(i))) for i in range(COMMON_WORDS + 1)]
+    good = measured.filter("NOT base_failed AND size(common) > 0").groupBy("language")
+    references = materialise(good.agg(F.array(*sums[0]).alias("all_chars"), F.array(*sums[1]).alias("all_common")), "references")
 
-    def compare(references: dict, n: int, chars: list[int], key: str | None, common: list[int]) -> tuple:
-        if n < LEAST_WORDS or key not in references:
+    def compare(n: int, chars: list[int], common: list[int], all_chars: list[int] | None, all_common: list[int] | None) -> tuple:
+        if n < LEAST_WORDS or not common or all_chars is None:
             return None, None, True
-        by_char = distance(np.array(chars, float), references[key][0])
-        by_word = distance(np.array(common, float), references[key][1])
+        by_char = distance(np.array(chars, float), np.array(all_chars, float))
+        by_word = distance(np.array(common, float), np.array(all_common, float))
         near = by_char <= CHAR_DISTANCE + CHAR_NOISE / math.sqrt(n) and by_word <= WORD_DISTANCE + word_noise(n)
         return by_char, by_word, near
 
     compared = per_row(
-        measured,
+        measured.join(references, "language", "left"),
         compare,
-        ["n_words", "chars", "reference", "common"],
+        ["n_words", "chars", "common", "all_chars", "all_common"],
         "char_distance double, word_distance double, kept boolean",
-        setup=lambda: references.value,
     )
     return compared.select(
         "doc_id",

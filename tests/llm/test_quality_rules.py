@@ -59,3 +59,20 @@ def test_the_language_column_may_be_missing_its_values(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id", "text", "cast(null as string) lang")
     rows = quality_rules.judge(docs).collect()
     assert all(r.kept != r.base_failed for r in rows)  # no reference, so the base rule alone decides
+
+
+def test_small_languages_are_not_held_against_others(spark, sf_dir):
+    """Twelve documents of a language of its own are kept; sixty have a reference; case and region of a tag say nothing."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randrange(2, 8))) for _ in range(80)]
+
+    def text():
+        return " ".join(rng.choices(words, [1 / (i + 1) for i in range(80)], k=60)) + "."
+
+    supplied = [(r.doc_id, r.text, r.lang, "a") for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    few = [(10_000 + i, text(), "qu", "a") for i in range(12)]
+    many = [(20_000 + i, text(), ["ay", "AY", "ay-BO"][i % 3], "a") for i in range(60)]
+    rows = {r.doc_id: r for r in quality_rules.judge(documents(spark, supplied + few + many)).collect()}
+    assert all(rows[r[0]].kept and rows[r[0]].word_distance is None for r in few)
+    assert sum(rows[r[0]].kept for r in many) >= 58
+    assert all(rows[r[0]].word_distance is not None for r in many)
