@@ -40,10 +40,11 @@ SEED_INSULT, SEED_THREAT = 1.5, 2.0
 PREFIXES = range(3, 9)
 LEAST_SUPPORT = 3
 LEAST_ODDS = 2.5
-MOST_PATTERNS = 20_000
+MOST_PATTERNS = 20_000  # learned words and beginnings of words, those of the greatest odds; the sample has seldom so many
 SAMPLE = {1: 6_000, 0: 18_000}  # labelled documents that are learned from, about so many at most
 
 _BREAKS = b".!?;:|\n\r"
+_CURLY = "\u2019".encode()  # read as the plain apostrophe
 _SPACED = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x61 <= c <= 0x7A or c >= 0x80 or c == 0x27 else 0x20 for c in range(256)
 )
@@ -172,6 +173,7 @@ def clause_scores(raw: bytes | None, grammar: Grammar, trigger: ahocorasick.Auto
     """Over the clauses of a text: the sum of their weights, how many match, the greatest weight, and the text's words."""
     if not raw:
         return 0.0, 0, 0.0, 0
+    raw = raw.replace(_CURLY, b"'")
     spaced = raw.translate(_SPACED)
     n_words = len(spaced.split())
     text = f" {spaced.decode('utf-8', 'replace').lower()} "
@@ -206,7 +208,7 @@ def learn_grammar(sample: DataFrame, label: str) -> Grammar:
             pairs: set[tuple[str, str]] = set()
             documents: dict[str, list[int]] = defaultdict(lambda: [0, 0])
             for toxic, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = (raw or b"").translate(_SPACED).decode("utf-8", "replace").lower().split()
+                words = (raw or b"").replace(_CURLY, b"'").translate(_SPACED).decode("utf-8", "replace").lower().split()
                 found = {}
                 for left, word in zip(["", *words], words, strict=False):
                     if word not in found:

@@ -118,6 +118,14 @@ def test_targets_after_a_hit_count():
     assert clause("kill a b c d e f you") == clause("kill the process")
 
 
+def test_typographic_apostrophes_are_apostrophes():
+    grammar = toxicity.Grammar({}, {})
+    for plain in ("he isn't an idiot.", "you're an idiot", "they don't say: I will kill you"):
+        curly = plain.replace("'", "\u2019")
+        both = [toxicity.clause_scores(x.encode(), grammar, grammar.trigger()) for x in (plain, curly)]
+        assert both[0] == both[1] and both[0][0] > 0
+
+
 def test_composition_equals_the_cascade():
     import itertools
 
