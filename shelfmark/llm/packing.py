@@ -8,8 +8,9 @@ from functools import cache
 from itertools import chain, filterfalse
 
 import numpy as np
-import pyarrow as pa
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,10 +49,14 @@ class Encoder:
         self.ends[[i for name, i in names.items() if name.endswith("</w>")]] = True
 
     @staticmethod
-    def words(raw: bytes | None) -> list[bytes]:
+    def lowered(raw: bytes | None) -> bytes:
         if not raw:
-            return []
-        return raw.split() if b"\xcc" in raw or b"\xcd" in raw or b"<|" in raw else raw.lower().split()
+            return b""
+        return raw if b"\xcc" in raw or b"\xcd" in raw or b"<|" in raw else raw.lower()
+
+    @classmethod
+    def words(cls, raw: bytes | None) -> list[bytes]:
+        return cls.lowered(raw).split()
 
     def _encoded(self, words: list[str]) -> list[bytes]:
         """The ids of each word. Words of letters are one piece each and go as one text, cut where pieces end."""
@@ -73,6 +78,7 @@ class Encoder:
         """Make the ids of all words of some texts known."""
         if len(self.known) > CACHED:  # words that are used again come back from the older ones
             self.known, self.older = {}, self.known
+        self.known[b""] = b""
         new = set(filterfalse(self.known.__contains__, chain.from_iterable(texts)))
         if self.older:
             again = {w: self.older[w] for w in new if w in self.older}
@@ -83,7 +89,6 @@ class Encoder:
         split = {word: self._split(word) for word in new if word[-1] in _MARKS}
         fresh = new.difference(split).union(*split.values()).difference(self.known, (b"",))
         self.known.update(zip(fresh, self._encoded([w.decode() for w in fresh]), strict=True))
-        self.known[b""] = b""
         self.known.update((word, self.known[stem] + self.known[marks]) for word, (stem, marks) in split.items())
 
     @staticmethod
@@ -99,6 +104,21 @@ class Encoder:
         """Little-endian unsigned 32-bit ids of known words in turn, and the id that ends a document."""
         return b"".join([*map(self.known.__getitem__, words), _ENDED])
 
+    def coded(self, raws: list[bytes | None]) -> list[bytes]:
+        """What `encode` gives for the words of each text. Arrow splits the texts and puts the ids of their words side by side, so
+        that Python sees each of their different words once."""
+        if not raws:
+            return []
+        texts = pa.array([self.lowered(raw) for raw in raws], pa.binary()).cast(pa.string())
+        lists = pc.ascii_split_whitespace(texts)
+        words = lists.values.dictionary_encode()
+        different = words.dictionary.cast(pa.binary()).to_pylist()
+        self.learn([different])
+        ids = pa.array([self.known[w] for w in different], pa.large_binary()).take(words.indices)
+        bounds = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)[lists.offsets.to_numpy()].tolist()
+        data = memoryview(ids.buffers()[2] or b"")
+        return [data[a:b].tobytes() + _ENDED for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
 
 @cache
 def _encoder(vocabulary: str) -> Encoder:
@@ -113,11 +133,9 @@ def tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         width = "<u2" if encoder.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         for batch in sliced(batches):
             coded, numbers = [], []
-            for i in range(0, len(batch), 128):
-                texts = [Encoder.words(raw) for raw in batch.column(2).slice(i, 128).to_pylist()]
-                encoder.learn(texts)
-                for words in texts:
-                    ids = np.frombuffer(encoder.encode(words), "<u4")
+            for i in range(0, len(batch), 256):
+                for raw in encoder.coded(batch.column(2).slice(i, 256).to_pylist()):
+                    ids = np.frombuffer(raw, "<u4")
                     coded.append(ids.astype(width).tobytes())
                     numbers.append(len(ids))
             yield pa.RecordBatch.from_arrays(

@@ -55,6 +55,18 @@ def test_words_of_many_kinds(tokenizer, monkeypatch, cached):
         assert encoder.encode(found) == expected_ids(tokenizer, text).tobytes()
 
 
+def test_texts_together_give_the_ids_of_each(tokenizer):
+    rng = random.Random(9)
+    bits = ["a", "B.", "don't,", " ", "  ", "\n", "\t\x0b\x0c\r", "\x1c", "\u00a0", "é", "\u0301", "<|", "日本", "x" * 50, "1,2"]
+    texts = [*TEXTS, " ", "\n\n", *("".join(rng.choices(bits, k=rng.randrange(60))) for _ in range(300))]
+    encoder = packing.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    for i in range(0, len(texts), 50):
+        some = texts[i : i + 50]
+        got = encoder.coded([None if t is None else t.encode() for t in some])
+        assert got == [expected_ids(tokenizer, t).tobytes() for t in some]
+    assert encoder.coded([]) == [] and encoder.coded([None]) == [np.array([1], "<u4").tobytes()]
+
+
 def test_every_token_lies_in_one_piece(spark, sf_dir, tokenizer):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
