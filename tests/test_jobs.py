@@ -78,7 +78,8 @@ def test_every_job_in_a_process_of_its_own(spark, sf_dir, tmp_path):
     for job in ("bronze.promotions", "silver.promotions", "gold.daily_sales"):
         run(job)
     lake = Lakehouse(spark, str(tmp_path / "lake"), "")
-    place = {s: str(tmp_path / "lake" / s.layer / s.name) for s in TABLES.values()}
+    lake.ensure_databases()
+    place = {s: lake.current_folder(s) for s in TABLES.values()}
     rows = {k: spark.read.parquet(place[s]).count() for k, s in TABLES.items()}
     assert lake.location == str(tmp_path / "lake")
     assert rows["bronze.promotions"] == 2 * counts["bronze.promotions"]
