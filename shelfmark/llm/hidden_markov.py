@@ -23,7 +23,7 @@ BUCKETS = 4096  # symbols of the other words, by their last letters
 ENDING = 4
 SYMBOLS = OWN + BUCKETS
 LISTED = 1 << 17  # most frequent words, whose counts every task holds
-SEGMENT = 512  # tokens of a text that are trained, or whose transfer is found, as one sequence
+SEGMENT = 512  # tokens of a text that are a sequence of their own, tied to its neighbours by maps of the states
 WHOLE = 8192  # tokens of a text whose likelihood is found place by place
 SIDE_BY_SIDE = 256  # segments of longer texts at a time
 BATCH_TOKENS = 1 << 17  # that are trained on at a time; four times as many are scored
@@ -43,7 +43,6 @@ class Model:
     first: np.ndarray
     onward: np.ndarray
     symbols: np.ndarray
-    anywhere: np.ndarray  # of a state at any place: where a training segment begins inside a text
 
 
 def starting_model(shares: np.ndarray, states: int = STATES) -> Model:
@@ -53,7 +52,7 @@ def starting_model(shares: np.ndarray, states: int = STATES) -> Model:
     even = np.full(states, 1.0 / states)
     onward = np.full((states, states), 0.1 / max(1, states - 1))
     np.fill_diagonal(onward, 0.9 if states > 1 else 1.0)
-    return Model(even, onward, symbols / symbols.sum(axis=1, keepdims=True), even)
+    return Model(even, onward, symbols / symbols.sum(axis=1, keepdims=True))
 
 
 class TimeMajor:
@@ -107,34 +106,93 @@ class TimeMajor:
         return scales, now
 
 
-def expected_counts(sequences: list[np.ndarray], at_start: list[bool], model: Model) -> np.ndarray:
-    """Baum-Welch counts, a column a state: rows of symbols, then of states before, then of first states, then of all states."""
+def _transfers(segments: list[np.ndarray], starts: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """For each segment, the map from state chances before it to those at its end, and the log10 of its scale.
+
+    A segment that starts a text has no place before it: its map begins at the states of its first place.
+    """
+    states = len(model.first)
+    laid = TimeMajor(segments)
+    maps = np.where(starts[laid.order, None, None], np.eye(states), model.onward)
+    logs = np.zeros(len(segments))
+    for a, n in laid.steps:
+        now = (maps[:n].reshape(-1, states) @ model.onward).reshape(n, states, states) if a else maps
+        now *= model.symbols[:, laid.symbols[a : a + n]].T[:, None, :]
+        scale = now.reshape(n, -1).sum(axis=1)
+        maps[:n] = now / scale[:, None, None]
+        logs[:n] += np.log10(scale)
+    back = np.argsort(laid.order)
+    return maps[back], logs[back]
+
+
+def _tied_segments(texts: list[np.ndarray], model: Model) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Texts as segments, the state chances at the place before each (0 where a text begins), and the backward ones at its end."""
+    numbers = [-(-len(t) // SEGMENT) for t in texts]
+    segments = [t[a : a + SEGMENT] for t in texts for a in range(0, len(t), SEGMENT)]
+    before, after = np.zeros((len(model.first), len(segments))), np.ones((len(model.first), len(segments)))
+    first = np.cumsum([0, *numbers[:-1]]) if texts else []
+    spans = [(a, a + n) for a, n in zip(first, numbers, strict=True) if n > 1]
+    inner = [s for a, b in spans for s in range(a, b)]
+    begins = {a for a, _ in spans}
+    maps = {}
+    for a in range(0, len(inner), SIDE_BY_SIDE):
+        some = inner[a : a + SIDE_BY_SIDE]
+        found, _ = _transfers([segments[s] for s in some], np.array([s in begins for s in some]), model)
+        maps.update(zip(some, found, strict=True))
+    for a, b in spans:
+        state = model.first
+        for s in range(a, b - 1):
+            state = state @ maps[s]
+            before[:, s + 1] = state = state / state.sum()
+        for s in range(b - 1, a, -1):
+            behind = maps[s] @ after[:, s]
+            after[:, s - 1] = behind / behind.max()
+    return segments, before, after
+
+
+def expected_counts(texts: list[np.ndarray], model: Model) -> np.ndarray:
+    """Baum-Welch counts of whole texts, a column a state: rows of symbols, then of states before, then of first states."""
+    states, n_symbols = model.symbols.shape
+    counts = np.zeros((n_symbols + states + 1, states))
+    segments, before, after = _tied_segments(texts, model)
+    ends = np.cumsum([len(s) for s in segments])
+    parts = max(1, int(ends[-1]) // BATCH_TOKENS)  # a very long text is several
+    cuts = np.searchsorted(ends, ends[-1] * np.arange(1, parts + 1) // parts) + 1
+    for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True):
+        if a < b:
+            counts += _segment_counts(segments[a:b], before[:, a:b], after[:, a:b], model)
+    return counts
+
+
+def _segment_counts(segments: list[np.ndarray], before: np.ndarray, after: np.ndarray, model: Model) -> np.ndarray:
     states, n_symbols = model.symbols.shape
-    counts = np.zeros((n_symbols + states + 2, states))
-    laid = TimeMajor(sequences)
-    starts = np.array(at_start)
-    prior = np.where(starts, model.first[:, None], model.anywhere[:, None])
-    chances, scales, weighted = laid.forward(model, prior)
+    counts = np.zeros((n_symbols + states + 1, states))
+    laid = TimeMajor(segments)
+    starts = ~before.any(axis=0)
+    chances, scales, weighted = laid.forward(model, np.where(starts, model.first[:, None], model.onward.T @ before))
     weighted /= scales  # becomes symbol chance x backward chance / scale
+    before, after = before[:, laid.order], after[:, laid.order]
     following = np.zeros((states, states))
     behind = np.ones((states, 0))
     for step in range(len(laid.steps) - 1, -1, -1):
         a, n = laid.steps[step]
         later = behind.shape[1]
+        if later < n:  # segments that end here
+            ending = after[:, later:n] / (chances[:, a + later : a + n] * after[:, later:n]).sum(axis=0)
+            behind = np.concatenate([behind, ending], axis=1) if later else ending
         here = weighted[:, a : a + n]
-        if later:
-            here[:, :later] *= behind
+        here *= behind
         if step:
-            before = laid.steps[step - 1][0]
-            following += chances[:, before : before + n] @ here.T
-        if later:  # the chance of each state given the whole sequence
-            chances[:, a : a + later] *= behind
+            earlier = laid.steps[step - 1][0]
+            following += chances[:, earlier : earlier + n] @ here.T
+        else:
+            following += before @ here.T
+        chances[:, a : a + n] *= behind  # the chance of each state given the whole text
         behind = model.onward @ here
     for k in range(states):
         counts[:n_symbols, k] = np.bincount(laid.symbols, chances[k], n_symbols)
-    counts[n_symbols:-2] = model.onward * following
-    counts[-2] = chances[:, : len(sequences)] @ starts[laid.order]
-    counts[-1] = chances.sum(axis=1)
+    counts[n_symbols:-1] = model.onward * following
+    counts[-1] = chances[:, : len(segments)] @ starts[laid.order]
     return counts
 
 
@@ -142,30 +200,9 @@ def reestimated(counts: np.ndarray, shares: np.ndarray) -> Model:
     """The model of the summed counts, with a prior of PRIOR tokens a state."""
     states = counts.shape[1]
     symbols = counts[: len(shares)].T + PRIOR * shares
-    onward = counts[len(shares) : -2] + 1.0 / states
-    first, anywhere = counts[-2] + 1.0 / states, counts[-1] + 1.0 / states
-    return Model(
-        first / first.sum(),
-        onward / onward.sum(axis=1, keepdims=True),
-        symbols / symbols.sum(axis=1, keepdims=True),
-        anywhere / anywhere.sum(),
-    )
-
-
-def _transfers(segments: list[np.ndarray], model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """For each segment, the map from state chances before it to those at its end, and the log10 of its scale."""
-    states = len(model.first)
-    laid = TimeMajor(segments)
-    maps = np.broadcast_to(np.eye(states), (len(segments), states, states)).copy()
-    logs = np.zeros(len(segments))
-    for a, n in laid.steps:
-        now = (maps[:n].reshape(-1, states) @ model.onward).reshape(n, states, states)
-        now *= model.symbols[:, laid.symbols[a : a + n]].T[:, None, :]
-        scale = now.reshape(n, -1).sum(axis=1)
-        maps[:n] = now / scale[:, None, None]
-        logs[:n] += np.log10(scale)
-    back = np.argsort(laid.order)
-    return maps[back], logs[back]
+    onward = counts[len(shares) : -1] + 1.0 / states
+    first = counts[-1] + 1.0 / states
+    return Model(first / first.sum(), onward / onward.sum(axis=1, keepdims=True), symbols / symbols.sum(axis=1, keepdims=True))
 
 
 def log_likelihoods(sequences: list[np.ndarray], model: Model) -> np.ndarray:
@@ -182,7 +219,8 @@ def log_likelihoods(sequences: list[np.ndarray], model: Model) -> np.ndarray:
             rest += [(i, sequences[i][a : a + SEGMENT]) for a in range(WHOLE, len(sequences[i]), SEGMENT)]
     for a in range(0, len(rest), SIDE_BY_SIDE):
         some = rest[a : a + SIDE_BY_SIDE]
-        for (i, _), onward, log in zip(some, *_transfers([s for _, s in some], model), strict=True):
+        found = _transfers([s for _, s in some], np.zeros(len(some), bool), model)
+        for (i, _), onward, log in zip(some, *found, strict=True):
             state = states[i] @ onward
             logs[i] += log + math.log10(state.sum())
             states[i] = state / state.sum()
@@ -294,7 +332,7 @@ def _groups(batches: Batches, column: int, tokens: int = BATCH_TOKENS) -> object
 
 
 def train(coded: DataFrame, shares: np.ndarray, states: int = STATES, rounds: int = ROUNDS) -> Model:
-    """Baum-Welch over every training text. Tasks hand on one table of counts each, which Spark sums by row."""
+    """Baum-Welch over every training text, whole. Tasks hand on one table of counts each, which Spark sums by row."""
     context = coded.sparkSession.sparkContext
     learning = coded.filter("NOT held_out").select("symbols")
     model = starting_model(shares, states)
@@ -303,26 +341,16 @@ def train(coded: DataFrame, shares: np.ndarray, states: int = STATES, rounds: in
         held = context.broadcast(model)
 
         def run(batches: Batches, held=held) -> Batches:
-            total = np.zeros((held.value.symbols.shape[1] + states + 2, states))
+            total = np.zeros((held.value.symbols.shape[1] + states + 1, states))
             for _, texts in _groups(batches, 0):
-                segments, starts, size = [], [], 0
-                for text in texts:
-                    for a in range(0, len(text), SEGMENT):
-                        segments.append(text[a : a + SEGMENT])
-                        starts.append(a == 0)
-                        size += len(segments[-1])
-                        if size >= BATCH_TOKENS:  # a very long text is several
-                            total += expected_counts(segments, starts, held.value)
-                            segments, starts, size = [], [], 0
-                if segments:
-                    total += expected_counts(segments, starts, held.value)
+                total += expected_counts(texts, held.value)
             some = np.flatnonzero(total.any(axis=1))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(some, pa.int64()), *(pa.array(total[some, k]) for k in range(states))], names=["slot", *columns]
             )
 
         partial = in_batches(learning, run, "slot long, " + ", ".join(f"{c} double" for c in columns))
-        counts = np.zeros((len(shares) + states + 2, states))
+        counts = np.zeros((len(shares) + states + 1, states))
         for r in partial.groupBy("slot").agg(*[F.sum(c).alias(c) for c in columns]).collect():  # the model's size
             counts[r["slot"]] = [r[c] for c in columns]
         model = reestimated(counts, shares)

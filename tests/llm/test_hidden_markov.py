@@ -16,7 +16,7 @@ from shelfmark.llm import hidden_markov as hm
 def small_model(states=3, symbols=5, seed=1):
     rng = np.random.default_rng(seed)
     dist = lambda *shape: rng.dirichlet(np.ones(shape[-1]), shape[:-1])
-    return hm.Model(dist(states), dist(states, states), dist(states, symbols), dist(states))
+    return hm.Model(dist(states), dist(states, states), dist(states, symbols))
 
 
 def enumerated(sequence, model):
@@ -47,7 +47,7 @@ def test_long_texts_are_exact_too(monkeypatch):
 def test_expected_counts_equal_all_paths():
     model = small_model()
     sequences = [np.array(s) for s in ([0, 3, 1], [2, 2, 4, 1], [1])]
-    expected = np.zeros((5 + 3 + 2, 3))
+    expected = np.zeros((5 + 3 + 1, 3))
     for s in sequences:
         paths = list(product(range(3), repeat=len(s)))
         chances = []
@@ -57,13 +57,26 @@ def test_expected_counts_equal_all_paths():
                 chance *= model.onward[a, b] * model.symbols[b, x]
             chances.append(chance)
         for path, chance in zip(paths, np.array(chances) / sum(chances)):
-            expected[-2, path[0]] += chance
+            expected[-1, path[0]] += chance
             for x, k in zip(s, path):
                 expected[x, k] += chance
-                expected[-1, k] += chance
             for a, b in zip(path, path[1:]):
                 expected[5 + a, b] += chance
-    assert hm.expected_counts(sequences, [True] * 3, model) == pytest.approx(expected)
+    assert hm.expected_counts(sequences, model) == pytest.approx(expected)
+
+
+@pytest.mark.parametrize("segment, batch", [(512, 1 << 17), (512, 1000), (7, 64), (1, 16)])
+def test_cuts_lose_no_counts(monkeypatch, segment, batch):
+    rng = np.random.default_rng(11)
+    texts = [rng.integers(0, 5, n) for n in (2000, 1, 512, 513, 40, 1024, 3)]
+    model = small_model()
+    monkeypatch.setattr(hm, "SEGMENT", 4000)
+    uncut = hm.expected_counts(texts, model)
+    assert uncut[:5].sum() == pytest.approx(sum(map(len, texts)))
+    assert uncut[5:-1].sum() == pytest.approx(sum(len(t) - 1 for t in texts))  # every transition, those over cuts too
+    monkeypatch.setattr(hm, "SEGMENT", segment)
+    monkeypatch.setattr(hm, "BATCH_TOKENS", batch)
+    assert hm.expected_counts(texts, model) == pytest.approx(uncut, rel=1e-9)
 
 
 def test_rounds_raise_the_likelihood():
@@ -74,7 +87,7 @@ def test_rounds_raise_the_likelihood():
     for _ in range(6):
         now = hm.log_likelihoods(sequences, model).sum()
         assert now >= last - 1e-6 * abs(now)
-        last, model = now, hm.reestimated(hm.expected_counts(sequences, [True] * 60, model), shares)
+        last, model = now, hm.reestimated(hm.expected_counts(sequences, model), shares)
 
 
 @pytest.mark.parametrize("listed", [hm.LISTED, 100])
