@@ -25,6 +25,7 @@ SYMBOLS = OWN + BUCKETS
 LISTED = 1 << 17  # most frequent words, whose counts every task holds
 SEGMENT = 512  # tokens of a text that are a sequence of their own, tied to its neighbours by maps of the states
 WHOLE = 8192  # tokens of a text whose likelihood is found place by place
+RESCALED = 8  # places after which the maps are scaled
 SIDE_BY_SIDE = 256  # segments of longer texts at a time
 BATCH_TOKENS = 1 << 17  # that are trained on at a time; four times as many are scored
 PRIOR = 100.0  # tokens of the overall mix that each state is given
@@ -113,14 +114,22 @@ def _transfers(segments: list[np.ndarray], starts: np.ndarray, model: Model) ->
     """
     states = len(model.first)
     laid = TimeMajor(segments)
-    maps = np.where(starts[laid.order, None, None], np.eye(states), model.onward)
-    logs = np.zeros(len(segments))
-    for a, n in laid.steps:
-        now = (maps[:n].reshape(-1, states) @ model.onward).reshape(n, states, states) if a else maps
-        now *= model.symbols[:, laid.symbols[a : a + n]].T[:, None, :]
-        scale = now.reshape(n, -1).sum(axis=1)
-        maps[:n] = now / scale[:, None, None]
-        logs[:n] += np.log10(scale)
+    emitted = np.take(model.symbols, laid.symbols, axis=1)
+    turned = model.onward.T.copy()
+    now = np.where(starts[laid.order], np.eye(states)[:, :, None], turned[:, :, None])  # to x from x segments
+    maps, logs = np.empty((len(segments), states, states)), np.zeros(len(segments))
+    left = [n for _, n in laid.steps[1:]] + [0]
+    for step, (a, n) in enumerate(laid.steps):
+        if step:
+            now = (turned @ now.reshape(states, -1)).reshape(states, states, n)
+        now *= emitted[:, None, a : a + n]
+        if left[step] < n or step % RESCALED == 0:
+            scale = now.sum(axis=(0, 1))
+            now /= scale
+            logs[:n] += np.log10(scale)
+        if left[step] < n:
+            maps[left[step] : n] = now[:, :, left[step] :].T
+            now = now[:, :, : left[step]].copy()
     back = np.argsort(laid.order)
     return maps[back], logs[back]
 
