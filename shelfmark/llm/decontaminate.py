@@ -6,13 +6,18 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.text import FOLDED, Batches, folded_words, in_batches, materialise, per_row, tucked, untucked
+from shelfmark.llm.text import FOLDED, Batches, folded_words, in_batches, materialise, per_row, sliced, tucked, untucked
+from shelfmark.session import scratch_dir
 
 WINDOW = 13
 BLOCK_WORDS = 200_000
+FILTER_BITS = 27  # of a run's hash, which choose its bit in the table that every task holds: 16 MB
+PAGE_BITS = 16
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
 COVERAGE = 20  # a document is contaminated if 20 * hit words >= words
 MATCH = "n_words long, spans array<struct<start:int,end:int>>, items array<string>, longest int"
 
@@ -111,7 +116,10 @@ class SuffixAutomaton:
             self.short_at[state] = state if state in self.shorts else self.short_at[self.link[state]]
 
     def find(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str], int]:
-        """Spans of hit words (merged, end exclusive), the items that occur, and the longest match in words."""
+        """Spans of hit words (merged, end exclusive), the items that occur, and the words of the longest match.
+
+        A match is a string of the items that holds a window: a whole short item, or at least a window's words.
+        """
         spans: list[list[int]] = []
         found: set[str] = set()
         most = 0
@@ -125,11 +133,11 @@ class SuffixAutomaton:
             state = length = 0
             for at in range(begin, end):
                 state, length = self._advance(state, length, self.vocabulary[words[at]])
-                most = max(most, length)
                 hit = 0
                 if length >= self.window:
                     found |= self.windows.get(self._shortened(state), set())
                     hit = self.window
+                    most = max(most, length)
                 short = self.short_at[state]
                 if short == state and self.longest[state] > length:
                     short = self.short_at[self.link[state]]
@@ -138,6 +146,7 @@ class SuffixAutomaton:
                     found |= self.shorts[short]
                     short = self.short_at[self.link[short]]
                 if hit:
+                    most = max(most, hit)
                     start = at + 1 - hit
                     while spans and spans[-1][1] >= start:
                         start = min(start, spans.pop()[0])
@@ -169,19 +178,101 @@ def _pieces(benchmark: DataFrame, window: int, block_words: int) -> DataFrame:
     return in_batches(items, cut, "item string, start long, n long, words binary")
 
 
+def _runs(words: list[bytes], sizes: list[int]) -> np.ndarray:
+    """Hashes of all runs of words of some sizes, each once."""
+    hashed = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    found = [np.zeros(0, np.uint64)]
+    for size in sizes:
+        run = np.zeros(max(0, len(words) - size + 1), np.uint64)
+        for k in range(size if len(run) else 0):
+            run = run * FACTOR + hashed[k : k + len(run)]
+        found.append(run)
+    return np.unique(np.concatenate(found)).view(np.int64)
+
+
+def _filter(runs: DataFrame) -> np.ndarray:
+    """A bit for each value of the last FILTER_BITS bits of a hash: whether a run has it. Tasks make pages of 8 kB."""
+    place = F.col("run").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    places = runs.select(F.shiftright(place, PAGE_BITS).alias("page"), place.bitwiseAND(F.lit((1 << PAGE_BITS) - 1)).alias("bit"))
+    pages = places.groupBy("page").agg(F.collect_set("bit").alias("bits"))  # at most 65,536 values
+
+    def packed(batches: Batches) -> Batches:
+        for batch in batches:
+            for i in range(len(batch)):
+                bits = np.zeros(1 << PAGE_BITS, np.uint8)
+                bits[batch.column(1)[i].values.to_numpy()] = 1
+                page = np.packbits(bits, bitorder="little").tobytes()
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([page], pa.binary())], names=["page", "bits"])
+
+    table = np.zeros((1 << (FILTER_BITS - PAGE_BITS), 1 << (PAGE_BITS - 3)), np.uint8)
+    for r in in_batches(pages, packed, "page long, bits binary").collect():  # the table's size at most
+        table[r["page"]] = np.frombuffer(r["bits"], np.uint8)
+    return table.reshape(-1)
+
+
+def _candidates(source: DataFrame, dealt: DataFrame, window: int) -> DataFrame:
+    """(doc_id, _hash, block): the blocks that hold a window of a document, by hashes, so perhaps a few others.
+
+    Runs of documents that no item has are left out where the document is read, by a table of bits of fixed size; the others
+    meet the items' runs in a join.
+    """
+    spark = source.sparkSession
+    sizes = sorted(r["n"] for r in dealt.select(F.least("n", F.lit(window)).alias("n")).distinct().collect())
+
+    def of_items(batches: Batches) -> Batches:
+        for batch in batches:
+            for block, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                words = raw.split()
+                runs = _runs(words, [min(len(words), window)])
+                yield pa.RecordBatch.from_arrays([pa.array(runs), pa.array([block] * len(runs), pa.int64())], names=["run", "block"])
+
+    runs = in_batches(dealt.select("block", "words"), of_items, "run long, block long")
+    runs = materialise(runs.distinct(), "benchmark-runs")
+    held = spark.sparkContext.broadcast(_filter(runs))
+
+    def of_documents(batches: Batches) -> Batches:
+        last = (1 << FILTER_BITS) - 1
+        for batch in sliced(batches):
+            for i, raw in enumerate(batch.column(2).to_pylist()):
+                found = _runs(folded_words(raw), sizes)
+                place = found & last
+                found = found[(held.value[place >> 3] >> (place & 7)) & 1 == 1]
+                if len(found):
+                    at = pa.array(np.full(len(found), i))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(at), batch.column(1).take(at), pa.array(found)], names=["doc_id", "_hash", "run"]
+                    )
+
+    kind = source.schema["doc_id"].dataType.simpleString()
+    texts = source.select("doc_id", F.xxhash64("text").alias("_hash"), "_raw")
+    seen = in_batches(texts, of_documents, f"doc_id {kind}, _hash long, run long")
+    return materialise(seen.join(runs, "run").select("doc_id", "_hash", "block").distinct(), "candidates")
+
+
+def _routed(source: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Documents with the block to compare them with, written by block: a pass reads its own ones."""
+    d, c = source.select("doc_id", F.xxhash64("text").alias("_hash"), "_raw").alias("d"), candidates.alias("c")
+    same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d._hash") == F.col("c._hash"))
+    routed = d.join(c, same).select("d.doc_id", "d._hash", "d._raw", "c.block")
+    path = scratch_dir(source.sparkSession, "routed")
+    routed.hint("rebalance", "block").write.partitionBy("block").parquet(path)
+    return source.sparkSession.read.schema(routed.schema).parquet(path)
+
+
 def match_items(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS
 ) -> DataFrame:
     """Documents with the spans of words that benchmark items cover.
 
     `docs` needs `doc_id` and `text`; all its columns stay, and n_words, spans (merged, in words, end exclusive), items (sorted
-    item ids as text) and longest (words of the longest string shared with an item) are added. A window is `window`
-    consecutive words of an item, or a whole item of fewer words. NULL and empty texts have no words; items without words and
+    item ids as text) and longest (words of the longest shared string that holds a window, 0 without one) are added. A window is
+    `window` consecutive words of an item, or a whole item of fewer words. NULL and empty texts have no words; items without words and
     an empty benchmark match nothing; a NULL item_id reads as the empty text; items that share an id count once; repeated
     documents get a row each.
 
     The automaton is built on the driver from a block of at most block_words words of items, and broadcast. Items beyond
-    one block are dealt over several by hash: each block is one more pass, and the passes are merged by document.
+    one block are dealt over several by hash. Then one read of the documents finds those that share the hash of a window with
+    a block, a block's pass reads these alone, and the passes are merged by document.
     """
     pieces = materialise(_pieces(benchmark, window, block_words), "benchmark-pieces")
     total = pieces.agg(F.sum("n")).first()[0] or 0
@@ -189,7 +280,7 @@ def match_items(
     dealt = pieces.withColumn("block", F.pmod(F.xxhash64("item", "start"), F.lit(blocks)))
     source = docs.withColumn("_raw", F.col("text").cast("binary"))
 
-    def one_pass(block: int) -> DataFrame:
+    def one_pass(source: DataFrame, block: int) -> DataFrame:
         rows = dealt.filter(F.col("block") == block).select("item", "words").collect()
         items = sorted((r["item"], bytes(r["words"]).split()) for r in rows)
         automaton = docs.sparkSession.sparkContext.broadcast(SuffixAutomaton(items, window))
@@ -202,14 +293,14 @@ def match_items(
         return per_row(source, scan, ["_raw"], MATCH, setup=lambda: automaton.value).drop("_raw")
 
     if blocks == 1:
-        return one_pass(0)
-    key = ["doc_id", F.xxhash64("text").alias("_hash")]
-    hits = [
-        materialise(
-            one_pass(b).filter(F.col("longest") > 0).select(*key, "spans", "items", "longest").distinct(), f"hits-{b}"
-        )
-        for b in range(blocks)
-    ]
+        return one_pass(source, 0)
+    candidates = _candidates(source, dealt, window)
+    routed = _routed(source, candidates)
+    met = sorted(r["block"] for r in candidates.select("block").distinct().collect()) or [0]
+    hits = []
+    for b in met:
+        passed = one_pass(routed.filter(F.col("block") == b).drop("block"), b).filter(F.col("longest") > 0)
+        hits.append(materialise(passed.select("doc_id", "_hash", "spans", "items", "longest").distinct(), f"hits-{b}"))
     united = hits[0]
     for more in hits[1:]:
         united = united.unionByName(more)
@@ -250,7 +341,11 @@ def _hit_words() -> Column:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per document: n_words, n_hit, n_items, items_sha256, contaminated, longest."""
+    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+
+    `docs` needs doc_id and text, `benchmark` item_id and text; others are not looked at. NULL, empty and blank texts have no
+    words and are clean; without items every document is; repeated rows and NULL doc_ids get a row each.
+    """
     found = match_items(docs.select("doc_id", "text"), benchmark)
     hit = _hit_words()
     return found.select(
@@ -281,7 +376,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents without contaminated ones, and without the spans that items cover in the others.
 
     A document goes if hit words are at least a twentieth of its words; from others the hit spans are cut out and n_chars, if
-    there, is counted anew. Documents without a hit stay as they are, and so do other columns of any name.
+    there, is counted anew. Documents without a hit stay as they are, and so do other columns of any name. NULL and empty texts
+    are kept; repeated rows are judged each, and alike; without items or documents nothing changes.
     """
     used = [c for c in ("doc_id", "text", "n_chars") if c in docs.columns]
     found = match_items(tucked(docs, used), benchmark)

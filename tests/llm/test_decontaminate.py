@@ -6,6 +6,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfmark.llm import decontaminate, queries
 from tests.comparing import differences, duckdb_over
@@ -53,6 +54,54 @@ def test_matches_equal_brute_force(spark, block_words):
     got = {r.doc_id: (r.n_words, sum(s.end - s.start for s in r.spans), list(r["items"])) for r in rows}
     assert got == {i: plain_match(t, items) for i, t in enumerate(texts)}
     assert sum(bool(v[2]) for v in got.values()) > 30
+    if block_words == decontaminate.BLOCK_WORDS:
+        assert {r.doc_id: r.longest for r in rows} == {i: plain_longest(t, items) for i, t in enumerate(texts)}
+
+
+def plain_longest(text, items):
+    words, most = plain_words(text), 0
+    for _, content in items:
+        parts = plain_words(content)
+        for i in range(len(words)):
+            for j in range(len(parts)):
+                size = 0
+                while i + size < len(words) and j + size < len(parts) and words[i + size] == parts[j + size]:
+                    size += 1
+                if size >= min(13, len(parts)):
+                    most = max(most, size)
+    return most
+
+
+def test_blocks_read_only_documents_that_share_a_window(spark):
+    items, texts = material(5)
+    texts += [f"only{i} " * 30 for i in range(50)] + [None, ""]
+    benchmark = spark.createDataFrame([(int(i), t) for i, t in items], "item_id long, text string")
+    docs = documents(spark, [*enumerate(texts), (None, texts[0]), (None, texts[0]), (0, texts[0])])
+    source = docs.withColumn("_raw", docs.text.cast("binary"))
+    pieces = decontaminate._pieces(benchmark, 13, 60).withColumn("block", F.pmod(F.xxhash64("item", "start"), F.lit(9)))
+    found = {(r.doc_id, r.block) for r in decontaminate._candidates(source, pieces, 13).collect()}
+    blocks = {}
+    for r in pieces.collect():
+        blocks.setdefault(r.block, []).append((r["item"], bytes(r["words"]).decode()))
+    wanted = {(i, b) for i, t in enumerate(texts) for b, some in blocks.items() if plain_match(t, some)[1]}
+    assert found == wanted | {(None, b) for i, b in wanted if i == 0}
+    columns = ["doc_id", "n_words", "spans", "items"]
+    once = decontaminate.match_items(docs, benchmark).select(columns).collect()
+    several = decontaminate.match_items(docs, benchmark, block_words=60).select(columns).collect()
+    assert sorted(map(str, once)) == sorted(map(str, several))
+
+
+@pytest.mark.parametrize("block_words", [200_000, 13])
+def test_odd_rows_in_one_block_and_in_many(spark, clashing, nothing, block_words):
+    item = " ".join(f"q{i}" for i in range(40))
+    benchmark = spark.createDataFrame([(1, item), (None, "lazy dog went"), (3, None), (4, "")], "item_id long, text string")
+    rows = decontaminate.match_items(clashing, benchmark, block_words=block_words).collect()
+    assert len(rows) == clashing.count()
+    assert {(r.doc_id, tuple(r["items"])) for r in rows if r["items"]} == {(4, ("",)), (5, ("",)), (None, ("",))}
+    assert {r.score for r in rows} == {"mine"}
+    assert decontaminate.match_items(nothing, benchmark, block_words=block_words).count() == 0
+    strange = spark.createDataFrame([(1, "zq " * 50)], "item_id long, text string")
+    assert not any(r["items"] for r in decontaminate.match_items(clashing, strange, block_words=block_words).collect())
 
 
 def test_query_equals_sql(spark, sf_dir):
