@@ -290,7 +290,7 @@ def match_items(
             spans, found, most = automaton.find(words)
             return len(words), [{"start": a, "end": b} for a, b in spans], sorted(found), most
 
-        return per_row(source, scan, ["_raw"], MATCH, setup=lambda: automaton.value).drop("_raw")
+        return per_row(source, scan, ["_raw"], MATCH, setup=lambda: automaton.value, gone=("_raw",))
 
     if blocks == 1:
         return one_pass(source, 0)
@@ -309,7 +309,7 @@ def match_items(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
         F.max("longest").alias("longest"),
     )
-    counted = per_row(source, lambda raw: (len(folded_words(raw)),), ["_raw"], "n_words long").drop("_raw")
+    counted = per_row(source, lambda raw: (len(folded_words(raw)),), ["_raw"], "n_words long", gone=("_raw",))
     counted = counted.drop("spans", "items", "longest").withColumn("_hash", F.xxhash64("text"))
     joined = counted.alias("d").join(
         merged.alias("m"),

@@ -305,8 +305,9 @@ def identify(rows: DataFrame, key: list[str], text: Column, declared: Column, ho
 
     named = source.join(families.withColumnRenamed("tag", "declared"), "declared", "left")
     source = named.withColumn("declared", F.coalesce("leader", "declared")).drop("leader")
-    weighed = per_row(source, weigh, ["_raw"], "shares array<struct<i: int, p: double>>, n_grams long", setup=lambda: held.value)
-    evidence = materialise(weighed.drop("_raw").withColumns(address_parts(F.col("_host"))).drop("_host"), "evidence")
+    shares = "shares array<struct<i: int, p: double>>, n_grams long"
+    weighed = per_row(source, weigh, ["_raw"], shares, setup=lambda: held.value, gone=("_raw",))
+    evidence = materialise(weighed.withColumns(address_parts(F.col("_host"))).drop("_host"), "evidence")
     decided = fuse(evidence, model.languages)
     return decided.select(*key, "language", "confidence", "text_language", "declared", "kept")
 

@@ -288,6 +288,7 @@ def pack(
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
 
     def digest(batches: Batches) -> Batches:
+        _encoder.cache_clear()  # texts are encoded: the worker, which lives on, needs the ids of words no more
         for batch in sliced(batches):
             made: list[list] = [[] for _ in names]
             at = []

@@ -63,7 +63,7 @@ def simhash(raw: bytes | None, shingle: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fingerprint as a signed long) of every row; a NULL text has no words."""
     raw = docs.select("doc_id", F.col("text").cast("binary").alias("_raw"))
-    return per_row(raw, lambda raw: (simhash(raw, shingle),), ["_raw"], "fingerprint long").drop("_raw")
+    return per_row(raw, lambda raw: (simhash(raw, shingle),), ["_raw"], "fingerprint long", gone=("_raw",))
 
 
 def _linked(prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
@@ -182,7 +182,7 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -
         return docs.join(chosen.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
     used = ["doc_id", "text"]
     marked = tucked(docs, used).withColumn("_raw", F.col("text").cast("binary"))
-    marked = per_row(marked, lambda raw: (simhash(raw, shingle),), ["_raw"], "_print long").drop("_raw")
+    marked = per_row(marked, lambda raw: (simhash(raw, shingle),), ["_raw"], "_print long", gone=("_raw",))
     same = marked["doc_id"].eqNullSafe(chosen["doc_id"]) & (marked["_print"] == chosen["fingerprint"])
     kept = marked.join(chosen, same, "left_semi").dropDuplicates(["doc_id", "_print"])
     return kept.select(untucked(kept, docs.columns, used))

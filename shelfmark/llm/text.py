@@ -92,11 +92,16 @@ def sliced(batches: Batches) -> Batches:
 
 
 def per_row(
-    frame: DataFrame, row: Callable[..., tuple], inputs: list[str], outputs: str, setup: Callable[[], Any] | None = None
+    frame: DataFrame,
+    row: Callable[..., tuple],
+    inputs: list[str],
+    outputs: str,
+    setup: Callable[[], Any] | None = None,
+    gone: tuple[str, ...] = (),
 ) -> DataFrame:
     """The frame with columns added by a Python function of some of its columns, in Arrow batches.
 
-    `outputs` is a schema string; an added column replaces one of the same name. `row` gets the values of
+    `outputs` is a schema string; an added column replaces one of the same name, and columns in `gone` don't come back. `row` gets the values of
     `inputs`, after the result of `setup` (called once a task) if that is given, and returns a tuple.
     Memory is bounded by an Arrow batch, which Spark bounds by rows and bytes.
     """
@@ -104,7 +109,7 @@ def per_row(
     from pyspark.sql.types import StructType
 
     added = StructType.fromDDL(outputs)
-    kept = [c for c in frame.columns if c not in added.names]
+    kept = [c for c in frame.columns if c not in added.names and c not in gone]
     schema = StructType([*(frame.schema[c] for c in kept), *added.fields])
     types = list(to_arrow_schema(added))
 
