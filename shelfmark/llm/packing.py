@@ -21,6 +21,7 @@ WINDOW_SEQUENCES = 64
 END = 1
 VOCABULARY = "word_bpe_49k.json"
 CACHED = 500_000  # words whose ids a worker keeps, and as many older ones
+TEXT_BYTES = 2 << 20  # of texts that a worker encodes together
 CHUNK_ROWS = 4_000
 BLOCK_WINDOWS = 4096
 
@@ -112,9 +113,13 @@ class Encoder:
         texts = pa.array([self.lowered(raw) for raw in raws], pa.binary()).cast(pa.string())
         lists = pc.ascii_split_whitespace(texts)
         words = lists.values.dictionary_encode()
-        different = words.dictionary.cast(pa.binary()).to_pylist()
+        different = words.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
         self.learn([different])
-        ids = pa.array([self.known[w] for w in different], pa.large_binary()).take(words.indices)
+        coded = list(map(self.known.__getitem__, different))
+        ends = np.zeros(len(coded) + 1, np.int64)
+        np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)), out=ends[1:])
+        known = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(coded), [None, pa.py_buffer(ends), pa.py_buffer(b"".join(coded))])
+        ids = known.take(words.indices)
         bounds = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)[lists.offsets.to_numpy()].tolist()
         data = memoryview(ids.buffers()[2] or b"")
         return [data[a:b].tobytes() + _ENDED for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
@@ -125,19 +130,29 @@ def _encoder(vocabulary: str) -> Encoder:
     return Encoder(public_tokenizers.path(vocabulary))
 
 
+def _by_bytes(batches: Batches, column: int) -> Batches:
+    """The same rows in batches of about TEXT_BYTES of a binary column, or one row: texts together have fewer different words."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        parts = (np.cumsum(sizes) - sizes) // TEXT_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(batch)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
 def tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """(row, doc_id, source, n, ids) as a written table: ids as little-endian 16 bits, 32 where the vocabulary needs it."""
 
     def run(batches: Batches) -> Batches:
         encoder = _encoder(vocabulary)
         width = "<u2" if encoder.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        for batch in sliced(batches):
+        for batch in _by_bytes(batches, 2):
             coded, numbers = [], []
-            for i in range(0, len(batch), 256):
-                for raw in encoder.coded(batch.column(2).slice(i, 256).to_pylist()):
-                    ids = np.frombuffer(raw, "<u4")
-                    coded.append(ids.astype(width).tobytes())
-                    numbers.append(len(ids))
+            for raw in encoder.coded(batch.column(2).to_pylist()):
+                ids = np.frombuffer(raw, "<u4")
+                coded.append(ids.astype(width).tobytes())
+                numbers.append(len(ids))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(numbers, pa.int64()), pa.array(coded, pa.binary())],
                 names=["doc_id", "source", "n", "ids"],

@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -67,6 +68,19 @@ def test_texts_together_give_the_ids_of_each(tokenizer):
     assert encoder.coded([]) == [] and encoder.coded([None]) == [np.array([1], "<u4").tobytes()]
 
 
+def test_texts_are_encoded_in_parts_of_like_bytes():
+    """Texts together have fewer different words; a part is bounded by bytes or is one text, and no row goes."""
+    sizes = [0, 10, packing.TEXT_BYTES * 2, 5, 0, packing.TEXT_BYTES - 5, 1, *[1000] * 6000, None]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(sizes))), pa.array([None if n is None else b"x" * n for n in sizes], pa.binary())], names=["doc_id", "text"]
+    )
+    parts = list(packing._by_bytes(iter([batch.slice(0, 0), batch]), 1))
+    assert [i for part in parts for i in part.column(0).to_pylist()] == list(range(len(sizes)))
+    held = [sum(map(len, filter(None, part.column(1).to_pylist()))) for part in parts]
+    assert all(n < packing.TEXT_BYTES + max(len(t or b"") for t in part.column(1).to_pylist()) for n, part in zip(held, parts, strict=True))
+    assert max(len(part) for part in parts) > 1000
+
+
 def test_every_token_lies_in_one_piece(spark, sf_dir, tokenizer):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
