@@ -274,13 +274,23 @@ def match_items(
     one block are dealt over several by hash. Then one read of the documents finds those that share the hash of a window with
     a block, a block's pass reads these alone, and the passes are merged by document.
     """
+    return _matched(docs, benchmark, window, block_words)
+
+
+def _matched(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, cut: bool = False) -> DataFrame:
+    """What `match_items` gives. With `cut` there is `_cut` too: the text without the spans' words, NULL without spans. The pass
+    that finds the spans makes it, as each pass of a stage keeps a Python worker of its own for each core."""
     pieces = materialise(_pieces(benchmark, window, block_words), "benchmark-pieces")
     total = pieces.agg(F.sum("n")).first()[0] or 0
     blocks = max(1, -(-total // block_words))
     dealt = pieces.withColumn("block", F.pmod(F.xxhash64("item", "start"), F.lit(blocks)))
     source = docs.withColumn("_raw", F.col("text").cast("binary"))
+    made = ", _cut string" * cut
+
+    def without(raw: bytes | None, spans: list[dict]) -> tuple:
+        return ((_cut(raw, spans).decode() if spans else None),) * cut
 
-    def one_pass(source: DataFrame, block: int) -> DataFrame:
+    def one_pass(source: DataFrame, block: int, made: str = "") -> DataFrame:
         rows = dealt.filter(F.col("block") == block).select("item", "words").collect()
         items = sorted((r["item"], bytes(r["words"]).split()) for r in rows)
         automaton = docs.sparkSession.sparkContext.broadcast(SuffixAutomaton(items, window))
@@ -288,12 +298,13 @@ def match_items(
         def scan(automaton: SuffixAutomaton, raw: bytes | None) -> tuple:
             words = folded_words(raw)
             spans, found, most = automaton.find(words)
-            return len(words), [{"start": a, "end": b} for a, b in spans], sorted(found), most
+            spans = [{"start": a, "end": b} for a, b in spans]
+            return len(words), spans, sorted(found), most, *(without(raw, spans) if made else ())
 
-        return per_row(source, scan, ["_raw"], MATCH, setup=lambda: automaton.value, gone=("_raw",))
+        return per_row(source, scan, ["_raw"], MATCH + made, setup=lambda: automaton.value, gone=("_raw",))
 
     if blocks == 1:
-        return one_pass(source, 0)
+        return one_pass(source, 0, made)
     candidates = _candidates(source, dealt, window)
     routed = _routed(source, candidates)
     met = sorted(r["block"] for r in candidates.select("block").distinct().collect()) or [0]
@@ -309,31 +320,33 @@ def match_items(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
         F.max("longest").alias("longest"),
     )
-    counted = per_row(source, lambda raw: (len(folded_words(raw)),), ["_raw"], "n_words long", gone=("_raw",))
-    counted = counted.drop("spans", "items", "longest").withColumn("_hash", F.xxhash64("text"))
-    joined = counted.alias("d").join(
+    columns = [c for c in docs.columns if c not in ("n_words", "spans", "items", "longest")]
+    texts = source.select(*[f"`{c}`" for c in columns], "_raw", F.xxhash64("text").alias("_hash"))
+    joined = texts.alias("d").join(
         merged.alias("m"),
         F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d._hash") == F.col("m._hash")),
         "left",
     )
     joined = joined.select(
-        *[F.col(f"d.`{c}`") for c in counted.columns if c != "_hash"],
+        *[F.col(f"d.`{c}`") for c in columns],
+        "d._raw",
         F.coalesce("m._spans", F.array()).alias("_spans"),
         F.coalesce("m.items", F.array().cast("array<string>")).alias("items"),
         F.coalesce("m.longest", F.lit(0)).alias("longest"),
     )
 
-    def merge(spans: list[dict]) -> tuple:
+    def merge(raw: bytes | None, spans: list[dict]) -> tuple:
         out: list[dict] = []
         for s in spans or []:
             if out and s["start"] <= out[-1]["end"]:
                 out[-1]["end"] = max(out[-1]["end"], s["end"])
             else:
                 out.append(dict(s))
-        return (out,)
+        return len(folded_words(raw)), out, *without(raw, out)
 
-    spans = per_row(joined, merge, ["_spans"], "spans array<struct<start:int,end:int>>").drop("_spans")
-    return spans.select(*[c for c in docs.columns if c not in ("n_words", "spans", "items", "longest")], "n_words", "spans", "items", "longest")
+    outputs = "n_words long, spans array<struct<start:int,end:int>>" + made
+    spans = per_row(joined, merge, ["_raw", "_spans"], outputs, gone=("_raw", "_spans"))
+    return spans.select(*[f"`{c}`" for c in columns], "n_words", "spans", "items", "longest", *["_cut"] * cut)
 
 
 def _hit_words() -> Column:
@@ -380,13 +393,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     are kept; repeated rows are judged each, and alike; without items or documents nothing changes.
     """
     used = [c for c in ("doc_id", "text", "n_chars") if c in docs.columns]
-    found = match_items(tucked(docs, used), benchmark)
+    found = _matched(tucked(docs, used), benchmark, cut=True)
     kept = found.filter(~((_hit_words() > 0) & (COVERAGE * _hit_words() >= F.col("n_words"))))
-
-    def clean(text: str | None, spans: list[dict]) -> tuple:
-        return (_cut(text.encode(), spans).decode() if spans else text,)
-
-    cut = per_row(kept, clean, ["text", "spans"], "text string")
+    cut = kept.withColumn("text", F.coalesce("_cut", "text"))
     if "n_chars" in used:
         counted = F.char_length("text").cast(docs.schema["n_chars"].dataType)
         cut = cut.withColumn("n_chars", F.when(F.size("spans") > 0, counted).otherwise(F.col("n_chars")))

@@ -155,7 +155,7 @@ def train(texts: DataFrame) -> tuple[TextModel, DataFrame]:
     logs, own, total = np.zeros((0, BUCKETS), np.float32), np.zeros(0), np.zeros(0)
     families = scratch_dir(spark, "families")
     schema = "tag string, leader string"
-    spark.createDataFrame([], schema).write.parquet(families)
+    spark.range(0).select(F.lit("").alias("tag"), F.lit("").alias("leader")).write.parquet(families)
     for block in _by_size(counts):
         found = []
         for tag, bucket, n in block:
@@ -176,7 +176,8 @@ def train(texts: DataFrame) -> tuple[TextModel, DataFrame]:
             logs = np.concatenate([logs, chance[None]])
             own, total = np.append(own, chance @ mine / size), np.append(total, size)
         if found:
-            spark.createDataFrame(found, schema).coalesce(1).write.mode("append").parquet(families)
+            merged = pa.table(dict(zip(("tag", "leader"), zip(*found, strict=True), strict=True)))  # rows of Python would start further workers
+            spark.createDataFrame(merged).coalesce(1).write.mode("append").parquet(families)
     order = sorted(range(len(leaders)), key=leaders.__getitem__)
     dense = np.array([pooled[i] for i in order]) if order else np.zeros((0, BUCKETS))
     bucket, place = np.nonzero(dense.T)

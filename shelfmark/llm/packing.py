@@ -157,6 +157,7 @@ def tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(numbers, pa.int64()), pa.array(coded, pa.binary())],
                 names=["doc_id", "source", "n", "ids"],
             )
+            pa.default_memory_pool().release_unused()  # the ids of words leave little room
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")), F.col("text").cast("binary"))

@@ -119,3 +119,30 @@ def test_decontaminate_drops_and_cuts(spark):
     assert rows[1].text == f"{filler}. ! {filler}"
     assert rows[1].n_chars == len(rows[1].text)
     assert rows[3].text == filler and rows[4].text is None
+
+
+def test_one_python_pass_finds_and_cuts(spark):
+    """Each Python pass of a stage keeps a worker of its own for each core, and with it its memory."""
+    item = " ".join(f"w{i}" for i in range(13))
+    docs = documents(spark, [(1, item + " end"), (2, "x " * 300 + item.upper() + ", y"), (3, None), (2, "x " * 300 + item + " z\u00e9")])
+    benchmark = spark.createDataFrame([("a", item)], "item_id string, text string")
+    found = decontaminate.decontaminate(docs, benchmark)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted((r.doc_id, r.text or "") for r in found.collect()) == [(2, "x " * 300 + " z\u00e9"), (2, "x " * 300 + ", y"), (3, "")]
+
+
+@pytest.mark.parametrize("block_words", [200_000, 13])
+def test_cut_texts_are_the_same_in_one_block_and_in_many(spark, block_words):
+    items = [" ".join(f"{c}{i}" for i in range(20)) for c in "ab"]
+    text = f"one {items[0]} two, {items[1]}! three"
+    docs = documents(spark, [(1, text), (1, text), (2, "one two"), (None, items[0]), (3, None)])
+    benchmark = spark.createDataFrame([(str(i), t) for i, t in enumerate(items)], "item_id string, text string")
+    rows = decontaminate._matched(docs, benchmark, block_words=block_words, cut=True).collect()
+    got = sorted((str(r.doc_id), str(r._cut), r.n_words, r.items) for r in rows)
+    assert got == [
+        ("1", "one  two, ! three", 43, ["0", "1"]),
+        ("1", "one  two, ! three", 43, ["0", "1"]),
+        ("2", "None", 2, []),
+        ("3", "None", 0, []),
+        ("None", "", 20, ["0"]),
+    ]
